@@ -1,0 +1,156 @@
+"""raw -> store -> quality -> publish -> analysis, each stage from written tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from typing import TypeVar
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.contracts import TableContract
+from strata.operators.conform import cast_failure_measures, conform_with_text, text_columns
+from strata.operators.measures import Measure, recorded
+from strata.operators.quality import (
+    duplicate_keys,
+    key_report,
+    rule_rows,
+    table_measures,
+    union_report,
+)
+from strata.plans import sales
+from strata.sources import LayerTable, export_csv, layer_path, scan_delimited, write_layer
+
+MALFORMED = "MalformedLine"
+T = TypeVar("T")
+
+
+@dataclass(frozen=True)
+class RunResult:
+    """The tables of a run by layer; ``analysis`` frames read the published tables."""
+
+    raw: Mapping[str, LayerTable]
+    store: Mapping[str, LayerTable]
+    quality: LayerTable
+    violations: Mapping[str, LayerTable]
+    publish: Mapping[str, LayerTable]
+    analysis: Mapping[str, DataFrame]
+
+
+def _together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent jobs at once, so small tables do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        submitted = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in submitted.items()}
+
+
+def _scan_measures() -> list[Measure]:
+    return [
+        Measure("scan", None, "malformed_lines", F.count_if(F.col(MALFORMED).isNotNull())),
+    ]
+
+
+def _named(measures: list[Measure]) -> dict:
+    return {m.name: m.value for m in measures}
+
+
+def load_raw(
+    spark: SparkSession, inputs: Mapping[str, str], output: str, multi_line: bool = False
+) -> dict[str, LayerTable]:
+    """Every extract as delivered, all text, plus the full text of malformed lines."""
+
+    def load(name: str, path: str) -> LayerTable:
+        scanned = scan_delimited(spark, path, corrupt_column=MALFORMED, multi_line=multi_line)
+        return write_layer(scanned, layer_path(output, "raw", name), _named(_scan_measures()))
+
+    return _together({n: lambda n=n, p=p: load(n, p) for n, p in inputs.items()})
+
+
+def build_store(raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
+    """Typed tables. Null profile, cast audit and rule counts come from the same pass."""
+
+    def build(contract: TableContract) -> LayerTable:
+        measures = [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
+        return write_layer(
+            conform_with_text(raw[contract.name], contract),
+            layer_path(output, "store", contract.name),
+            _named(measures),
+            drop=text_columns(contract),
+        )
+
+    return _together({c.name: lambda c=c: build(c) for c in sales.CONTRACTS})
+
+
+def report_quality(
+    spark: SparkSession,
+    raw: Mapping[str, LayerTable],
+    store: Mapping[str, LayerTable],
+    output: str,
+) -> tuple[LayerTable, dict[str, LayerTable]]:
+    """The report, and the keys of the rows that break a rule. Nothing is blocked."""
+    frames = {name: table.frame for name, table in store.items()}
+    parts = []
+    for contract in sales.CONTRACTS:
+        typed = [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
+        for measures, table in ((_scan_measures(), raw), (typed, store)):
+            known = recorded(spark, measures, table[contract.name].metrics)
+            parts.append(known.select(F.lit(contract.name).alias("table"), "*"))
+    report = union_report([*parts, *key_report(frames, sales.CONTRACTS, sales.FOREIGN_KEYS)])
+    lists = {
+        rule.name: rule_rows(frames[rule.table], rule) for rule in sales.RULES if rule.list_by
+    }
+    lists["duplicate_product_ids"] = duplicate_keys(
+        frames["products"], sales.PRODUCTS.primary_key
+    )
+
+    def write(name: str, frame: DataFrame) -> Callable[[], LayerTable]:
+        return lambda: write_layer(frame, layer_path(output, "quality", name))
+
+    written = _together({n: write(n, f) for n, f in {"report": report, **lists}.items()})
+    return written.pop("report"), written
+
+
+def build_publish(store: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
+    def write(name: str, frame: DataFrame) -> Callable[[], LayerTable]:
+        return lambda: write_layer(frame, layer_path(output, "publish", name))
+
+    orders = sales.publish_orders(store["sales_order_detail"], store["sales_order_header"])
+    product = sales.publish_product(store["products"])
+    return _together({"product": write("product", product), "orders": write("orders", orders)})
+
+
+def analyse(orders: DataFrame, product: DataFrame, output: str | None = None) -> dict[str, DataFrame]:
+    """Both questions; exported as CSV where an output folder is given."""
+    answers = {
+        "top_color_by_year": sales.top_color_by_year(orders, product),
+        "avg_lead_time_by_category": sales.average_lead_time_by_category(orders, product),
+    }
+    if output is not None:
+        root = output.rstrip("/")
+        _together(
+            {
+                name: lambda name=name, frame=frame: export_csv(frame, f"{root}/analysis/{name}")
+                for name, frame in answers.items()
+            }
+        )
+    return answers
+
+
+def run(
+    spark: SparkSession, inputs: Mapping[str, str], output: str, multi_line: bool = False
+) -> RunResult:
+    """Run every stage. ``inputs`` maps each of the three tables to its files.
+
+    Repeating a run replaces all of its tables.
+    """
+    missing = [c.name for c in sales.CONTRACTS if c.name not in inputs]
+    if missing:
+        raise ValueError(f"no input given for {missing}")
+    raw = load_raw(spark, inputs, output, multi_line)
+    store = build_store({n: t.frame for n, t in raw.items()}, output)
+    quality, violations = report_quality(spark, raw, store, output)
+    publish = build_publish({n: t.frame for n, t in store.items()}, output)
+    analysis = analyse(publish["orders"].frame, publish["product"].frame, output)
+    return RunResult(raw, store, quality, violations, publish, analysis)
