@@ -10,9 +10,18 @@ NULL_TOKENS = ("", "NULL")
 
 
 def normalize_text(text: Column | str, null_tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """Trim spaces; NULL for empty text and for any spelling of a null token."""
+    """Trim spaces; NULL for empty text and for any spelling of a null token.
+
+    Text too long to be a token skips the upper-casing. Dotless i and long s, of
+    two bytes each, are the only letters that turn into ASCII when upper-cased,
+    so an ASCII token cannot be longer than one byte per letter and two per I or S.
+    """
+    if not all(token.isascii() for token in null_tokens):
+        raise ValueError("null tokens must be ASCII")
+    longest = max(len(token) + sum(token.upper().count(c) for c in "IS") for token in null_tokens)
     trimmed = F.trim(text)
-    return F.when(~F.upper(trimmed).isin(*null_tokens), trimmed)
+    is_token = (F.octet_length(trimmed) <= longest) & F.upper(trimmed).isin(*null_tokens)
+    return F.when(~is_token, trimmed)
 
 
 def safe_cast(text: Column, sql_type: str) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG_SCHEMA = "check string, column string, metric string, value bigint"
@@ -44,11 +44,3 @@ def measure(df: DataFrame, measures: list[Measure]) -> DataFrame:
     if not measures:
         return df.sparkSession.createDataFrame([], LONG_SCHEMA)
     return unfold(df.agg(*[m.value.alias(m.name) for m in measures]), measures)
-
-
-def recorded(
-    spark: SparkSession, measures: list[Measure], values: Mapping[str, int]
-) -> DataFrame:
-    """Long rows for measures whose values were observed during a write."""
-    rows = [(m.check, m.column, m.metric, values[m.name]) for m in measures]
-    return spark.createDataFrame(rows, LONG_SCHEMA).coalesce(1)

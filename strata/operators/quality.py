@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import ForeignKey, RowRule, TableContract
-from strata.operators.conform import cast_failure_measures, conform_with_text
-from strata.operators.measures import Measure, measure, unfold
+from strata.operators.conform import cast_failure_measures, conform, conform_with_text
+from strata.operators.measures import LONG_SCHEMA, Measure, measure, unfold
 
 ROWS = "__rows"
 KEY = "__key"
+REPORT_SCHEMA = f"table string, {LONG_SCHEMA}"
 
 
 def _total(n: Column) -> Column:
@@ -180,21 +181,24 @@ def union_report(parts: Sequence[DataFrame]) -> DataFrame:
 
 def quality_report(
     raw: Mapping[str, DataFrame],
-    store: Mapping[str, DataFrame],
     contracts: Sequence[TableContract],
     foreign_keys: Sequence[ForeignKey] = (),
     rules: Sequence[RowRule] = (),
+    store: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """All checks as (table, check, column, metric, value).
 
-    Per table one pass over the typed rows, one over the raw rows and one
-    grouping by key; per foreign key one join. An end-to-end run takes the first
-    two from the write itself instead.
+    Per table one pass over the raw rows for nulls, rules and failed casts, and
+    one grouping by key; per foreign key one join. Typed tables already written
+    can be given as ``store``, so that the key checks read only key columns. An
+    end-to-end run takes the first part from the writes themselves.
     """
     parts = []
+    typed = dict(store or {})
     for contract in contracts:
-        typed = measure(store[contract.name], table_measures(contract, rules))
-        audited = conform_with_text(raw[contract.name], contract)
-        audit = measure(audited, cast_failure_measures(contract))
-        parts += [_of_table(contract.name, typed), _of_table(contract.name, audit)]
-    return union_report([*parts, *key_report(store, contracts, foreign_keys)])
+        rows = raw[contract.name]
+        typed.setdefault(contract.name, conform(rows, contract))
+        measures = [*table_measures(contract, rules), *cast_failure_measures(contract)]
+        profile = measure(conform_with_text(rows, contract), measures)
+        parts.append(_of_table(contract.name, profile))
+    return union_report([*parts, *key_report(typed, contracts, foreign_keys)])

@@ -1,4 +1,3 @@
-from strata.plans.run import RunResult, run
 from strata.plans.sales import (
     average_lead_time_by_category,
     publish_orders,
@@ -6,6 +5,7 @@ from strata.plans.sales import (
     revenue_by_year_and_color,
     top_color_by_year,
 )
+from strata.plans.stages import RunResult, run
 
 __all__ = [
     "RunResult",

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from strata.contracts import TableContract
 from strata.operators.conform import cast_failure_measures, conform_with_text, text_columns
-from strata.operators.measures import Measure, recorded
+from strata.operators.measures import Measure
 from strata.operators.quality import (
+    REPORT_SCHEMA,
     duplicate_keys,
     key_report,
     rule_rows,
@@ -52,6 +53,10 @@ def _scan_measures() -> list[Measure]:
     ]
 
 
+def _store_measures(contract: TableContract) -> list[Measure]:
+    return [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
+
+
 def _named(measures: list[Measure]) -> dict:
     return {m.name: m.value for m in measures}
 
@@ -72,11 +77,10 @@ def build_store(raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTab
     """Typed tables. Null profile, cast audit and rule counts come from the same pass."""
 
     def build(contract: TableContract) -> LayerTable:
-        measures = [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
         return write_layer(
             conform_with_text(raw[contract.name], contract),
             layer_path(output, "store", contract.name),
-            _named(measures),
+            _named(_store_measures(contract)),
             drop=text_columns(contract),
         )
 
@@ -91,13 +95,18 @@ def report_quality(
 ) -> tuple[LayerTable, dict[str, LayerTable]]:
     """The report, and the keys of the rows that break a rule. Nothing is blocked."""
     frames = {name: table.frame for name, table in store.items()}
-    parts = []
+    observed = []  # a few numbers per column, known since the tables were written
     for contract in sales.CONTRACTS:
-        typed = [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
-        for measures, table in ((_scan_measures(), raw), (typed, store)):
-            known = recorded(spark, measures, table[contract.name].metrics)
-            parts.append(known.select(F.lit(contract.name).alias("table"), "*"))
-    report = union_report([*parts, *key_report(frames, sales.CONTRACTS, sales.FOREIGN_KEYS)])
+        for measures, table in (
+            (_scan_measures(), raw[contract.name]),
+            (_store_measures(contract), store[contract.name]),
+        ):
+            observed += [
+                (contract.name, m.check, m.column, m.metric, table.metrics[m.name])
+                for m in measures
+            ]
+    known = spark.createDataFrame(observed, REPORT_SCHEMA).coalesce(1)
+    report = union_report([known, *key_report(frames, sales.CONTRACTS, sales.FOREIGN_KEYS)])
     lists = {
         rule.name: rule_rows(frames[rule.table], rule) for rule in sales.RULES if rule.list_by
     }

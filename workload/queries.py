@@ -317,7 +317,7 @@ def conditional_null(spark, d):
 @_query
 def quality_report(spark, d):
     return op.quality_report(
-        fx.raw_tables(spark, d), _store(spark, d), sales.CONTRACTS, sales.FOREIGN_KEYS, sales.RULES
+        fx.raw_tables(spark, d), sales.CONTRACTS, sales.FOREIGN_KEYS, sales.RULES
     )
 
 
