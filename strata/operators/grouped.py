@@ -41,7 +41,9 @@ def top_by_group(
     """Rows whose ``value`` ranks within ``ranks`` in their group, every tie kept.
 
     Ranking follows SQL ``rank``: descending, NULL last, ties share a rank and
-    leave a gap. Sorted by group, and by rank where ``rank_name`` asks for it.
+    leave a gap. Sorted by group, by rank where ``rank_name`` asks for it, and
+    then by the other columns, which keeps tied rows in a fixed order and lets
+    the sort spread a large tie over several tasks.
 
     Only the distinct values of a group are ranked, carrying how many rows share
     each, so neither a large group nor a large tie is ever gathered in one task:
@@ -67,7 +69,7 @@ def top_by_group(
     )
     same = F.col(group).eqNullSafe(F.col("__group")) & F.col(value).eqNullSafe(F.col("__value"))
     kept = [*df.columns, *([rank_name] if rank_name else [])]
-    order = [group, *([rank_name] if rank_name else [])]
+    order = [group, *([rank_name] if rank_name else []), *[c for c in df.columns if c != group]]
     return df.join(winners, on=same, how="inner").select(*kept).orderBy(*order)
 
 

@@ -48,9 +48,18 @@ def count_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     )
 
 
-def rule_rows(df: DataFrame, rule: RowRule) -> DataFrame:
-    """The identifying columns of the rows that match, in order."""
-    return df.filter(rule.predicate).select(*rule.list_by).orderBy(*rule.list_by)
+def rule_rows(df: DataFrame, rule: RowRule, count_name: str = "rows") -> DataFrame:
+    """The identifying columns of the rows that match, with counts, in order.
+
+    Rows that look alike in these columns are one row with a count, so that a
+    value shared by very many rows does not end up in one task of the sort.
+    """
+    return (
+        df.filter(rule.predicate)
+        .groupBy(*rule.list_by)
+        .agg(F.count(F.lit(1)).alias(count_name))
+        .orderBy(*rule.list_by)
+    )
 
 
 def check_primary_key(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.contracts import TableContract
@@ -40,10 +41,15 @@ class RunResult:
     analysis: Mapping[str, DataFrame]
 
 
-def _together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Submit independent jobs at once, so small tables do not wait for large ones."""
+def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent jobs at once, so small tables do not wait for large ones.
+
+    Each thread gets its own copy of the caller's job group, pool and tags.
+    """
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        submitted = {name: pool.submit(job) for name, job in jobs.items()}
+        submitted = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
         return {name: future.result() for name, future in submitted.items()}
 
 
@@ -57,7 +63,7 @@ def _store_measures(contract: TableContract) -> list[Measure]:
     return [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
 
 
-def _named(measures: list[Measure]) -> dict:
+def _named(measures: list[Measure]) -> dict[str, Column]:
     return {m.name: m.value for m in measures}
 
 
@@ -70,7 +76,7 @@ def load_raw(
         scanned = scan_delimited(spark, path, corrupt_column=MALFORMED, multi_line=multi_line)
         return write_layer(scanned, layer_path(output, "raw", name), _named(_scan_measures()))
 
-    return _together({n: lambda n=n, p=p: load(n, p) for n, p in inputs.items()})
+    return _together(spark, {n: lambda n=n, p=p: load(n, p) for n, p in inputs.items()})
 
 
 def build_store(raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
@@ -84,7 +90,8 @@ def build_store(raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTab
             drop=text_columns(contract),
         )
 
-    return _together({c.name: lambda c=c: build(c) for c in sales.CONTRACTS})
+    spark = next(iter(raw.values())).sparkSession
+    return _together(spark, {c.name: lambda c=c: build(c) for c in sales.CONTRACTS})
 
 
 def report_quality(
@@ -117,7 +124,7 @@ def report_quality(
     def write(name: str, frame: DataFrame) -> Callable[[], LayerTable]:
         return lambda: write_layer(frame, layer_path(output, "quality", name))
 
-    written = _together({n: write(n, f) for n, f in {"report": report, **lists}.items()})
+    written = _together(spark, {n: write(n, f) for n, f in {"report": report, **lists}.items()})
     return written.pop("report"), written
 
 
@@ -127,7 +134,8 @@ def build_publish(store: Mapping[str, DataFrame], output: str) -> dict[str, Laye
 
     orders = sales.publish_orders(store["sales_order_detail"], store["sales_order_header"])
     product = sales.publish_product(store["products"])
-    return _together({"product": write("product", product), "orders": write("orders", orders)})
+    jobs = {"product": write("product", product), "orders": write("orders", orders)}
+    return _together(orders.sparkSession, jobs)
 
 
 def analyse(orders: DataFrame, product: DataFrame, output: str | None = None) -> dict[str, DataFrame]:
@@ -139,10 +147,11 @@ def analyse(orders: DataFrame, product: DataFrame, output: str | None = None) ->
     if output is not None:
         root = output.rstrip("/")
         _together(
+            orders.sparkSession,
             {
                 name: lambda name=name, frame=frame: export_csv(frame, f"{root}/analysis/{name}")
                 for name, frame in answers.items()
-            }
+            },
         )
     return answers
 

@@ -29,7 +29,8 @@ def scan_delimited(
     ``corrupt_column`` keeps the full text of lines with too few or too many
     fields. It needs every field of a line, so column pruning in the parser is
     switched off with it; without that, Spark flags such lines only when all
-    columns happen to be selected.
+    columns happen to be selected. Spark refuses a query of raw files that reads
+    this column alone; ask for another one beside it, or write the rows first.
     ``multi_line`` accepts quoted line breaks. Such files cannot be split, so
     one file is one task: leave it off unless the files are known to be small.
     A broken-up quoted line is otherwise caught by ``corrupt_column``.

@@ -145,7 +145,7 @@ def test_rules_are_counted_and_listed(spark):
     rule = RowRule("t", "qty_le_0", "qty <= 0", ("id",))
     other = RowRule("t", "qty_eq_0", "qty = 0")
     assert tuples(op.count_rules(df, [rule, other])) == [("qty_le_0", 2), ("qty_eq_0", 1)]
-    assert tuples(op.rule_rows(df, rule)) == [(1,), (3,)]
+    assert tuples(op.rule_rows(df.unionAll(df), rule)) == [(1, 2), (3, 2)]
 
 
 def test_conditional_null(spark):
@@ -365,10 +365,7 @@ def ranked(spark):
 
 def test_top_keeps_ties_null_groups_and_order(spark):
     top = op.top_by_group(ranked(spark), "y", "v")
-    assert [r.y for r in top.collect()] == [None, 2021, 2021, 2022]
-    assert sorted(map(str, tuples(top.select("y", "g")))) == sorted(
-        map(str, [(None, "a"), (2021, "b"), (2021, "c"), (2022, "a")])
-    )
+    assert [(r.y, r.g) for r in top.collect()] == [(None, "a"), (2021, "b"), (2021, "c"), (2022, "a")]
 
 
 def test_rank_two_leaves_a_gap_after_a_tie(spark):

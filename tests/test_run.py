@@ -1,0 +1,196 @@
+"""The shipped configuration from CSV files to answers, on a small hand-made set."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+from decimal import Decimal as D
+
+import pytest
+
+from strata.plans import run, sales
+from strata.sources import layer_path
+
+PRODUCTS = """\
+ProductID,ProductDesc,ProductNumber,MakeFlag,Color,SafetyStockLevel,ReorderPoint,StandardCost,ListPrice,Size,SizeUnitMeasureCode,Weight,WeightUnitMeasureCode,ProductCategoryName,ProductSubCategoryName
+680,Frame,FR-1,True,Black,500,375,1059.3100,1431.5000,58,CM,2.24,LB,NULL,Road Frames
+713,Jersey S,LJ-1,False,Multi,4,3,38.4923,49.9900,S,NULL,NULL,NULL,NULL,Jerseys
+713,Jersey S,LJ-1,False,Multi,4,3,38.4923,49.9900,S,NULL,NULL,NULL,Clothing,Shirt
+800,Brake,BR-1,False, ,500,many,47.2860,106.5000,,,317.00,G,,Brakes
+801,"Pump, small",PU-1,False,Red,500,375,8.2459,19.9900,,,,,null,Pumps
+"""
+HEADER = """\
+SalesOrderID,OrderDate,ShipDate,OnlineOrderFlag,AccountNumber,CustomerID,SalesPersonID,Freight
+1,2021-05-31,2021-06-07,False,10-4020-000676,29825,279,616.0984
+2,2021-06,2021-07-08,True,10-4020-000117,29672,NULL,38.8276
+3,2022-06-03,2022-06-06,True,10-4020-000442,29734,NULL,985.5530
+4,2022-13-01,2022-06-06,True,10-4020-000443,29735,NULL,x
+"""
+DETAIL = """\
+SalesOrderID,SalesOrderDetailID,OrderQty,ProductID,UnitPrice,UnitPriceDiscount,Comment
+1,1,1,680,2024.9940,.0000,a
+1,2,3,713,28.8404,.0200,b
+2,3,2,800,100.0000,.0000,c
+3,4,-1,801,19.9900,.0000,d
+3,5,4,713,50.0000,.0000,e
+3,6,1,680,.0000,.0000,f
+4,7,1,801,10.0000,.0000,g
+9,8,1,801,10.0000,.0000,h
+1,9,1,999,5.0000,.0000,i
+3,10,1
+"""
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    root = tmp_path_factory.mktemp("sales")
+    for name, text in (
+        ("products", PRODUCTS),
+        ("sales_order_header", HEADER),
+        ("sales_order_detail", DETAIL),
+    ):
+        (root / sales.INPUT_FILES[name]).write_text(text)
+    return root
+
+
+@pytest.fixture(scope="module")
+def inputs(folder):
+    return {name: str(folder / file) for name, file in sales.INPUT_FILES.items()}
+
+
+@pytest.fixture(scope="module")
+def result(spark, inputs, folder):
+    return run(spark, inputs, str(folder / "out"))
+
+
+def test_raw_keeps_every_line_and_undeclared_columns(result):
+    assert {n: t.rows for n, t in result.raw.items()} == {
+        "products": 5,
+        "sales_order_header": 4,
+        "sales_order_detail": 10,
+    }
+    detail = result.raw["sales_order_detail"].frame
+    assert "Comment" in detail.columns
+    assert set(dict(detail.dtypes).values()) == {"string"}
+    assert [r.MalformedLine for r in detail.filter("MalformedLine is not null").collect()] == ["3,10,1"]
+
+
+def test_store_is_typed_and_row_faithful(result):
+    for contract in sales.CONTRACTS:
+        table = result.store[contract.name]
+        assert table.rows == result.raw[contract.name].rows
+        assert table.frame.columns == contract.output_columns
+    dates = {r.SalesOrderID: (str(r.OrderDate), r.OrderDatePrecision) for r in result.store["sales_order_header"].frame.collect()}
+    assert dates == {
+        1: ("2021-05-31", "day"),
+        2: ("2021-06-01", "month"),
+        3: ("2022-06-03", "day"),
+        4: ("None", "day"),
+    }
+
+
+def test_report(result):
+    report = {tuple(r)[:4]: r.value for r in result.quality.frame.collect()}
+    expected = {
+        ("products", "primary_key", "ProductID", "rows"): 5,
+        ("products", "primary_key", "ProductID", "duplicate_rows"): 1,
+        ("products", "primary_key", "ProductID", "valid"): 0,
+        ("products", "cast_failures", "ReorderPoint", "failures"): 1,
+        ("products", "null_profile", "Color", "nulls"): 1,
+        ("products", "null_profile", "ProductCategoryName", "nulls"): 4,
+        ("sales_order_header", "primary_key", "SalesOrderID", "valid"): 1,
+        ("sales_order_header", "cast_failures", "OrderDate", "failures"): 1,
+        ("sales_order_header", "cast_failures", "Freight", "failures"): 1,
+        ("sales_order_header", "null_profile", "SalesPersonID", "nulls"): 3,
+        ("sales_order_header", "rule", None, "partial_order_date"): 1,
+        ("sales_order_header", "rule", None, "ship_before_order"): 0,
+        ("sales_order_detail", "rule", None, "order_qty_le_0"): 1,
+        ("sales_order_detail", "rule", None, "unit_price_eq_0"): 1,
+        ("sales_order_detail", "scan", None, "malformed_lines"): 1,
+        ("sales_order_detail", "foreign_key", sales.FOREIGN_KEYS[0].relation, "orphans"): 1,
+        ("sales_order_detail", "foreign_key", sales.FOREIGN_KEYS[1].relation, "orphans"): 1,
+    }
+    assert {k: report[k] for k in expected} == expected
+    columns = sum(len(c.output_columns) + len(c.cast_columns) for c in sales.CONTRACTS)
+    assert len(report) == columns + 3 * 5 + 2 * 2 + len(sales.RULES) + 3
+
+
+def test_violations_are_listed(result):
+    lists = {n: [tuple(r) for r in t.frame.collect()] for n, t in result.violations.items()}
+    assert lists == {"partial_order_date": [(2, 1)], "duplicate_product_ids": [(713, 2)]}
+
+
+def test_published_product(result):
+    got = {
+        r.ProductID: (r.Color, r.ProductCategoryName, r.ProductSubCategoryName)
+        for r in result.publish["product"].frame.collect()
+    }
+    assert got == {
+        680: ("Black", "Components", "Road Frames"),
+        713: ("Multi", "Clothing", "Shirt"),
+        800: ("N/A", None, "Brakes"),
+        801: ("Red", "Accessories", "Pumps"),
+    }
+
+
+def test_published_orders_keep_the_grain(result):
+    rows = {r.SalesOrderDetailID: r for r in result.publish["orders"].frame.collect()}
+    assert set(rows) == set(range(1, 11))
+    lead = {k: r.LeadTimeInBusinessDays for k, r in rows.items()}
+    assert lead == {1: 5, 2: 5, 3: None, 4: 1, 5: 1, 6: 1, 7: None, 8: None, 9: 5, 10: 1}
+    assert rows[2].TotalLineExtendedPrice == D("86.4612")
+    assert rows[4].TotalLineExtendedPrice == D("-19.9900")
+    assert rows[10].TotalLineExtendedPrice is None
+
+
+def test_answers(result):
+    top = [tuple(r) for r in result.analysis["top_color_by_year"].collect()]
+    assert top == [(None, "Red", D("20.0000")), (2021, "Black", D("2024.9940")), (2022, "Multi", D("200.0000"))]
+    average = [tuple(r) for r in result.analysis["avg_lead_time_by_category"].collect()]
+    assert average == [
+        ("Clothing", 3.0, 2),
+        ("Components", 3.0, 2),
+        ("Accessories", 1.0, 1),
+        ("(Uncategorized)", None, 0),
+    ]
+
+
+def test_runner_up_and_reconciliation(result):
+    orders, product = result.publish["orders"].frame, result.publish["product"].frame
+    two = [tuple(r) for r in sales.top_color_by_year(orders, product, 2, "rank").collect()]
+    assert (2021, "N/A", D("200.0000"), 2) in two and (2021, "Black", D("2024.9940"), 1) in two
+    split = sales.revenue_by_year_and_color(orders, product, ("OrderDatePrecision",))
+    by_precision = {tuple(r)[:3]: r.Revenue for r in split.collect()}
+    assert by_precision[(2021, "N/A", "month")] == D("200.0000")
+
+
+def test_answers_are_exported(result, spark, folder):
+    out = spark.read.option("header", True).csv(str(folder / "out/analysis/top_color_by_year"))
+    assert out.columns == ["OrderYear", "Color", "Revenue"]
+    assert [r.Color for r in out.collect()] == ["Red", "Black", "Multi"]
+
+
+def test_a_second_run_replaces_the_first(result, spark, inputs, folder):
+    again = run(spark, inputs, str(folder / "out"))
+    assert again.publish["orders"].rows == 10
+    assert spark.read.parquet(layer_path(str(folder / "out"), "publish", "orders")).count() == 10
+
+
+def test_every_table_needs_an_input(spark, inputs, tmp_path):
+    with pytest.raises(ValueError, match="products"):
+        run(spark, {k: v for k, v in inputs.items() if k != "products"}, str(tmp_path))
+
+
+def test_command_line(folder, tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-m", "strata", str(folder), str(tmp_path / "out")],
+        cwd=root,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "top_color_by_year" in done.stdout and "|2022     |Multi|200.0000 |" in done.stdout
+    assert (tmp_path / "out/quality/quality_report").is_dir()

@@ -436,10 +436,14 @@ ORACLES: dict[str, str] = {
         "detail",
     ),
     "anomaly_partial_dates": _with(
-        "SELECT SalesOrderID FROM header WHERE OrderDatePrecision = 'month'", "header"
+        "SELECT SalesOrderID, count(*) AS rows FROM header WHERE OrderDatePrecision = 'month' "
+        "GROUP BY 1",
+        "header",
     ),
     "anomaly_reversed_lines": _with(
-        "SELECT l_orderkey, l_linenumber FROM priced WHERE ship_date < order_date", "priced"
+        "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM priced "
+        "WHERE ship_date < order_date GROUP BY 1, 2",
+        "priced",
     ),
     "conditional_null": _with(
         "SELECT count(*) AS rows, count(*) FILTER (SalesPersonID IS NULL) AS nulls, "
