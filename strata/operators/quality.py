@@ -19,6 +19,7 @@ from strata.operators.measures import LONG_SCHEMA, Measure, measure, unfold
 
 ROWS = "__rows"
 KEY = "__key"
+FOUND = "__found"
 REPORT_SCHEMA = f"table string, {LONG_SCHEMA}"
 
 
@@ -101,24 +102,27 @@ def check_foreign_key(
 ) -> DataFrame:
     """One row: child_column, parent_column, orphans, valid. A NULL child is exempt.
 
-    Child rows are counted per key before the join, so the join sees each key
-    once on either side, and the grouping already has the join's partitioning.
+    This is the anti join of child and parent, but only the number of orphans is
+    wanted. So both key columns are stacked and grouped once: per key, how many
+    child rows and whether a parent exists. Keys are counted before the single
+    shuffle on either side, and no estimate of the parent's size is needed. As a
+    join, Spark would move the anti join below the counting wherever it takes
+    the parent for small, and shuffle every child row if that proves wrong.
     """
-    references = (
-        child.filter(F.col(child_column).isNotNull())
-        .groupBy(F.col(child_column).alias(KEY))
-        .agg(F.count(F.lit(1)).alias(ROWS))
+    none, one = (F.lit(n).cast("bigint").alias(ROWS) for n in (0, 1))
+    children = child.select(F.col(child_column).alias(KEY), one, F.lit(False).alias(FOUND))
+    parents = parent.select(F.col(parent_column).alias(KEY), none, F.lit(True).alias(FOUND))
+    per_key = (
+        children.unionAll(parents)
+        .filter(F.col(KEY).isNotNull())
+        .groupBy(KEY)
+        .agg(F.sum(ROWS).alias(ROWS), F.max(FOUND).alias(FOUND))
     )
-    parents = parent.select(F.col(parent_column).alias(KEY)).distinct()
-    return (
-        references.join(parents, on=KEY, how="left_anti")
-        .agg(_total(F.col(ROWS)).alias("orphans"))
-        .select(
-            F.lit(child_column).alias("child_column"),
-            F.lit(parent_column).alias("parent_column"),
-            "orphans",
-            (F.col("orphans") == 0).alias("valid"),
-        )
+    return per_key.agg(_total(F.when(~F.col(FOUND), F.col(ROWS))).alias("orphans")).select(
+        F.lit(child_column).alias("child_column"),
+        F.lit(parent_column).alias("parent_column"),
+        "orphans",
+        (F.col("orphans") == 0).alias("valid"),
     )
 
 
