@@ -92,6 +92,16 @@ RULES = (
     ),
 )
 
+# Counted while the fact table is written: a price that does not fit its type is NULL.
+FACT_RULES = (
+    RowRule(
+        "publish_orders",
+        "extended_price_lost",
+        "TotalLineExtendedPrice IS NULL AND OrderQty IS NOT NULL "
+        "AND UnitPrice IS NOT NULL AND UnitPriceDiscount IS NOT NULL",
+    ),
+)
+
 # Labels and the category of a sub-category, first match wins.
 COLOR_LABEL = "N/A"
 CATEGORY_RULES = (

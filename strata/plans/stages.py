@@ -18,6 +18,7 @@ from strata.operators.quality import (
     REPORT_SCHEMA,
     duplicate_keys,
     key_report,
+    rule_measures,
     rule_rows,
     table_measures,
     union_report,
@@ -129,13 +130,20 @@ def report_quality(
 
 
 def build_publish(store: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
-    def write(name: str, frame: DataFrame) -> Callable[[], LayerTable]:
-        return lambda: write_layer(frame, layer_path(output, "publish", name))
+    """The product master and the order-line fact table, built side by side."""
+
+    def write(name: str, frame: DataFrame, measures: list[Measure]) -> Callable[[], LayerTable]:
+        return lambda: write_layer(frame, layer_path(output, "publish", name), _named(measures))
 
     orders = sales.publish_orders(store["sales_order_detail"], store["sales_order_header"])
     product = sales.publish_product(store["products"])
-    jobs = {"product": write("product", product), "orders": write("orders", orders)}
-    return _together(orders.sparkSession, jobs)
+    return _together(
+        orders.sparkSession,
+        {
+            "product": write("product", product, []),
+            "orders": write("orders", orders, rule_measures(sales.FACT_RULES)),
+        },
+    )
 
 
 def analyse(orders: DataFrame, product: DataFrame, output: str | None = None) -> dict[str, DataFrame]:

@@ -9,7 +9,9 @@ from decimal import Decimal as D
 
 import pytest
 
+from strata.operators import conform
 from strata.plans import run, sales
+from strata.plans.stages import build_publish
 from strata.sources import layer_path
 
 PRODUCTS = """\
@@ -142,6 +144,26 @@ def test_published_orders_keep_the_grain(result):
     assert rows[2].TotalLineExtendedPrice == D("86.4612")
     assert rows[4].TotalLineExtendedPrice == D("-19.9900")
     assert rows[10].TotalLineExtendedPrice is None
+    assert result.publish["orders"].metrics["rule::extended_price_lost"] == 0
+
+
+def test_a_price_that_does_not_fit_is_counted(spark, tmp_path):
+    big = D("900000000000000")
+    detail = spark.createDataFrame(
+        [(1, 1, 2_000_000_000, 680, big, D(0)), (1, 2, 1, 680, big, D(0)), (1, 3, None, 680, big, D(0))],
+        "SalesOrderID int, SalesOrderDetailID int, OrderQty int, ProductID int, "
+        "UnitPrice decimal(19,4), UnitPriceDiscount decimal(19,4)",
+    )
+    header = spark.createDataFrame([], conform_schema(spark, sales.SALES_ORDER_HEADER))
+    products = spark.createDataFrame([], conform_schema(spark, sales.PRODUCTS))
+    store = {"sales_order_detail": detail, "sales_order_header": header, "products": products}
+    published = build_publish(store, str(tmp_path))
+    assert published["orders"].metrics["rule::extended_price_lost"] == 1
+    assert published["product"].rows == 0
+
+
+def conform_schema(spark, contract):
+    return conform(spark.createDataFrame([], contract.raw_schema), contract).schema
 
 
 def test_answers(result):
