@@ -48,7 +48,9 @@ def top_by_group(
     Only the distinct values of a group are ranked, carrying how many rows share
     each, so neither a large group nor a large tie is ever gathered in one task:
     ties collapse before the shuffle and Spark cuts each task's output to
-    ``ranks`` values per group. The winning values are then joined back.
+    ``ranks`` values per group (up to 1,000, the default of
+    spark.sql.optimizer.windowGroupLimitThreshold). The winning values are then
+    joined back.
     ``df`` appears twice in the plan, hence the demand for exact values (sums of
     floating-point numbers may differ between two evaluations).
     """

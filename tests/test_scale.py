@@ -142,6 +142,35 @@ def test_fact_join_splits_lines_without_an_order(spark):
         assert fact.filter("h is null").count() == 20_000
 
 
+def test_revenue_splits_a_hot_product(spark):
+    fact = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") % 900).cast("int")).alias("on"),
+        F.sha2(F.col("id").cast("string"), 256).alias("shop"),
+        F.lit(1).cast("decimal(19,4)").alias("amount"),
+    )
+    products = spark.range(60_000, numPartitions=8).select(
+        F.col("id").alias("k"), (F.col("id") % 5).alias("color")
+    )
+    with settings(spark, SKEW):
+        revenue = op.revenue_by_year(fact, products, "k", "on", "amount", ["color", "shop"])
+        assert "SortMergeJoin(skew=true)" in final_plan(revenue)
+        assert revenue.agg(F.sum("Revenue")).first()[0] == 60_000
+
+
+def test_childless_parents_see_each_child_key_once(spark):
+    child = spark.range(90_000).select((F.col("id") % 10).alias("c"))
+    parent = spark.range(50_000).select(F.col("id").alias("p"))
+    with settings(spark, NO_BROADCAST):
+        df = op.childless_parents(parent, "p", child, "c")
+        text = final_plan(df)
+        assert df.count() == 49_990
+    assert "LeftAnti" in text
+    below_the_join = text.split("LeftAnti")[1]
+    assert below_the_join.count("HashAggregate(keys=[__key") == 2
+    assert text.count("Exchange hashpartitioning") == 2
+
+
 @pytest.mark.parametrize("broadcast", [{}, NO_BROADCAST])
 def test_foreign_key_check_is_one_shuffle_of_counts(spark, broadcast):
     child = spark.range(30_000).select((F.col("id") % 10).alias("c"))
