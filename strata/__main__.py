@@ -16,9 +16,8 @@ def main() -> None:
     parser.add_argument("--multi-line", action="store_true", help="accept quoted line breaks")
     args = parser.parse_args()
     # Master, memory and shuffle settings belong to spark-submit.
-    spark = (
-        SparkSession.builder.appName("strata").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    )
+    builder = SparkSession.builder.appName("strata").config("spark.sql.session.timeZone", "UTC")
+    spark = builder.getOrCreate()
     inputs = {t: f"{args.input.rstrip('/')}/{f}" for t, f in sales.INPUT_FILES.items()}
     result = run(spark, inputs, args.output, args.multi_line)
     for name, answer in result.analysis.items():

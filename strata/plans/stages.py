@@ -146,7 +146,9 @@ def build_publish(store: Mapping[str, DataFrame], output: str) -> dict[str, Laye
     )
 
 
-def analyse(orders: DataFrame, product: DataFrame, output: str | None = None) -> dict[str, DataFrame]:
+def analyse(
+    orders: DataFrame, product: DataFrame, output: str | None = None
+) -> dict[str, DataFrame]:
     """Both questions; exported as CSV where an output folder is given."""
     answers = {
         "top_color_by_year": sales.top_color_by_year(orders, product),

@@ -11,7 +11,8 @@ DELIMITED_OPTIONS = {"header": "true", "sep": ",", "encoding": "UTF-8"}
 
 def header_columns(spark: SparkSession, path: str, **options: str) -> list[str]:
     """Column names from the header line; reads the first line only."""
-    return spark.read.options(**{**DELIMITED_OPTIONS, **options}, inferSchema="false").csv(path).columns
+    settings = {**DELIMITED_OPTIONS, **options, "inferSchema": "false"}
+    return spark.read.options(**settings).csv(path).columns
 
 
 def scan_delimited(
