@@ -1,6 +1,6 @@
 from strata.sources.delimited import header_columns, scan_delimited
 from strata.sources.layers import LayerTable, export_csv, layer_path, write_layer
-from strata.sources.scratch import scratch_dir
+from strata.sources.scratch import scratch_base, scratch_dir
 
 __all__ = [
     "LayerTable",
@@ -8,6 +8,7 @@ __all__ = [
     "header_columns",
     "layer_path",
     "scan_delimited",
+    "scratch_base",
     "scratch_dir",
     "write_layer",
 ]

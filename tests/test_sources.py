@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -12,6 +13,7 @@ from strata.sources import (
     header_columns,
     layer_path,
     scan_delimited,
+    scratch_base,
     scratch_dir,
     write_layer,
 )
@@ -126,8 +128,33 @@ def test_export_lands_in_one_file_in_order(spark, tmp_path):
     assert lines[0] == "k,count" and [int(l.split(",")[0]) for l in lines[1:]] == list(range(9))
 
 
-def test_scratch_follows_the_shared_folder(spark):
-    assert scratch_dir(spark) != scratch_dir(spark)
-    settings = {"spark.checkpoint.dir": "hdfs://shared/tmp/"}
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=settings.get))
-    assert scratch_dir(cluster).startswith("hdfs://shared/tmp/scratch-")
+def _session(master, checkpoint=None, **settings):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
+    conf = {key.replace("_", "."): value for key, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=context)
+
+
+def test_scratch_folders_are_new_and_made(spark):
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first != second
+    assert os.path.isdir(first.removeprefix("file:"))
+
+
+def test_scratch_takes_the_named_folder_first():
+    named = _session("yarn", "hdfs://b", spark_checkpoint_dir="hdfs://a/tmp/")
+    assert scratch_base(named) == "hdfs://a/tmp"
+    assert scratch_base(_session("yarn", "hdfs://b/x")) == "hdfs://b/x"
+
+
+def test_scratch_takes_a_shared_warehouse_only():
+    assert scratch_base(_session("yarn", spark_sql_warehouse_dir="s3a://w")) == "s3a://w/_scratch"
+    for local in ("file:/w", "/w", "", None):
+        with pytest.raises(RuntimeError):
+            scratch_base(_session("yarn", spark_sql_warehouse_dir=local))
+
+
+def test_scratch_is_local_only_within_one_process():
+    for master in ("local", "local[4]", "local[*]"):
+        assert os.path.isdir(scratch_base(_session(master)))
+    with pytest.raises(RuntimeError):
+        scratch_base(_session("local-cluster[2,1,1024]"))
