@@ -8,23 +8,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.minhash import NearDuplicates, near_duplicates
+from strata.llm.quality import COUNTS, judge_quality
+from strata.llm.sharding import shard_rows
+from strata.llm.urls import UrlRule, judge_urls
+
+SHARDS = 40
+
+# Rules by host and path with their verdicts.
+HOST_RULES = (
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+)
+# Words that mark advertising and adult hosts or paths when no host rule fits.
+UNWANTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; shard sizes differ by one row at most."""
+    text = F.coalesce("text", F.lit(""))
+    sized = read(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    sharded = shard_rows(sized, SHARDS)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at a shingle similarity of 0.85 and more."""
     found = near_duplicates(read(spark, sf_dir, "documents"), NearDuplicates(numerator=85))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def url_rules() -> list[UrlRule]:
+    """The host rules ahead of the unwanted words."""
+    named = [UrlRule(name, f"||{name}", verdict, rank=1) for name, verdict in HOST_RULES]
+    return named + [UrlRule(word, f"^{word}^") for word in UNWANTED_WORDS]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL; ``rule`` names host rules only, ``pattern`` any rule."""
+    judged = judge_urls(read(spark, sf_dir, "pages"), url_rules())
+    rule = F.when(F.col("rule").isin([name for name, _ in HOST_RULES]), F.col("rule"))
+    return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict", "pattern")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the line-frequency verdict on every document."""
+    judged = judge_quality(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "n_removed_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sharding": op1_sharding,
         "op3_minhash_dedup": op3_minhash_dedup,
+        "op4_url_filters": op4_url_filters,
+        "op6_quality_rules": op6_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from strata.llm.oracles import ORACLES
+
+    return dict(ORACLES)
