@@ -46,7 +46,7 @@ def _quality_rules() -> str:
     return rf"""
 with docs as (select doc_id, source, coalesce(text, '') as text from documents),
 worded as (
-  select doc_id, list_filter(regexp_split_to_array(text, '{white}'), x -> x <> '') as words from docs),
+  select doc_id, list_filter(regexp_split_to_array(text, '{white}'), lambda x: x <> '') as words from docs),
 windowed as (
   select doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as run
   from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from worded)),
@@ -73,7 +73,7 @@ removed as (
   group by s.doc_id),
 counted as (
   select d.doc_id, len(w.words)::bigint as n_words,
-    coalesce(list_sum(list_transform(w.words, x -> length(x))), 0)::bigint as word_chars,
+    coalesce(list_sum(list_transform(w.words, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
     coalesce(u.n_dup_lines, 0)::bigint as n_dup_lines,
     coalesce(r.n_repeat_words, 0)::bigint as n_repeat_words,
