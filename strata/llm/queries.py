@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.minhash import NearDuplicates, near_duplicates
+from strata.llm.packing import pack_documents
 from strata.llm.quality import COUNTS, judge_quality
 from strata.llm.sharding import shard_rows
+from strata.llm.token_files import token_files
 from strata.llm.urls import UrlRule, judge_urls
 
 SHARDS = 40
+END_ID = 2
 
 # Rules by host and path with their verdicts.
 HOST_RULES = (
@@ -49,6 +52,19 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str) -> str:
+    """Where the installed vocabulary files are."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 1024 tokens."""
+    docs = read(spark, sf_dir, "documents")
+    return pack_documents(docs, vocabulary("byte_bpe_50k.json"), END_ID, 1024)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at a shingle similarity of 0.85 and more."""
     found = near_duplicates(read(spark, sf_dir, "documents"), NearDuplicates(numerator=85))
@@ -74,12 +90,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", "n_removed_words")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the binary token files."""
+    docs = read(spark, sf_dir, "documents")
+    return token_files(docs, vocabulary("word_bpe_49k.json"), END_ID)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_packing": op2_packing,
         "op3_minhash_dedup": op3_minhash_dedup,
         "op4_url_filters": op4_url_filters,
         "op6_quality_rules": op6_quality_rules,
+        "op9_token_files": op9_token_files,
     }
 
 
