@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import find_leaks
 from strata.llm.minhash import NearDuplicates, near_duplicates
 from strata.llm.packing import pack_documents
 from strata.llm.quality import COUNTS, judge_quality
@@ -96,6 +97,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, vocabulary("word_bpe_49k.json"), END_ID)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document."""
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -104,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filters": op4_url_filters,
         "op6_quality_rules": op6_quality_rules,
         "op9_token_files": op9_token_files,
+        "op10_decontamination": op10_decontamination,
     }
 
 
