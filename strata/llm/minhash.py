@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
@@ -58,13 +59,15 @@ class NearDuplicates:
 
 
 SIGNED = "n_shingles long, node binary, bands array<long>, signature array<long>"
-BLOCK = 1024  # members of a bucket that one task compares with as many others
+BLOCK = 512  # members of a bucket that one task compares with as many others
+BLOCK_SHINGLES = 1 << 21  # shingles of such a block
+RUN = ("band", "left", "right")  # a block of a bucket and another one, or itself
 
 
 def near_duplicates(
     docs: DataFrame, rule: NearDuplicates = NearDuplicates(), folder: str | None = None
 ) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, text_key, n_shingles, component, component_id, kept) for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id that links lead to, the document's own
     included; ``kept`` says that it is its own. A text without words (null, empty,
@@ -72,13 +75,15 @@ def near_duplicates(
     and texts of equal shingles are one class, which stands for them in bands and
     links; a class of nulls among doc_ids takes its smallest other doc_id, and
     where a component has none, its component_id is null and its rows are kept.
-    ``text_key`` is the MD5 of the text. Other columns of ``docs`` are ignored.
+    ``text_key`` is the MD5 of the text and ``component`` a digest that names the
+    component, null without shingles. Other columns of ``docs`` are ignored.
 
     Buckets of a band are never paired off. Each member is confirmed against the
     bucket's least member; only where that leaves a bucket in several components
     are members of different ones compared, block by block, and pairs whose
     distances to the least member differ by more than the allowed distance are
-    passed over, since Jaccard distance is a metric.
+    passed over, since Jaccard distance is a metric. A block yields the links that
+    join its components, so its output grows with its members, not their pairs.
     """
     spark = docs.sparkSession
     folder = folder or scratch_dir(spark)
@@ -91,11 +96,11 @@ def near_duplicates(
     checked = write_layer(checked, layer_path(folder, "minhash", "checked")).frame
     links = checked.where("linked").select("a", "b")
     joined = connected_components(links, f"{folder}/first")
-    rest = write_layer(
-        _crossing(shared, classes, joined, checked, rule), layer_path(folder, "minhash", "crossing")
+    open_rows = write_layer(
+        _open_members(shared, classes, joined, checked, rule), layer_path(folder, "minhash", "open")
     )
-    if rest.rows:
-        more = _confirm(texts, classes, rest.frame, rule).where("linked").select("a", "b")
+    if open_rows.rows:
+        more = _joining_links(texts, classes, open_rows.frame, rule)
         more = write_layer(links.union(more), layer_path(folder, "minhash", "links"))
         joined = connected_components(more.frame, f"{folder}/second")
     return _labelled(signed, classes, joined)
@@ -227,6 +232,7 @@ def _classes(signed: DataFrame) -> DataFrame:
             F.min("text_key").alias("text_key"),
             F.first("bands").alias("bands"),
             F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
         )
     )
 
@@ -271,15 +277,7 @@ def _confirm(texts: DataFrame, classes: DataFrame, pairs: DataFrame, rule: NearD
     sent once and only its pairs are spread; the join splits a hub's pairs.
     """
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = classes.join(wanted, "node").select("node", "text_key")
-    texts = (
-        texts.select(F.unhex(F.md5("text")).alias("text_key"), "text")
-        .join(keys, "text_key")
-        .groupBy("node")
-        .agg(F.first("text").alias("text"))
-    )
-    folder = scratch_dir(texts.sparkSession)
-    fetched = write_layer(texts, layer_path(folder, "minhash", "texts")).frame
+    fetched = _texts_of(texts, classes, wanted)
     both = pairs.join(
         fetched.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     ).join(fetched.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -323,10 +321,23 @@ def _confirm(texts: DataFrame, classes: DataFrame, pairs: DataFrame, rule: NearD
     )
 
 
-def _crossing(
+def _texts_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text): one text of each wanted class, fetched by its key and stored."""
+    keys = classes.join(wanted, "node").select("node", "text_key")
+    found = (
+        texts.select(F.unhex(F.md5("text")).alias("text_key"), "text")
+        .join(keys, "text_key")
+        .groupBy("node")
+        .agg(F.first("text").alias("text"))
+    )
+    folder = scratch_dir(texts.sparkSession)
+    return write_layer(found, layer_path(folder, "minhash", "texts")).frame
+
+
+def _open_members(
     shared: DataFrame, classes: DataFrame, joined: DataFrame, checked: DataFrame, rule: NearDuplicates
 ) -> DataFrame:
-    """Candidate pairs of one bucket but different components, not yet confirmed.
+    """Members with a candidate in another component of their bucket, by run of blocks.
 
     Only buckets of three and more members with several components matter.
     Members linked to the pivot are one component, so they meet the others only.
@@ -335,14 +346,21 @@ def _crossing(
     labels = joined.withColumnRenamed("component", "label")
     members = (
         shared.where("n > 2")
+        .drop("n")
         .join(labels, "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
+        .join(classes.select("node", "n_shingles"), "node")
     )
+    size = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
     mixed = (
         members.groupBy("band")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.ceil(size).cast("int").alias("blocks"),
+        )
         .where("low != high")
-        .select("band")
+        .select("band", "blocks")
     )
     distance = checked.select(
         F.col("a").alias("pivot"),
@@ -352,7 +370,7 @@ def _crossing(
     )
     is_pivot = F.col("pivot") == F.col("node")
     near = is_pivot | F.coalesce("linked", F.lit(False))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = F.col("blocks")
     part = F.pmod(F.xxhash64("node"), blocks).cast("int")
     others = F.sequence(F.lit(0), 2 * blocks - 1)
     sent = (
@@ -362,7 +380,6 @@ def _crossing(
             "band",
             "node",
             "label",
-            near.alias("near"),
             F.when(is_pivot, 0.0).otherwise(F.coalesce("gap", F.lit(2.0))).alias("gap"),
             F.when(near, part).otherwise(blocks + part).alias("block"),
             F.when(near, F.slice(others, blocks + 1, blocks)).otherwise(others).alias("others"),
@@ -370,18 +387,38 @@ def _crossing(
         .withColumn("other", F.explode("others"))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .drop("others", "other")
-        .join(classes.select("node", "signature"), "node")
-        .repartition("band", "left", "right")
-        .sortWithinPartitions("band", "left", "right")
-        .select("band", "left", "right", "block", "node", "label", "gap", "signature")
+        .join(classes.select("node", "signature", "bands"), "node")
     )
-    pairs = sent.mapInArrow(BlockComparison(rule), "a binary, b binary").distinct()
-    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    return _by_run(sent, OpenRows(rule), OPEN)
+
+
+def _joining_links(
+    texts: DataFrame, classes: DataFrame, open_rows: DataFrame, rule: NearDuplicates
+) -> DataFrame:
+    """(a, b): confirmed links that join components within runs of blocks."""
+    fetched = _texts_of(texts, classes, open_rows.select("node").distinct())
+    return _by_run(open_rows.join(fetched, "node"), JoiningLinks(rule), "a binary, b binary")
+
+
+OPEN = (
+    "band long, left int, right int, block int, node binary, label binary, gap double, "
+    "signature array<long>, bands array<long>"
+)
+
+
+def _by_run(rows: DataFrame, task: BlockComparison, schema: str) -> DataFrame:
+    """Apply a task to rows that come together by run."""
+    columns = [part.split()[0] for part in OPEN.split(", ")]
+    columns += ["text"] if "text" in rows.columns else []
+    ordered = rows.repartition(*RUN).sortWithinPartitions(*RUN)
+    return ordered.select(*columns).mapInArrow(task, schema)
 
 
 class BlockComparison:
-    """Compares signatures within runs of rows that share band, left and right block."""
+    """Candidates within runs of rows that share band, left and right block.
+
+    A pair counts in the first band that it shares, so in one run only.
+    """
 
     def __init__(self, rule: NearDuplicates):
         self.rule = rule
@@ -392,37 +429,46 @@ class BlockComparison:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
-            keys = [table.column(name).to_numpy() for name in ("band", "left", "right")]
+            keys = [table.column(name).to_numpy() for name in RUN]
             starts = np.flatnonzero(np.logical_or.reduce([np.diff(k) != 0 for k in keys])) + 1
             cut = int(starts[-1]) if len(starts) else 0
             held = table.slice(cut)
             if cut:
-                yield self._pairs(table.slice(0, cut), [0, *starts.tolist()])
+                yield from self.compare(table.slice(0, cut), [0, *starts.tolist()])
         if held is not None and len(held):
-            yield self._pairs(held, [0, len(held)])
+            yield from self.compare(held, [0, len(held)])
+
+    def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+        raise NotImplementedError
 
-    def _pairs(self, table: pa.Table, bounds: list[int]) -> pa.RecordBatch:
-        node = table.column("node").to_pylist()
-        label = table.column("label").to_pylist()
-        label = np.unique(np.array(label, dtype="S16"), return_inverse=True)[1]
+    def candidates(self, table: pa.Table, bounds: list[int]) -> Iterator[list[tuple[int, int, int]]]:
+        """For each run, (unequal lanes, row, row) of pairs of different components."""
+        n = len(table)
+        label = np.array(table.column("label").to_pylist(), dtype="S16")
+        label = np.unique(label, return_inverse=True)[1]
         gap, block = table.column("gap").to_numpy(), table.column("block").to_numpy()
-        left, right = table.column("left").to_numpy(), table.column("right").to_numpy()
-        flat = table.column("signature").combine_chunks().flatten().to_numpy()
-        sign = flat.reshape(len(node), -1).view(np.uint64)
-        found = []
+        band, left, right = (table.column(name).to_numpy() for name in RUN)
+        sign, bands = (
+            table.column(name).combine_chunks().flatten().to_numpy().reshape(n, -1)
+            for name in ("signature", "bands")
+        )
+        sign = sign.view(np.uint64)
+        most = self.rule.hashes - self.rule.least_lanes
         for start, end in zip(bounds, bounds[1:]):
             rows = start + np.flatnonzero(block[start:end] == left[start])
             cols = start + np.flatnonzero(block[start:end] == right[start])
+            found = []
             for i in rows:
                 against = cols[cols > i] if left[start] == right[start] else cols
                 against = against[label[against] != label[i]]
                 against = against[self._in_reach(gap[i], gap[against])]
                 if len(against):
+                    first = (bands[against] == bands[i]).argmax(axis=1)
+                    against = against[bands[i][first] == band[start]]
                     unequal = unequal_lanes(sign[against] ^ sign[i], self.rule.bits).sum(axis=1)
-                    alike = against[self.rule.hashes - unequal >= self.rule.least_lanes]
-                    found += [sorted((node[i], node[j])) for j in alike]
-        columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+                    alike = unequal <= most
+                    found += zip(unequal[alike].tolist(), repeat(int(i)), against[alike].tolist())
+            yield found
 
     def _in_reach(self, gap: float, others: np.ndarray) -> np.ndarray:
         """Whether distances to the pivot allow a link; those over 1 are not known."""
@@ -430,18 +476,91 @@ class BlockComparison:
         return known | ((others > 1) & (gap > self.allowed))
 
 
+class OpenRows(BlockComparison):
+    """Rows of runs that are in a candidate pair."""
+
+    def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+        needed = np.zeros(len(table), dtype=bool)
+        for found in self.candidates(table, bounds):
+            for _, i, j in found:
+                needed[i] = needed[j] = True
+        yield from table.filter(pa.array(needed)).to_batches()
+
+
+class JoiningLinks(BlockComparison):
+    """Links of a run, likeliest first, passing over pairs that earlier ones joined."""
+
+    def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+        rule, hasher = self.rule, WordHasher()
+        node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
+        texts = table.column("text").combine_chunks()
+        links = []
+        for found in self.candidates(table, bounds):
+            sets: dict[int, np.ndarray] = {}
+            over: dict[bytes, bytes] = {}
+
+            def root(at: bytes) -> bytes:
+                while at in over:
+                    at = over[at]
+                return at
+
+            for _, i, j in sorted(found):
+                a, b = root(label[i]), root(label[j])
+                if a == b:
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        words = ascii_words(texts[k].as_py().encode())
+                        sets[k] = shingle_set(hasher(words), rule.width)
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                total = len(sets[i]) + len(sets[j]) - common
+                if rule.denominator * common >= rule.numerator * total:
+                    over[a] = b
+                    links.append((node[i], node[j]))
+        columns = [pa.array([pair[k] for pair in links], pa.binary()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def _labelled(signed: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
     """Component and verdict of every row."""
     labelled = classes.select("node", "first_id").join(joined, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    labels = labelled.select("node", "component").join(smallest, "component").drop("component")
+    labels = labelled.select("node", "component").join(smallest, "component")
     found = signed.select("doc_id", "text_key", "n_shingles", "node").join(labels, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
         "doc_id",
         "text_key",
         "n_shingles",
+        "component",
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, rule: NearDuplicates = NearDuplicates(), folder: str | None = None
+) -> DataFrame:
+    """One document of each component, and every document without words, with all columns.
+
+    The one is the kept document; where several rows share its doc_id, the one of
+    least text key, and of equal rows any one.
+    """
+    found = near_duplicates(docs, rule, folder)
+    chosen = (
+        found.where("kept and component is not null")
+        .groupBy("component")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("_chosen"))
+        .select(F.col("_chosen.doc_id").alias("_id"), F.col("_chosen.text_key").alias("_key"))
+    )
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5("text")) == F.col("_key"))
+    own = Window.partitionBy("_id", "_key").orderBy("_key")
+    first = (
+        docs.where(words)
+        .join(chosen, same)
+        .withColumn("_row", F.row_number().over(own))
+        .where("_row = 1")
+    )
+    return first.select(*docs.columns).union(docs.where(~words))
