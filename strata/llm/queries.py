@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from strata.llm.decontaminate import find_leaks
 from strata.llm.minhash import NearDuplicates, near_duplicates
 from strata.llm.packing import pack_documents
+from strata.llm.pii import find_pii, fit_on
 from strata.llm.quality import COUNTS, judge_quality
 from strata.llm.sharding import shard_rows
+from strata.llm.suffixes import find_repeats
 from strata.llm.token_files import token_files
 from strata.llm.urls import UrlRule, judge_urls
 
@@ -91,6 +93,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", "n_removed_words")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that several documents hold."""
+    return find_repeats(read(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    docs = read(spark, sf_dir, "documents")
+    found = docs.select("doc_id", find_pii(F.col("text"), fit_on(docs)).alias("found"))
+    return found.select("doc_id", "found.*").drop("masked")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as read back from the binary token files."""
     docs = read(spark, sf_dir, "documents")
@@ -109,6 +123,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_minhash_dedup": op3_minhash_dedup,
         "op4_url_filters": op4_url_filters,
         "op6_quality_rules": op6_quality_rules,
+        "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_pii": op8_pii,
         "op9_token_files": op9_token_files,
         "op10_decontamination": op10_decontamination,
     }
