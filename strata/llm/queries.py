@@ -12,6 +12,7 @@ from strata.llm.minhash import NearDuplicates, near_duplicates
 from strata.llm.packing import pack_documents
 from strata.llm.pii import find_pii, fit_on
 from strata.llm.quality import COUNTS, judge_quality
+from strata.llm.secrets import scan_secrets
 from strata.llm.sharding import shard_rows
 from strata.llm.suffixes import find_repeats
 from strata.llm.token_files import token_files
@@ -87,6 +88,19 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict", "pattern")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every string that could be a secret, with the forest's score and verdict."""
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "start",
+        (F.col("start") + F.length("candidate")).alias("end"),
+        F.sha2("candidate", 256).alias("candidate_sha256"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the line-frequency verdict on every document."""
     judged = judge_quality(read(spark, sf_dir, "documents"))
@@ -122,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": op2_packing,
         "op3_minhash_dedup": op3_minhash_dedup,
         "op4_url_filters": op4_url_filters,
+        "op5_secret_scan": op5_secret_scan,
         "op6_quality_rules": op6_quality_rules,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_pii": op8_pii,
