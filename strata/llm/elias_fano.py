@@ -13,7 +13,7 @@ import struct
 import numpy as np
 
 SAMPLE = 256
-_HEADER = struct.Struct("<QQBQQQ")
+_HEADER = "<QQBQQQ"
 
 
 class EliasFano:
@@ -39,15 +39,15 @@ class EliasFano:
         return cls(n, limit, low_bits, low, high, ones[::SAMPLE].astype(np.uint64))
 
     def to_bytes(self) -> bytes:
-        head = _HEADER.pack(
-            self.n, self.limit, self.low_bits, len(self.low), len(self.high), len(self.samples)
+        head = struct.pack(
+            _HEADER, self.n, self.limit, self.low_bits, len(self.low), len(self.high), len(self.samples)
         )
         return head + self.low.tobytes() + self.high.tobytes() + self.samples.tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
-        n, limit, low_bits, n_low, n_high, n_samples = _HEADER.unpack_from(data)
-        at = _HEADER.size
+        n, limit, low_bits, n_low, n_high, n_samples = struct.unpack_from(_HEADER, data)
+        at = struct.calcsize(_HEADER)
         low = np.frombuffer(data, np.uint8, n_low, at)
         high = np.frombuffer(data, np.uint64, n_high, at + n_low)
         samples = np.frombuffer(data, np.uint64, n_samples, at + n_low + 8 * n_high)

@@ -25,7 +25,7 @@ from strata.llm.words import utf8
 from strata.sources import layer_path, scratch_dir, write_layer
 
 MAGIC = b"TOKENS01"
-FOOTER = struct.Struct("<BQQQqQQ8s")  # id width, ids, documents, null doc_ids, least doc_id, sizes
+FOOTER = "<BQQQqQQ8s"  # id width, ids, documents, null doc_ids, least doc_id, sizes
 FILE_IDS = 1 << 26  # ids after which a task starts another file
 MANIFEST = "partition int, part int, path string, n_docs long, n_ids long"
 
@@ -60,7 +60,7 @@ class TokenFileWriter:
         self.stream.write(named)
         sizes = (len(ends), len(named), MAGIC)
         self.stream.write(
-            FOOTER.pack(self.width, self.ids, len(self.ends), self.nulls, least, *sizes)
+            struct.pack(FOOTER, self.width, self.ids, len(self.ends), self.nulls, least, *sizes)
         )
         self.stream.close()
 
@@ -71,12 +71,13 @@ class TokenFile:
     def __init__(self, source):
         self.source = source
         size = source.size()
-        if size < FOOTER.size + len(MAGIC) or source.read_at(len(MAGIC), 0) != MAGIC:
+        footer_size = struct.calcsize(FOOTER)
+        if size < footer_size + len(MAGIC) or source.read_at(len(MAGIC), 0) != MAGIC:
             raise ValueError("not a token file")
-        footer = FOOTER.unpack(source.read_at(FOOTER.size, size - FOOTER.size))
+        footer = struct.unpack(FOOTER, source.read_at(footer_size, size - footer_size))
         self.width, self.n_ids, self.n_docs, self.nulls, self.least, n_ends, n_named, magic = footer
         sections = len(MAGIC) + self.width * self.n_ids
-        if magic != MAGIC or sections + n_ends + n_named + FOOTER.size != size:
+        if magic != MAGIC or sections + n_ends + n_named + footer_size != size:
             raise ValueError("a damaged token file")
         self.ends = EliasFano.from_bytes(source.read_at(n_ends, sections))
         self.named = EliasFano.from_bytes(source.read_at(n_named, sections + n_ends))
