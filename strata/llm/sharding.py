@@ -34,7 +34,8 @@ def _walked(number: Column, n: int, seed: int, forward: bool) -> Column:
 
     Results of n and more are permuted again. Such numbers are fewer than the
     square root of n, and a walk meets none twice, so a walk has no more steps
-    than there are such numbers, and hardly any row starts one.
+    than there are such numbers, and hardly any row starts one. The steps are
+    counted in two nested loops, whose product covers the longest walk.
     """
     if n < 1:
         return number.cast("long")
@@ -44,12 +45,15 @@ def _walked(number: Column, n: int, seed: int, forward: bool) -> Column:
     first = _network(number.cast("long"), high, low, seed, forward)
     if not outside:
         return first
-    walk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(outside)),
-        first,
-        lambda at, _: F.when(at < n, at).otherwise(_network(at, high, low, seed, forward)),
-    )
-    return F.when(first < n, first).otherwise(walk)
+    loop = F.sequence(F.lit(1), F.lit(math.isqrt(outside) + 1))
+
+    def step(at: Column, _: Column) -> Column:
+        return F.when(at < n, at).otherwise(_network(at, high, low, seed, forward))
+
+    def steps(at: Column, _: Column) -> Column:
+        return F.when(at < n, at).otherwise(F.aggregate(loop, at, step))
+
+    return F.when(first < n, first).otherwise(F.aggregate(loop, first, steps))
 
 
 def _network(number: Column, high: int, low: int, seed: int, forward: bool) -> Column:

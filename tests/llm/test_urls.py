@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm.queries import url_rules
+from strata.llm.urls import UrlRule, host_of, index_rules, judge_urls, path_of
+
+URLS = [
+    None, "", "no scheme", "http://", "http://net", "http://a.net/", "https://A.Example.NET/en/1",
+    "http://example.net/enx", "http://example.com/de/", "http://x.example.com/de/y?q=://z.net/",
+    "http://b.org/fr/a#t", "http://b.org/fr", "http://notexample.net/en/", "http://ads.b.org/",
+    "http://b.org/casino", "http://b.org/CASINO", "http://b.org/x-pills.html", "http://b.org/casinos",
+    "http://b.org?x=casino", "ftp://u@h:21/p", "x://y//z", "http://b.org/a\nb/casino", "http://\u212anet/spam",
+] + ["http://copy.net/en/"] * 30
+
+
+def plain(url):
+    """Host, path, rule and verdict by trying every rule."""
+    tail = (url or "").split("://", 1)[1] if "://" in (url or "") else ""
+    host = re.match(r"[^/?#]*", tail)[0]
+    path = re.match(r"[^?#]*", tail[len(host) :])[0]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fitting = []
+    for rule in url_rules():
+        if rule.rank:
+            name, _, rest = rule.name.partition("/")
+            if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+                fitting.append(rule)
+        elif re.search(rf"(?:[^A-Za-z0-9]|^){rule.name}(?:[^A-Za-z0-9]|$)", host + path):
+            fitting.append(rule)
+    best = min(fitting, key=lambda r: (-r.rank, -len(r.name), r.name), default=None)
+    return host, path, best and best.name, best.verdict if best else "allow"
+
+
+def test_verdicts_equal_trying_every_rule(spark):
+    rows = [(i, u, "clash") for i, u in enumerate(URLS)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, verdict string").repartition(3)
+    judged = judge_urls(frame, url_rules()).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in judged] == [plain(u) for u in URLS]
+
+
+def test_host_and_path(spark):
+    frame = spark.createDataFrame([("HTTP://Ab.C:80/P?x#y",)], "u string")
+    row = frame.select(host_of(F.col("u")).alias("h"), path_of(F.col("u")).alias("p")).first()
+    assert (row.h, row.p) == ("ab.c:80", "/P")
+
+
+def test_rules_are_filed_under_their_rarest_whole_token():
+    rules = [UrlRule("a", "||example.net/en/"), UrlRule("b", "^ads*track^"), UrlRule("c", "x*y")]
+    assert rules[0].tokens() == {"example", "net", "en"}
+    assert rules[1].tokens() == set() and rules[2].tokens() == set()
+    index = index_rules(rules, {"example": 9, "net": 5, "en": 2})
+    assert index == {"en": [0], "": [1, 2]}
+
+
+@pytest.mark.parametrize("pattern", ["||net/", "^casino^", "||a.b^c*d^"])
+def test_a_match_holds_all_tokens(pattern):
+    rule = UrlRule("r", pattern)
+    for target in ("net/", "x.net/y", "casino", "a/casino/", "a.b/c/1/d/", "q.a.b.c-d"):
+        if re.search(rule.regex(), target):
+            assert rule.tokens() <= set(re.findall("[a-z0-9]+", target))
+
+
+def test_empty_table_and_no_rules(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert judge_urls(none, url_rules()).count() == 0
+    one = spark.createDataFrame([(1, "http://net/")], "page_id long, url string")
+    assert judge_urls(one, [], default="block").first().verdict == "block"
