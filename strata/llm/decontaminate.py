@@ -11,15 +11,17 @@ radius are verified by exact similarity of their weighted shingle sets.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import WordHasher, ascii_words, mix, utf8, windows
+from strata.llm.words import mix, utf8, windows, word_hashes
 
 
 @dataclass(frozen=True)
@@ -45,14 +47,13 @@ LEAK = "array<struct<item_id: long, start: int, n_words: int, similarity: double
 
 @dataclass
 class SizeIndex:
-    """Items of one number of words, and block tables of their fingerprints."""
+    """Items of one number of words, and their fingerprints."""
 
     words: int
     items: list[int] = field(default_factory=list)
     shingles: list[np.ndarray] = field(default_factory=list)
     weights: list[np.ndarray] = field(default_factory=list)
     prints: np.ndarray | None = None
-    tables: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     known: np.ndarray | None = None
     known_weights: np.ndarray | None = None
     least: float = 0.0
@@ -69,11 +70,10 @@ def shingle_weights(items: DataFrame, rule: LeakRule, text: str = "text") -> Dat
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
             rows = []
             for item_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                words = hasher(ascii_words(raw))
+                words = word_hashes(raw)
                 if len(words):
                     shingles = np.unique(windows(words, rule.width)).view(np.int64)
                     rows.append((item_id, len(words), shingles))
@@ -124,10 +124,6 @@ def _finished(sizes: dict[int, SizeIndex], rule: LeakRule, other: float) -> dict
         size.least = rule.similarity * min(w.sum() for w in size.weights) - 1e-9
         rows = [signs(s, w, rule).sum(axis=0) > TIE for s, w in zip(size.shingles, size.weights)]
         size.prints = np.packbits(np.array(rows), axis=1)
-        for block in _blocks(size.prints, rule).T:
-            order = np.argsort(block, kind="stable")
-            starts = np.searchsorted(block[order], np.arange((1 << rule.bits // rule.blocks) + 1))
-            size.tables.append((starts.astype(np.int32), order.astype(np.int32)))
     sizes[-1] = SizeIndex(-1, least=other)  # weight of shingles that no item has
     return sizes
 
@@ -146,6 +142,47 @@ def _blocks(prints: np.ndarray, rule: LeakRule) -> np.ndarray:
     return prints.view(np.uint16)
 
 
+class BlockTables:
+    """Multi-index of all fingerprints: for each block, which items have which value."""
+
+    def __init__(self, sizes: list[SizeIndex], rule: LeakRule):
+        self.rule = rule
+        self.prints = np.concatenate([size.prints for size in sizes])
+        self.size = np.concatenate([np.full(len(s.items), k) for k, s in enumerate(sizes)])
+        self.first = np.cumsum([0, *(len(s.items) for s in sizes)])
+        blocks = _blocks(self.prints, rule)
+        self.order = np.argsort(blocks, axis=0, kind="stable").T
+        self.values = np.take_along_axis(blocks, self.order.T, axis=0).T.copy()
+        self.present = np.zeros((rule.blocks, 1 << 16), dtype=bool)
+        for block, values in zip(self.present, self.values):
+            block[values] = True
+        width = rule.bits // rule.blocks
+        flips = [
+            sum(1 << b for b in bits)
+            for n in range(rule.radius // rule.blocks + 1)
+            for bits in itertools.combinations(range(width), n)
+        ]
+        self.flips = np.array(flips, dtype=np.uint16)
+
+    def within(self, own: np.ndarray, size: int) -> list[tuple[int, int]]:
+        """(item of the size, distance) of fingerprints within the radius."""
+        fetched = []
+        for k, value in enumerate(_blocks(own[None], self.rule)[0]):
+            near = value ^ self.flips
+            near = near[self.present[k][near]]
+            if len(near):
+                low = np.searchsorted(self.values[k], near, side="left")
+                high = np.searchsorted(self.values[k], near, side="right")
+                fetched += [self.order[k][a:b] for a, b in zip(low.tolist(), high.tolist())]
+        if not fetched:
+            return []
+        items = np.unique(np.concatenate(fetched))
+        items = items[self.size[items] == size]
+        distance = np.bitwise_count(self.prints[items] ^ own).sum(axis=1)
+        close = distance <= self.rule.radius
+        return list(zip((items[close] - self.first[size]).tolist(), distance[close].tolist()))
+
+
 class LeakFinder:
     """Leaks of one text, from an index of items."""
 
@@ -153,47 +190,62 @@ class LeakFinder:
         self.rule = rule
         self.other = sizes[-1].least
         self.sizes = [size for words, size in sorted(sizes.items()) if words > 0]
-        self.hasher = WordHasher()
-        flips = rule.radius // rule.blocks
-        self.flips = np.array(
-            [
-                sum(1 << b for b in bits)
-                for n in range(flips + 1)
-                for bits in itertools.combinations(range(rule.bits // rule.blocks), n)
-            ],
-            dtype=np.uint16,
-        )
+        self.tables = BlockTables(self.sizes, rule)
+        owners = np.concatenate([np.full(len(s.known), k) for k, s in enumerate(self.sizes)])
         known = np.concatenate([size.known for size in self.sizes])
+        order = np.argsort(known, kind="stable")
+        self.known, first = np.unique(known[order], return_index=True)
+        self.owners = np.split(owners[order], first[1:])  # sizes that have a shingle
+        self.weights = np.concatenate([size.known_weights for size in self.sizes])[order][first]
         self.maybe = np.zeros(1 << 22, dtype=bool)
         self.maybe[known >> np.uint64(42)] = True
         self.widths = sorted({min(rule.width, size.words) for size in self.sizes})
 
     def __call__(self, text: bytes | None) -> list[tuple]:
-        words = self.hasher(ascii_words(text))
+        words = word_hashes(text)
         if not len(words):
             return []
         found = []
         for width in self.widths:
             shingles = windows(words, width)
-            if not self.maybe[shingles >> np.uint64(42)].any():
+            at = np.flatnonzero(self.maybe[shingles >> np.uint64(42)])
+            place = np.minimum(np.searchsorted(self.known, shingles[at]), len(self.known) - 1)
+            same = self.known[place] == shingles[at]
+            at, place = at[same], place[same]
+            if not len(at):
                 continue
-            for size in self.sizes:
-                if min(self.rule.width, size.words) == width:
-                    found += self._of_size(shingles, size, len(words), min(width, len(words)))
+            weights = np.full(len(shingles), self.other)
+            weights[at] = self.weights[place]
+            held: dict[int, list[int]] = {}
+            for position, shingle in zip(at.tolist(), place.tolist()):
+                for k in self.owners[shingle].tolist():
+                    held.setdefault(k, []).append(position)
+            for k, positions in sorted(held.items()):
+                if min(self.rule.width, self.sizes[k].words) == width:
+                    span = min(self.sizes[k].words, len(words)) - min(width, len(words)) + 1
+                    found += self._of_size(shingles, weights, np.array(positions), k, span, len(words))
         return found
 
-    def _of_size(self, shingles: np.ndarray, size: SizeIndex, n: int, width: int) -> list[tuple]:
-        """The best verified window of each item of one size."""
-        place = np.minimum(np.searchsorted(size.known, shingles), len(size.known) - 1)
-        hit = size.known[place] == shingles
-        if not hit.any():
-            return []
-        span = min(size.words, n) - width + 1  # shingles of a window
-        total = np.concatenate([[0.0], np.cumsum(np.where(hit, size.known_weights[place], 0.0))])
+    def _of_size(
+        self,
+        shingles: np.ndarray,
+        weights: np.ndarray,
+        held: np.ndarray,
+        number: int,
+        span: int,
+        n: int,
+    ) -> list[tuple]:
+        """The best verified window of each item of one size.
+
+        ``held`` are the places of shingles that items of the size have; a window
+        in which these weigh too little can match none of them.
+        """
+        size = self.sizes[number]
+        total = np.zeros(len(shingles) + 1)
+        total[held + 1] = weights[held]
+        total = np.cumsum(total)
         able = np.flatnonzero(total[span:] - total[:-span] >= size.least)
         best: dict[int, tuple] = {}
-        if len(able):
-            weights = np.where(hit, size.known_weights[place], self.other)
         for group in np.split(able, np.flatnonzero(np.diff(able) > span) + 1) if len(able) else []:
             low, high = int(group[0]), int(group[-1]) + span
             votes = np.cumsum(signs(shingles[low:high], weights[low:high], self.rule), axis=0, dtype=np.float64)
@@ -201,7 +253,7 @@ class LeakFinder:
             at = group - low
             prints = np.packbits(votes[at + span] - votes[at] > TIE, axis=1)
             for start, own in zip(group.tolist(), prints):
-                for k, distance in self._within(own, size):
+                for k, distance in self.tables.within(own, number):
                     alike = self._similarity(shingles[start : start + span], weights[start : start + span], size, k)
                     if alike >= self.rule.similarity and alike > best.get(k, (0,))[0]:
                         best[k] = (alike, start, distance)
@@ -210,20 +262,6 @@ class LeakFinder:
             for k, (alike, start, distance) in sorted(best.items())
         ]
 
-    def _within(self, own: np.ndarray, size: SizeIndex) -> list[tuple[int, int]]:
-        """Items within the radius, by block tables and then by all bits."""
-        fetched = []
-        for value, (starts, order) in zip(_blocks(own[None], self.rule)[0], size.tables):
-            near = value ^ self.flips
-            near = near[starts[near] < starts[near.astype(np.int32) + 1]]
-            fetched += [order[starts[v] : starts[v + 1]] for v in near.astype(np.int32).tolist()]
-        if not fetched:
-            return []
-        items = np.unique(np.concatenate(fetched))
-        distance = np.bitwise_count(size.prints[items] ^ own).sum(axis=1)
-        close = distance <= self.rule.radius
-        return list(zip(items[close].tolist(), distance[close].tolist()))
-
     def _similarity(self, shingles: np.ndarray, weights: np.ndarray, size: SizeIndex, k: int) -> float:
         """Weight in common over weight in all, of the two sets."""
         own, at = np.unique(shingles, return_index=True)
@@ -243,14 +281,15 @@ def leaks_of(text: Column, items: DataFrame, rule: LeakRule = LeakRule()) -> Col
     found each. No document row moves, so no source, copy or passage can be too
     frequent; what tasks share is bounded, further items go to further indexes.
     """
-    spark = items.sparkSession
-    found = [_leak_function(spark.sparkContext.broadcast(sizes), rule)(text) for sizes in build_indexes(items, rule)]
+    context = items.sparkSession.sparkContext
+    shared = [context.broadcast(cloudpickle.dumps(sizes)) for sizes in build_indexes(items, rule)]
+    found = [_leak_function(index, rule)(text) for index in shared]
     if not found:
         return F.array().cast(LEAK)
     return found[0] if len(found) == 1 else F.concat(*found)
 
 
-def _leak_function(sizes, rule: LeakRule):
+def _leak_function(index, rule: LeakRule):
     finder: list[LeakFinder] = []
     fields = [
         ("item_id", pa.int64()),
@@ -264,7 +303,7 @@ def _leak_function(sizes, rule: LeakRule):
     @F.arrow_udf(LEAK)
     def find(text: pa.Array) -> pa.Array:
         if not finder:
-            finder.append(LeakFinder(sizes.value, rule))
+            finder.append(LeakFinder(pickle.loads(index.value), rule))
         names = [name for name, _ in fields]
         found = [[dict(zip(names, leak)) for leak in finder[0](raw)] for raw in utf8(text)]
         return pa.array(found, kind)

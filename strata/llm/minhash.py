@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
-from strata.llm.words import WordHasher, ascii_words, mix, shingle_set, utf8
+from strata.llm.names import unused
+from strata.llm.words import mix, shingle_set, utf8, word_hashes
 from strata.sources import layer_path, scratch_dir, write_layer
 
 
@@ -121,11 +122,11 @@ def _sign(texts: DataFrame, rule: NearDuplicates) -> DataFrame:
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, signer = WordHasher(), Signer(rule)
+        signer = Signer(rule)
         for batch in batches:
             counts, nodes, bands, signatures = [], [], [], []
             for text in utf8(batch.column("text")):
-                shingles = shingle_set(hasher(ascii_words(text)), rule.width)
+                shingles = shingle_set(word_hashes(text), rule.width)
                 counts.append(len(shingles))
                 if len(shingles):
                     nodes.append(xxhash.xxh3_128_digest(shingles.tobytes()))
@@ -293,14 +294,14 @@ def _confirm(texts: DataFrame, classes: DataFrame, pairs: DataFrame, rule: NearD
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, last, first = WordHasher(), None, None
+        last = first = None
         for batch in batches:
             common, total = [], []
             rows = zip(batch.column("a").to_pylist(), utf8(batch.column("text_a")), utf8(batch.column("text_b")))
             for a, text_a, text_b in rows:
                 if a != last:
-                    last, first = a, shingle_set(hasher(ascii_words(text_a)), width)
-                second = shingle_set(hasher(ascii_words(text_b)), width)
+                    last, first = a, shingle_set(word_hashes(text_a), width)
+                second = shingle_set(word_hashes(text_b), width)
                 shared = len(np.intersect1d(first, second, assume_unique=True))
                 common.append(shared)
                 total.append(len(first) + len(second) - shared)
@@ -491,7 +492,7 @@ class JoiningLinks(BlockComparison):
     """Links of a run, likeliest first, passing over pairs that earlier ones joined."""
 
     def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
-        rule, hasher = self.rule, WordHasher()
+        rule = self.rule
         node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
         texts = table.column("text").combine_chunks()
         links = []
@@ -510,8 +511,7 @@ class JoiningLinks(BlockComparison):
                     continue
                 for k in (i, j):
                     if k not in sets:
-                        words = ascii_words(texts[k].as_py().encode())
-                        sets[k] = shingle_set(hasher(words), rule.width)
+                        sets[k] = shingle_set(word_hashes(texts[k].as_py().encode()), rule.width)
                 common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 total = len(sets[i]) + len(sets[j]) - common
                 if rule.denominator * common >= rule.numerator * total:
@@ -547,20 +547,21 @@ def without_near_duplicates(
     The one is the kept document; where several rows share its doc_id, the one of
     least text key, and of equal rows any one.
     """
+    own_id, own_key, row = unused(docs, "_id", "_key", "_row")
     found = near_duplicates(docs, rule, folder)
     chosen = (
         found.where("kept and component is not null")
         .groupBy("component")
         .agg(F.min(F.struct("doc_id", "text_key")).alias("_chosen"))
-        .select(F.col("_chosen.doc_id").alias("_id"), F.col("_chosen.text_key").alias("_key"))
+        .select(F.col("_chosen.doc_id").alias(own_id), F.col("_chosen.text_key").alias(own_key))
     )
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5("text")) == F.col("_key"))
-    own = Window.partitionBy("_id", "_key").orderBy("_key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.unhex(F.md5("text")) == F.col(own_key))
+    own = Window.partitionBy(own_id, own_key).orderBy(own_key)
     first = (
         docs.where(words)
         .join(chosen, same)
-        .withColumn("_row", F.row_number().over(own))
-        .where("_row = 1")
+        .withColumn(row, F.row_number().over(own))
+        .where(F.col(row) == 1)
     )
     return first.select(*docs.columns).union(docs.where(~words))

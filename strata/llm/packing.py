@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.names import unused
 from strata.llm.tokens import TextEncoder, as_bytes
 from strata.llm.words import utf8
 from strata.sources import layer_path, scratch_dir, write_layer
@@ -151,24 +152,25 @@ def pack_pieces(pieces: DataFrame, capacity: int, folder: str | None = None) ->
     """
     folder = folder or scratch_dir(pieces.sparkSession)
     pieces = pieces.drop("sequence_id", "offset")
+    own_part, size, start, rank, place = unused(pieces, "_part", "_size", "_start", "_rank", "_place")
     part = F.pmod(F.xxhash64("place_key"), F.lit(PARTS)).cast("int")
-    stored = write_layer(pieces.withColumn("_part", part), layer_path(folder, "packing", "pieces")).frame
-    sizes = stored.groupBy("length", "_part").agg(F.count("*").alias("_size"))
+    stored = write_layer(pieces.withColumn(own_part, part), layer_path(folder, "packing", "pieces")).frame
+    sizes = stored.groupBy("length", own_part).agg(F.count("*").alias(size))
     sizes = write_layer(sizes, layer_path(folder, "packing", "sizes")).frame
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_size").alias("n")).collect()}
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum(size).alias("n")).collect()}
     placements, _ = plan_sequences(counts, capacity)
-    earlier = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("length").orderBy(own_part).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "length", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+        "length", own_part, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(start)
     )
-    within = Window.partitionBy("length", "_part").orderBy("place_key")
+    within = Window.partitionBy("length", own_part).orderBy("place_key")
     ranked = (
-        stored.withColumn("_rank", F.row_number().over(within).cast("long") - 1)
-        .join(starts, ["length", "_part"])
-        .withColumn("_place", _finder(placements)(F.col("length"), F.col("_start") + F.col("_rank")))
+        stored.withColumn(rank, F.row_number().over(within).cast("long") - 1)
+        .join(starts, ["length", own_part])
+        .withColumn(place, _finder(placements)(F.col("length"), F.col(start) + F.col(rank)))
     )
     kept = [c for c in pieces.columns if c != "place_key"]
-    return ranked.select(*kept, "_place.*")
+    return ranked.select(*kept, f"{place}.*")
 
 
 def _finder(placements: list[Placement]):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import WordHasher, ascii_words, mix, utf8, windows
+from strata.llm.words import mix, powers, utf8, windows, word_hashes
 from strata.sources import layer_path, scratch_dir, write_layer
 
 
@@ -39,14 +39,8 @@ class RepeatRule:
         return self.least - self.gram + 1
 
 
-_FACTOR = 0x9E3779B97F4A7C15
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    powers = np.ones(n, dtype=np.uint64)
-    powers[1:] = base
-    return np.multiply.accumulate(powers)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 
 
 @dataclass
@@ -78,9 +72,9 @@ def kept_positions(words: np.ndarray, rule: RepeatRule) -> Positions:
 def stretch_hashes(words: np.ndarray, positions: Positions) -> np.ndarray:
     """Hash of each position's stretch and of the position within it."""
     n = len(words)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_FACTOR, n), dtype=np.uint64)])
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers(_FACTOR, n), dtype=np.uint64)])
     start, stop = positions.start, positions.stop
-    values = (sums[stop] - sums[start]) * _powers(_INVERSE, n)[start]
+    values = (sums[stop] - sums[start]) * powers(_INVERSE, n)[start]
     sizes = (stop - start).astype(np.uint64) << np.uint64(32) | (positions.at - start).astype(np.uint64)
     return mix(values ^ mix(sizes))
 
@@ -103,11 +97,10 @@ def _members(docs: DataFrame, rule: RepeatRule) -> DataFrame:
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
             keys, parts = [], [np.zeros((0, 5), dtype=np.int64)]
             for key, text in zip(batch.column("key").to_pylist(), utf8(batch.column("text"))):
-                words = hasher(ascii_words(text))
+                words = word_hashes(text)
                 kept = kept_positions(words, rule)
                 n = len(kept.at)
                 if not n:
@@ -231,11 +224,10 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
             rows = []
             for text, places in zip(utf8(batch.column("text")), batch.column("wanted").to_pylist()):
-                words = (hasher(ascii_words(text)) >> np.uint64(32)).astype(">u4")
+                words = (word_hashes(text) >> np.uint64(32)).astype(">u4")
                 for p in places:
                     at = p["at"]
                     right = words[at : at + p["after"]].tobytes()

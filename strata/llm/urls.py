@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.names import unused
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKEN = "[a-z0-9]+"
 MAX_RULE_BYTES = 32 << 20  # patterns that a task holds; more must be split into several calls
@@ -89,8 +91,9 @@ def judge_urls(
     index = index_rules(rules, token_counts(pages.select(target.alias("target")), rules))
     found = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     found = found.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")})
-    found = found.withColumn("_found", _matcher(rules, index, default)(F.concat("host", "path")))
-    return found.select(*pages.columns, "host", "path", "_found.*")
+    (match,) = unused(found, "_match")
+    found = found.withColumn(match, _matcher(rules, index, default)(F.concat("host", "path")))
+    return found.select(*pages.columns, "host", "path", f"{match}.*")
 
 
 def token_counts(targets: DataFrame, rules: list[UrlRule]) -> dict[str, int]:

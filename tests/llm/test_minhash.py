@@ -8,7 +8,7 @@ import pytest
 from strata.llm import minhash
 from strata.llm.components import connected_components
 from strata.llm.minhash import NearDuplicates, near_duplicates, pack_lanes, unequal_lanes
-from strata.llm.words import WordHasher, ascii_words, shingle_set
+from strata.llm.words import shingle_set, word_hashes
 from strata.sources import scratch_dir
 from tests.llm.data import components, edited, shingles, words
 
@@ -76,12 +76,12 @@ def test_lanes_pack_and_compare():
 
 def test_estimate_is_near_the_similarity():
     rule = NearDuplicates()
-    signer, hasher = minhash.Signer(rule), WordHasher()
+    signer = minhash.Signer(rule)
     base = words(10, 600)
     errors = []
     for seed in range(60):
-        first = shingle_set(hasher(ascii_words(" ".join(base).encode())), 5)
-        second = shingle_set(hasher(ascii_words(" ".join(edited(base, seed, 5 + seed)).encode())), 5)
+        first = shingle_set(word_hashes(" ".join(base).encode()), 5)
+        second = shingle_set(word_hashes(" ".join(edited(base, seed, 5 + seed)).encode()), 5)
         true = len(np.intersect1d(first, second)) / len(np.union1d(first, second))
         unequal = unequal_lanes(signer(first)[1].view(np.uint64) ^ signer(second)[1].view(np.uint64), 4).sum()
         errors.append(minhash.estimated_similarity(float(rule.hashes - unequal), rule) - true)

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from strata.llm.packing import pack_documents, plan_sequences
+from strata.llm.tokens import TextEncoder, as_bytes
+
+BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+ODD = [
+    "", " ", "  ", "a  b", "a   b", "x \n\n y", "x\n y", "tail  ", "tail \n", "  x y", "\t\tfoo\r\n bar",
+    "ΣΑΣ ΟΔΟΣ", "İstanbul", "café café", "don't I'LL we've 'S", "日本語 テスト 12345", "a\x00b",
+    "<|endoftext|> hi", "👩‍👩‍👧 ok ½ ²", "x\x1cy \x85 z w", "ﬁ ſ K Å", "ß" * 50, "a" * 3000,
+]
+
+
+@pytest.fixture(scope="module", params=[BYTE, WORD])
+def pair(request):
+    library = Tokenizer.from_file(request.param)
+    library.encode_special_tokens = True
+    return TextEncoder(request.param, keep=50), library
+
+
+def same(pair, text):
+    encoder, library = pair
+    return encoder(text.encode()) == as_bytes(library.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts_get_the_librarys_ids(pair, text):
+    assert same(pair, text) and same(pair, text)  # the second time from memory
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(" \n\t'stSéñÉß.,!?12½aAbZ ́ſ日\r\x0b\x1c-#"), max_size=40))
+def test_any_text_gets_the_librarys_ids(text):
+    for pair in PAIRS:
+        assert same(pair, text)
+
+
+def _pairs():
+    for path in (BYTE, WORD):
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = True
+        yield TextEncoder(path, keep=50), library
+
+
+PAIRS = list(_pairs())
+
+
+def filled(counts, capacity):
+    placements, sequences = plan_sequences(counts, capacity)
+    bins, used = defaultdict(list), Counter()
+    for p in placements:
+        assert p.rank == used[p.length]
+        used[p.length] += p.count
+        for k in range(p.count):
+            bins[p.sequence + k].append((p.offset, p.length))
+    assert used == Counter(counts) and sorted(bins) == list(range(sequences))
+    for own in bins.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return sequences
+
+
+def first_fit(counts, capacity):
+    bins = []
+    for length in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        spot = next((i for i, room in enumerate(bins) if room >= length), None)
+        if spot is None:
+            bins.append(capacity - length)
+        else:
+            bins[spot] -= length
+    return len(bins)
+
+
+def test_plans_are_valid_and_no_worse_than_first_fit():
+    draw = random.Random(3)
+    total = best = 0
+    for _ in range(150):
+        capacity = draw.choice([9, 30, 100])
+        counts = {draw.randint(1, capacity): draw.randint(1, 20) for _ in range(draw.randint(1, 25))}
+        total += filled(counts, capacity)
+        best += first_fit(counts, capacity)
+    assert total <= best * 1.01
+    assert filled({}, 10) == 0
+    with pytest.raises(ValueError):
+        plan_sequences({11: 1}, 10)
+
+
+def test_a_plan_does_not_grow_with_the_number_of_pieces():
+    few = plan_sequences({n: 3 + n for n in range(1, 101)}, 100)[0]
+    many = plan_sequences({n: (3 + n) * 10**9 for n in range(1, 101)}, 100)[0]
+    assert len(many) < 3 * len(few)
+
+
+def test_messy_documents(clashing, messy_rows):
+    rows = pack_documents(clashing, BYTE, 2, 128, with_ids=True).collect()
+    library = Tokenizer.from_file(BYTE)
+    want = Counter()
+    for doc_id, text, *_ in messy_rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        first = (len(ids) - 1) % 128 + 1
+        cuts = [0, *range(first, len(ids) + 1, 128)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[doc_id, piece, a, b - a, zlib.crc32(as_bytes(ids[a:b]))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for own in sequences.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 128
+    assert len(sequences) <= first_fit(Counter(r.length for r in rows), 128)
+
+
+def test_empty_table(no_docs):
+    assert pack_documents(no_docs, BYTE, 2).count() == 0

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from strata.llm import secrets as sc
+from strata.llm.secrets import SecretRule, find_candidates, scan_secrets
+from tests.llm.data import words
+
+
+def plain(rows):
+    pattern = re.compile(sc.CANDIDATE)
+    return Counter(
+        (row[0], m.start(), m[0]) for row in rows for m in pattern.finditer(row[1] or "")
+    )
+
+
+def found(frame):
+    return Counter((r.doc_id, r.start, r.candidate) for r in find_candidates(frame).collect())
+
+
+def leaky(n=160, seed=1):
+    """Texts with secrets (1) and look-alikes (0)."""
+    draw = random.Random(seed)
+    rows = []
+    for k in range(n):
+        value = "".join(draw.choice("0123456789abcdef") for _ in range(40))
+        kind = k % 4
+        line = {
+            0: f'api_key = "{value}"',
+            1: f"commit {value} by",
+            2: "the " + "return" * 2 + "handlerobjectvalue" + " of it",
+            3: f"password: '{value[:20].upper()}x9'",
+        }[kind]
+        rows.append((k, " ".join(words(k, 12)) + " " + line + " " + " ".join(words(k + 900, 8)), f"src/{k}"))
+    return rows
+
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def test_candidates_equal_the_pattern(clashing, messy_rows):
+    assert found(clashing) == plain(messy_rows)
+
+
+def test_candidates_at_ends_and_side_by_side(spark):
+    one = "a1" * 10
+    texts = [one, f" {one}", f"{one}\n{one} 😀 {one}.", "x" * 25, "é" + one, (one + " ") * 3000, None, ""]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(0, one, None)] * 2
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert found(frame) == plain(rows)
+
+
+def test_the_forest_tells_held_out_findings_apart(spark):
+    train = sc.labelled_by_context(find_candidates(spark.createDataFrame(leaky(), SCHEMA)))
+    labels = Counter(r.label for r in train.collect())
+    assert labels[1] > 0 and labels[0] > 0
+    held_out = spark.createDataFrame([(k, t, "lib/" + s) for k, t, s in leaky(120, seed=2)], SCHEMA)
+    got = scan_secrets(held_out, train).collect()
+    right = sum(r.is_secret == (r.doc_id % 4 in (0, 3)) for r in got)
+    assert right / len(got) > 0.95
+
+
+def test_labels_of_one_kind_and_none(spark):
+    rows = [r for r in leaky(40) if r[0] % 4 == 0]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert all(r.is_secret and r.score == 1.0 for r in scan_secrets(frame).collect())
+    unlabelled = find_candidates(frame).selectExpr("*", "cast(null as int) as label")
+    assert sc.train(unlabelled) == 1.0
+
+
+def test_the_training_sample_is_bounded(spark):
+    rule = SecretRule(labelled=10, trees=3)
+    got = scan_secrets(spark.createDataFrame(leaky(), SCHEMA), rule=rule)
+    assert got.count() > 100
+
+
+def test_empty_table(no_docs):
+    assert scan_secrets(no_docs).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    got = scan_secrets(spark.createDataFrame(leaky(), SCHEMA))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
