@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import without_leaks
 from strata.llm.minhash import without_near_duplicates
+from strata.llm.names import unused
 from strata.llm.packing import pack_documents
 from strata.llm.pii import find_pii, fit_on
 from strata.llm.quality import judge_quality
@@ -44,8 +45,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind in brackets."""
-    found = docs.withColumn("_found", find_pii(F.col("text"), fit_on(docs)))
-    return _with_text(found, "_found.masked").select(*docs.columns)
+    (own,) = unused(docs, "_pii")
+    found = docs.withColumn(own, find_pii(F.col("text"), fit_on(docs)))
+    return _with_text(found, f"{own}.masked").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

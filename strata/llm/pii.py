@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.words import utf8
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 
@@ -31,6 +33,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+AGREEING = 1_000  # agreeing pairs of alike words that training starts from, for each label
 WORD = re.compile(r"[^ \t-\r]+")
 FEATURES = 44
 Span = tuple[str, int, int]
@@ -192,7 +195,7 @@ class SkipChain:
     weights: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
-    threshold: float = 0.9
+    threshold: float = 0.8
     rounds: int = 12
 
     def beliefs(self, field: Field) -> np.ndarray:
@@ -281,8 +284,8 @@ def fit(texts: Iterable[str], steps: int = 300, penalty: float = 1e-3) -> SkipCh
             weights += speed
     else:
         weights[-1, 0] = 5.0  # nothing seen: every word is an ordinary one
-    alike += alike.T
-    return SkipChain(weights, _pointwise(chain), _pointwise(alike + 5 * np.eye(len(LABELS))))
+    alike += alike.T + AGREEING * np.eye(len(LABELS))
+    return SkipChain(weights, _pointwise(chain), _pointwise(alike))
 
 
 def _pointwise(counts: np.ndarray) -> np.ndarray:
@@ -293,18 +296,22 @@ def _pointwise(counts: np.ndarray) -> np.ndarray:
 
 
 TRAINING_TEXTS = 2_000  # the bound of the sample that potentials are fitted to
+TRAINING_LENGTH = 20_000  # and of the texts in it, in code points
 
 
 def fit_on(docs: DataFrame, texts: int = TRAINING_TEXTS) -> SkipChain:
-    """Potentials from at most ``texts`` texts with digits: those of least hash, so any
-    order and partitioning of the documents gives the same model."""
-    sample = (
-        docs.select(F.col("text").cast("string").alias("text"))
-        .where(F.col("text").rlike("[0-9]") & (F.length("text") < 20_000))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(texts)
+    """Potentials from at most ``texts`` different texts with digits: those of least hash,
+    so any order and partitioning of the documents gives the same model. The driver
+    gets hashes first, and then the texts of that sample alone."""
+    signed = docs.select(F.col("text").cast("string").alias("text")).where(
+        F.col("text").rlike("[0-9]") & (F.length("text") < TRAINING_LENGTH)
     )
-    return fit(row["text"] for row in sample.collect())
+    signed = signed.withColumn("mark", F.xxhash64("text"))
+    marks = signed.select("mark").distinct().orderBy("mark").limit(texts).collect()
+    if not marks:
+        return fit([])
+    sample = signed.where(F.col("mark") <= marks[-1]["mark"]).groupBy("mark").agg(F.min("text").alias("text"))
+    return fit(row["text"] for row in sample.orderBy("mark").collect())
 
 
 PII = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, masked string"
@@ -323,15 +330,17 @@ def find_pii(text: Column, model: SkipChain) -> Column:
     @F.arrow_udf(PII)
     def find(texts: pa.Array) -> pa.Array:
         rows = []
-        for text in texts.to_pylist():
+        for raw in utf8(texts):
+            text = raw.decode(errors="replace") if raw is not None else None
             base, spans = model.spans(text or "")
             counts = [sum(kind == own for own, _, _ in base) for kind in KINDS]
             digest = hashlib.sha256(joined(base).encode()).hexdigest()
-            rows.append((*counts, digest, joined(spans), mask(text, spans)))
+            rows.append((*counts, digest, joined(spans), mask(text, spans) if spans else None))
         columns = list(zip(*rows)) if rows else [()] * len(names)
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return find(text)
+    found = find(text)
+    return found.withField("masked", F.coalesce(found["masked"], text))
 
 
 def mask(text: str | None, spans: list[Span]) -> str | None:

@@ -17,7 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import WordHasher, utf8, windows
+from strata.llm.names import unused
+from strata.llm.words import WHITE, utf8, windows, word_hashes
 from strata.sources import layer_path, scratch_dir, write_layer
 
 
@@ -39,7 +40,6 @@ class LineRules:
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 VERDICT = (*COUNTS, "n_removed_words", "base_failed", "kept", "clean_text")
-WHITE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 _DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 
@@ -63,11 +63,14 @@ def judge_quality(
     docs = docs.drop(*VERDICT)
     folder = folder or scratch_dir(docs.sparkSession)
     frequent = write_layer(_frequent_lines(docs, rules, host), layer_path(folder, "quality", "lines"))
-    lists = frequent.frame.groupBy("_host").agg(F.collect_list("line").alias("_lines"))
-    lists = write_layer(lists, layer_path(folder, "quality", "hosts")).frame
-    judged = docs.join(lists, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
-    judged = judged.withColumn("_found", _count_text(rules)("text", "_lines"))
-    return judged.select(*docs.columns, "_found.*")
+    own_host, lines, found = unused(docs, "_host", "_lines", "_found")
+    lists = frequent.frame.groupBy("_host").agg(F.collect_list("line").alias(lines))
+    lists = write_layer(lists.withColumnRenamed("_host", own_host), layer_path(folder, "quality", "hosts"))
+    judged = docs.join(lists.frame, F.col(host).eqNullSafe(F.col(own_host)), "left")
+    judged = judged.withColumn(found, _count_text(rules)(F.col("text").cast("string"), F.col(lines)))
+    clean = F.coalesce(F.col(f"{found}.clean_text"), F.col("text").cast("string"))
+    verdict = [f"{found}.{name}" for name in VERDICT if name != "clean_text"]
+    return judged.select(*docs.columns, *verdict, clean.alias("clean_text"))
 
 
 def normal_line(line: bytes) -> bytes:
@@ -119,29 +122,28 @@ def _frequent_lines(docs: DataFrame, rules: LineRules, host: str) -> DataFrame:
 
 
 def _count_text(rules: LineRules):
-    """Arrow function of a text and its host's frequent lines."""
+    """Arrow function of a text and its host's frequent lines.
+
+    Texts that lose no line come back as null, which saves sending them twice.
+    """
     fields = [(name, pa.int64()) for name in (*COUNTS, "n_removed_words")]
     fields += [("base_failed", pa.bool_()), ("kept", pa.bool_()), ("clean_text", pa.string())]
     kind = pa.struct(fields)
-    hasher: list[WordHasher] = []
-
     @F.arrow_udf(
         ", ".join(f"{name} long" for name in (*COUNTS, "n_removed_words"))
         + ", base_failed boolean, kept boolean, clean_text string"
     )
     def count(text: pa.Array, lines: pa.Array) -> pa.Array:
-        if not hasher:
-            hasher.append(WordHasher())
         rows, last, frequent = [], None, frozenset()
         for raw, listed in zip(utf8(text), lines.to_pylist()):
             if listed != last:
                 last, frequent = listed, frozenset(listed or ())
-            counts = count_text(raw or b"", hasher[0])
-            clean, removed = remove_lines(raw, frequent) if raw and frequent else (raw, 0)
+            counts = count_text(raw or b"")
+            clean, removed = remove_lines(raw, frequent) if raw and frequent else (None, 0)
             n_words, repeated = counts[0], counts[4]
             failed = n_words < rules.min_words or repeated > rules.max_repeated * n_words
             kept = not failed and n_words - removed >= rules.min_left * n_words
-            rows.append((*counts, removed, failed, kept, clean))
+            rows.append((*counts, removed, failed, kept, clean if removed else None))
         columns = list(zip(*rows)) if rows else [()] * len(fields)
         clean = pa.array(columns[-1], pa.binary()).cast(pa.string())
         arrays = [pa.array(v, f[1]) for v, f in zip(columns[:-1], fields)]
@@ -150,9 +152,9 @@ def _count_text(rules: LineRules):
     return count
 
 
-def count_text(text: bytes, hasher: WordHasher) -> tuple[int, int, int, int, int]:
+def count_text(text: bytes) -> tuple[int, int, int, int, int]:
     """Words, code points in words, symbols, repeated lines, words in repeated 3-word windows."""
-    words = text.split()
+    words = word_hashes(text, lower=False)
     solid = text.translate(None, WHITE)
     letters = np.frombuffer(solid, dtype=np.uint8)
     chars = int(np.count_nonzero((letters & 0xC0) != 0x80))
@@ -160,7 +162,7 @@ def count_text(text: bytes, hasher: WordHasher) -> tuple[int, int, int, int, int
     lines = [line for line in text.split(b"\n") if line.strip()]
     repeated = 0
     if len(words) > 2:
-        runs = windows(hasher(words), 3)
+        runs = windows(words, 3)
         _, place, times = np.unique(runs, return_inverse=True, return_counts=True)
         twice = times[place] > 1
         covered = np.zeros(len(words), dtype=bool)
