@@ -45,9 +45,9 @@ class TextEncoder:
     remembered chunks.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
-        self._plain = Tokenizer.from_file(path)
-        self._plain.encode_special_tokens = True
+    def __init__(self, path: str, keep: int = 150_000):
+        self._path = path
+        self._plain: Tokenizer | None = None  # loaded for the first text that needs it
         self._keep = keep
         self._known: dict[bytes, bytes] = {}
         spec = json.load(open(path, encoding="utf-8"))
@@ -68,6 +68,9 @@ class TextEncoder:
         return self._encode(text) if text else b""
 
     def _by_library(self, text: bytes) -> bytes:
+        if self._plain is None:
+            self._plain = Tokenizer.from_file(self._path)
+            self._plain.encode_special_tokens = True
         return as_bytes(self._plain.encode(text.decode(errors="replace"), add_special_tokens=False).ids)
 
     def _by_byte_chunks(self, text: bytes) -> bytes:
