@@ -19,10 +19,10 @@ def main() -> None:
     builder = SparkSession.builder.appName("strata").config("spark.sql.session.timeZone", "UTC")
     spark = builder.getOrCreate()
     inputs = {t: f"{args.input.rstrip('/')}/{f}" for t, f in sales.INPUT_FILES.items()}
-    result = run(spark, inputs, args.output, args.multi_line)
-    for name, answer in result.analysis.items():
-        print(name)
-        answer.show(truncate=False)
+    result = run(spark, sales.PLAN, inputs, args.output, args.multi_line)
+    print(f"report: {result.quality.path}")
+    for name in result.analysis:
+        print(f"{name}: {args.output.rstrip('/')}/analysis/{name}")
     spark.stop()
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from strata.functions.text import NULL_TOKENS
+
 
 @dataclass(frozen=True)
 class TableContract:
@@ -16,12 +19,14 @@ class TableContract:
     ``primary_key`` is checked and reported, never enforced.
     ``partial_dates`` maps a DATE column that may arrive as ``YYYY-MM`` to the
     name of the precision column added right after it.
+    ``null_tokens`` are the texts that stand for "no value", in any spelling.
     """
 
     name: str
     columns: Mapping[str, str]
     primary_key: tuple[str, ...]
     partial_dates: Mapping[str, str] = field(default_factory=dict)
+    null_tokens: tuple[str, ...] = NULL_TOKENS
 
     def __post_init__(self) -> None:
         for column in (*self.primary_key, *self.partial_dates):
@@ -38,6 +43,12 @@ class TableContract:
         """Columns whose text can fail to convert."""
         return [c for c, t in self.columns.items() if t.upper() != "STRING"]
 
+    @property
+    def loose_dates(self) -> list[str]:
+        """DATE columns whose text the cast completes where month or day are missing."""
+        dates = [c for c, t in self.columns.items() if t.upper() == "DATE"]
+        return [c for c in dates if c not in self.partial_dates]
+
     @property
     def output_columns(self) -> list[str]:
         names: list[str] = []
@@ -86,3 +97,43 @@ class ValueRule:
     label: str
     equals: tuple[str, ...] = ()
     contains: tuple[str, ...] = ()
+
+
+Builder = Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
+@dataclass(frozen=True)
+class RunPlan:
+    """What a run does with a set of tables.
+
+    ``publish`` builds each published table from the typed ones, ``questions``
+    each answer from the published ones. ``rules`` hold for typed tables,
+    ``publish_rules`` for published ones. ``duplicate_lists`` names a list of
+    repeated primary keys and its table. ``input_files`` are the extracts' usual
+    file names.
+    """
+
+    contracts: tuple[TableContract, ...]
+    foreign_keys: tuple[ForeignKey, ...] = ()
+    rules: tuple[RowRule, ...] = ()
+    duplicate_lists: Mapping[str, str] = field(default_factory=dict)
+    publish: Mapping[str, Builder] = field(default_factory=dict)
+    publish_rules: tuple[RowRule, ...] = ()
+    questions: Mapping[str, Builder] = field(default_factory=dict)
+    input_files: Mapping[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        tables = {c.name for c in self.contracts}
+        named = [
+            *((fk.child_table, tables) for fk in self.foreign_keys),
+            *((fk.parent_table, tables) for fk in self.foreign_keys),
+            *((rule.table, tables) for rule in self.rules),
+            *((table, tables) for table in self.duplicate_lists.values()),
+            *((rule.table, set(self.publish)) for rule in self.publish_rules),
+        ]
+        unknown = sorted({name for name, known in named if name not in known})
+        if unknown:
+            raise ValueError(f"tables that the plan does not have: {unknown}")
+
+    def contract(self, table: str) -> TableContract:
+        return next(c for c in self.contracts if c.name == table)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,7 +63,16 @@ def business_days(start: Column | str, end: Column | str, reversed_range: str =
     return days if reversed_range == "negate" else F.when(end >= start, days)
 
 
-def lead_time(start: Column | str, end: Column | str, precision: Column | str) -> Column:
-    """Business days, but NULL when the start date is only known to the month."""
-    is_month = F.coalesce(_col(precision) == "month", F.lit(False))
+def lead_time(
+    start: Column | str,
+    end: Column | str,
+    precision: Column | str,
+    end_precision: Column | str | None = None,
+) -> Column:
+    """Business days, but NULL when a date is only known to the month.
+
+    ``precision`` belongs to the start; that of the end is looked at where given.
+    """
+    known = [_col(p) for p in (precision, end_precision) if p is not None]
+    is_month = reduce(or_, [F.coalesce(p == "month", F.lit(False)) for p in known])
     return F.when(~is_month, business_days(start, end))

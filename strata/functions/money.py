@@ -14,9 +14,10 @@ def extended_price(
 ) -> Column:
     """quantity x (price - discount), the discount being an amount per unit.
 
-    A product too large for ``sql_type`` becomes NULL instead of failing the job.
+    An amount too large for ``sql_type``, or a step on the way too large for any
+    decimal, becomes NULL instead of failing the job.
     """
     quantity, price, discount = (
         F.col(c) if isinstance(c, str) else c for c in (quantity, price, discount)
     )
-    return (quantity * (price - discount)).try_cast(sql_type)
+    return F.try_multiply(quantity, F.try_subtract(price, discount)).try_cast(sql_type)

@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text that stands for "no value", compared after trim and upper-casing.
+# Text that stands for "no value", in any spelling.
 NULL_TOKENS = ("", "NULL")
 
 
 def normalize_text(text: Column | str, null_tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """Trim spaces; NULL for empty text and for any spelling of a null token.
+    """Trim spaces; NULL for any spelling of a null token.
 
-    Text too long to be a token skips the upper-casing. Dotless i and long s, of
-    two bytes each, are the only letters that turn into ASCII when upper-cased,
-    so an ASCII token cannot be longer than one byte per letter and two per I or S.
+    Text and tokens are compared in upper case, as Spark writes it.
     """
-    if not all(token.isascii() for token in null_tokens):
-        raise ValueError("null tokens must be ASCII")
-    longest = max(len(token) + sum(token.upper().count(c) for c in "IS") for token in null_tokens)
     trimmed = F.trim(text)
-    is_token = (F.octet_length(trimmed) <= longest) & F.upper(trimmed).isin(*null_tokens)
+    if not null_tokens:
+        return trimmed
+    is_token = F.upper(trimmed).isin(*[F.upper(F.trim(F.lit(token))) for token in null_tokens])
     return F.when(~is_token, trimmed)
 
 

@@ -16,6 +16,7 @@ from strata.operators.quality import (
     conditional_null,
     count_rules,
     duplicate_keys,
+    key_report,
     null_profile,
     quality_report,
     rule_rows,
@@ -34,6 +35,7 @@ __all__ = [
     "date_span",
     "duplicate_keys",
     "keep_best",
+    "key_report",
     "lag_histogram",
     "map_values",
     "normalise",

@@ -12,6 +12,8 @@ from strata.functions import date_precision, normalize_text, partial_date, safe_
 from strata.operators.measures import Measure, measure
 
 TEXT_SUFFIX = "__text"
+# Fixed value: dates without a day, which Spark's cast completes.
+INCOMPLETE_DATE = r"^[0-9]{4}(-[0-9]{1,2})?\z"
 
 
 def normalise(raw: DataFrame, contract: TableContract) -> DataFrame:
@@ -20,7 +22,8 @@ def normalise(raw: DataFrame, contract: TableContract) -> DataFrame:
     Columns that are not declared disappear; a declared one that is missing
     fails the analysis.
     """
-    return raw.select(*[normalize_text(F.col(c)).alias(c) for c in contract.columns])
+    tokens = contract.null_tokens
+    return raw.select(*[normalize_text(F.col(c), tokens).alias(c) for c in contract.columns])
 
 
 def _typed(contract: TableContract, text: Callable[[str], Column]) -> list[Column]:
@@ -66,6 +69,23 @@ def cast_failure_measures(contract: TableContract) -> list[Measure]:
     ]
 
 
+def imputed_date_measures(contract: TableContract) -> list[Measure]:
+    """Per date column that is not declared partial, values given as YYYY or YYYY-MM.
+
+    The cast takes such text for the first day of its year or month. To be
+    evaluated over ``conform_with_text``.
+    """
+    return [
+        Measure(
+            "imputed_dates",
+            c,
+            "imputed",
+            F.count_if(F.col(c + TEXT_SUFFIX).rlike(INCOMPLETE_DATE) & F.col(c).isNotNull()),
+        )
+        for c in contract.loose_dates
+    ]
+
+
 def cast_failures(raw: DataFrame, contract: TableContract) -> DataFrame:
     """(column, failures), one row per cast column, in one pass over ``raw``."""
     audited = conform_with_text(raw, contract)

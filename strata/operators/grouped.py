@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.enrich import null_label
+
 TIED = "__tied"
 POSITION = "__position"
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def revenue_by_year(
@@ -48,14 +51,17 @@ def top_by_group(
     Only the distinct values of a group are ranked, carrying how many rows share
     each, so neither a large group nor a large tie is ever gathered in one task:
     ties collapse before the shuffle and Spark cuts each task's output to
-    ``ranks`` values per group (up to 1,000, the default of
-    spark.sql.optimizer.windowGroupLimitThreshold). The winning values are then
-    joined back.
+    ``ranks`` values per group. It does so up to a threshold (1,000 unless
+    spark.sql.optimizer.windowGroupLimitThreshold says otherwise), and more
+    ``ranks`` than that are refused. The winning values are then joined back.
     ``df`` appears twice in the plan, hence the demand for exact values (sums of
     floating-point numbers may differ between two evaluations).
     """
     if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)):
         raise ValueError(f"{value!r} is inexact; rank on a decimal or an integer")
+    most = int(df.sparkSession.conf.get(GROUP_LIMIT))
+    if ranks > most:
+        raise ValueError(f"{ranks} ranks: Spark cuts groups early up to {most}; raise {GROUP_LIMIT}")
     levels = df.groupBy(group, value).agg(F.count(F.lit(1)).alias(TIED))
     within = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
     above = F.coalesce(
@@ -91,15 +97,16 @@ def average_by_group(
     The label for a missing group is set after grouping, so a real group of that
     name stays apart. Sorted by the rounded average, highest first, then name.
     """
-    return (
+    grouped = (
         fact.join(dimension.select(key, group), on=key, how="inner")
         .groupBy(group)
         .agg(
             F.round(F.avg(value), digits).alias(average_name),
             F.count(value).alias(count_name),
         )
-        .fillna(label, subset=[group])
-        .orderBy(F.col(average_name).desc(), F.col(group).asc())
+    )
+    return null_label(grouped, [group], label).orderBy(
+        F.col(average_name).desc(), F.col(group).asc()
     )
 
 

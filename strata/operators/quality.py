@@ -7,19 +7,28 @@ the rows, NULL included, leaves each task as one partial count.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.contracts import ForeignKey, RowRule, TableContract
-from strata.operators.conform import cast_failure_measures, conform, conform_with_text
-from strata.operators.measures import LONG_SCHEMA, Measure, measure, unfold
+from strata.operators.conform import (
+    cast_failure_measures,
+    conform,
+    conform_with_text,
+    imputed_date_measures,
+)
+from strata.operators.measures import LONG_SCHEMA, Measure, measure
 
 ROWS = "__rows"
 KEY = "__key"
 FOUND = "__found"
+PARENTS = "__parents"
+SPACE = "__space"
 REPORT_SCHEMA = f"table string, {LONG_SCHEMA}"
 
 
@@ -150,9 +159,68 @@ def conditional_null(df: DataFrame, column: str, flag: Column) -> DataFrame:
     ).withColumn("valid", (F.col("null_without_flag") + F.col("flag_without_null")) == 0)
 
 
-def _long(row: DataFrame, check: str, column: str, metrics: Sequence[str]) -> DataFrame:
-    measures = [Measure(check, column, m, F.col(m)) for m in metrics]
-    return unfold(row.select(*[m.value.cast("bigint").alias(m.name) for m in measures]), measures)
+@dataclass(frozen=True)
+class _KeySpace:
+    """Values of one key: those of its table, and those that a child refers to."""
+
+    table: str
+    column: str
+    foreign_key: ForeignKey | None = None
+
+
+def _key_spaces(
+    contracts: Sequence[TableContract], foreign_keys: Sequence[ForeignKey]
+) -> list[_KeySpace]:
+    """One space per foreign key, and one per other single-column primary key."""
+    spaces = [_KeySpace(fk.parent_table, fk.parent_column, fk) for fk in foreign_keys]
+    covered = {(s.table, s.column) for s in spaces}
+    for contract in contracts:
+        if len(contract.primary_key) == 1 and (contract.name, contract.primary_key[0]) not in covered:
+            spaces.append(_KeySpace(contract.name, contract.primary_key[0]))
+    return spaces
+
+
+def _count_keys(store: Mapping[str, DataFrame], spaces: Sequence[_KeySpace]) -> DataFrame:
+    """(space, rows, distinct_keys, null_keys, orphans), one row per space.
+
+    Each table is scanned once, its keys of all spaces are stacked, and one
+    grouping counts, per value, the rows of the parent and of the child.
+    """
+    entries: dict[str, list[tuple[int, str, int, int]]] = {}
+    for number, space in enumerate(spaces):
+        entries.setdefault(space.table, []).append((number, space.column, 1, 0))
+        if space.foreign_key:
+            child = (number, space.foreign_key.child_column, 0, 1)
+            entries.setdefault(space.foreign_key.child_table, []).append(child)
+    kinds = {store[t].schema[c].dataType for t, own in entries.items() for _, c, _, _ in own}
+    shared = kinds.pop() if len(kinds) == 1 else T.StringType()
+    stacked = []
+    for table, own in entries.items():
+        cells = [
+            F.struct(
+                F.lit(number).alias(SPACE),
+                F.col(column).cast(shared).alias(KEY),
+                F.lit(parent).cast("bigint").alias(PARENTS),
+                F.lit(child).cast("bigint").alias(ROWS),
+            )
+            for number, column, parent, child in own
+        ]
+        stacked.append(store[table].select(F.inline(F.array(*cells))))
+    per_key = (
+        reduce(DataFrame.unionAll, stacked)
+        .groupBy(SPACE, KEY)
+        .agg(F.sum(PARENTS).alias(PARENTS), F.sum(ROWS).alias(ROWS))
+    )
+    known = F.col(KEY).isNotNull()
+    counted = per_key.groupBy(SPACE).agg(
+        F.sum(PARENTS).alias("rows"),
+        F.count_if(F.col(PARENTS) > 0).alias("distinct_keys"),
+        F.sum(F.when(~known, F.col(PARENTS))).alias("null_keys"),
+        F.sum(F.when(known & (F.col(PARENTS) == 0), F.col(ROWS))).alias("orphans"),
+    )
+    spark = next(iter(store.values())).sparkSession
+    every = spark.range(len(spaces), numPartitions=1).select(F.col("id").cast("int").alias(SPACE))
+    return every.join(counted, SPACE, "left").na.fill(0)
 
 
 def key_report(
@@ -160,24 +228,63 @@ def key_report(
     contracts: Sequence[TableContract],
     foreign_keys: Sequence[ForeignKey],
 ) -> list[DataFrame]:
-    """Primary- and foreign-key results as (table, check, column, metric, value)."""
-    parts = []
-    for contract in contracts:
-        key = list(contract.primary_key)
-        metrics = ["rows", "distinct_keys", "duplicate_rows", "null_keys", "valid"]
-        result = _long(
-            check_primary_key(store[contract.name], key), "primary_key", ", ".join(key), metrics
-        )
-        parts.append(_of_table(contract.name, result))
-    for fk in foreign_keys:
-        result = check_foreign_key(
-            store[fk.child_table], fk.child_column, store[fk.parent_table], fk.parent_column
-        )
-        long = _long(result, "foreign_key", fk.relation, ["orphans", "valid"])
-        parts.append(_of_table(fk.child_table, long))
+    """Primary- and foreign-key results as (table, check, column, metric, value).
+
+    All keys of one column are counted in a single grouping; a key of several
+    columns has one of its own.
+    """
+    parts = [
+        _composite_report(contract.name, store[contract.name], contract.primary_key)
+        for contract in contracts
+        if len(contract.primary_key) > 1
+    ]
+    spaces = _key_spaces(contracts, foreign_keys)
+    if not spaces:
+        return parts
+    keys = {(c.name, c.primary_key[0]) for c in contracts if len(c.primary_key) == 1}
+    listed = []
+    for space in spaces:
+        cells = []
+        if (space.table, space.column) in keys:
+            keys.discard((space.table, space.column))
+            cells += _primary_key_cells(space.table, space.column)
+        if space.foreign_key:
+            child, relation = space.foreign_key.child_table, space.foreign_key.relation
+            orphans = F.col("orphans")
+            cells.append(_report_cell(child, "foreign_key", relation, "orphans", orphans))
+            cells.append(_report_cell(child, "foreign_key", relation, "valid", orphans == 0))
+        listed.append(F.array(*cells))
+    counts = _count_keys(store, spaces)
+    parts.append(counts.select(F.inline(F.element_at(F.array(*listed), F.col(SPACE) + 1))))
     return parts
 
 
+def _primary_key_cells(table: str, column: str) -> list[Column]:
+    rows, distinct, nulls = (F.col(c) for c in ("rows", "distinct_keys", "null_keys"))
+    values = {
+        "rows": rows,
+        "distinct_keys": distinct,
+        "duplicate_rows": rows - distinct,
+        "null_keys": nulls,
+        "valid": (rows == distinct) & (nulls == 0),
+    }
+    return [_report_cell(table, "primary_key", column, m, v) for m, v in values.items()]
+
+
+def _composite_report(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
+    return check_primary_key(df, key).select(F.inline(F.array(*_primary_key_cells(table, ", ".join(key)))))
+
+
+def _report_cell(table: str, check: str, column: str, metric: str, value: Column) -> Column:
+    return F.struct(
+        F.lit(table).alias("table"),
+        F.lit(check).alias("check"),
+        F.lit(column).cast("string").alias("column"),
+        F.lit(metric).alias("metric"),
+        value.cast("bigint").alias("value"),
+    )
+
+
 def _of_table(table: str, long: DataFrame) -> DataFrame:
     return long.select(F.lit(table).alias("table"), "*")
 
@@ -188,6 +295,12 @@ def table_measures(contract: TableContract, rules: Sequence[RowRule]) -> list[Me
     return [*null_measures(contract.output_columns), *rule_measures(own)]
 
 
+def store_measures(contract: TableContract, rules: Sequence[RowRule]) -> list[Measure]:
+    """All counts of one typed table that need no grouping, over ``conform_with_text``."""
+    lost = [*cast_failure_measures(contract), *imputed_date_measures(contract)]
+    return [*table_measures(contract, rules), *lost]
+
+
 def union_report(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -201,17 +314,17 @@ def quality_report(
 ) -> DataFrame:
     """All checks as (table, check, column, metric, value).
 
-    Per table one pass over the raw rows for nulls, rules and failed casts, and
-    one grouping by key; per foreign key one join. Typed tables already written
-    can be given as ``store``, so that the key checks read only key columns. An
-    end-to-end run takes the first part from the writes themselves.
+    Per table one pass over the raw rows for nulls, rules, failed casts and
+    completed dates; all single-column keys come from one grouping, in which each
+    table is scanned once. Typed tables already written can be given as
+    ``store``, so that the key checks read only key columns. An end-to-end run
+    takes the first part from the writes themselves.
     """
     parts = []
     typed = dict(store or {})
     for contract in contracts:
         rows = raw[contract.name]
         typed.setdefault(contract.name, conform(rows, contract))
-        measures = [*table_measures(contract, rules), *cast_failure_measures(contract)]
-        profile = measure(conform_with_text(rows, contract), measures)
+        profile = measure(conform_with_text(rows, contract), store_measures(contract, rules))
         parts.append(_of_table(contract.name, profile))
     return union_report([*parts, *key_report(typed, contracts, foreign_keys)])

@@ -5,9 +5,12 @@ Everything here is a parameter of a generic operator.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 
-from strata.contracts import ForeignKey, RowRule, TableContract, ValueRule
+from strata.contracts import ForeignKey, RowRule, RunPlan, TableContract, ValueRule
 from strata.functions import extended_price, lead_time
 from strata.operators import (
     average_by_group,
@@ -70,6 +73,13 @@ SALES_ORDER_DETAIL = TableContract(
 )
 CONTRACTS = (PRODUCTS, SALES_ORDER_HEADER, SALES_ORDER_DETAIL)
 
+# The header with ship dates held to the same standard as order dates: YYYY-MM gets a
+# precision, YYYY is no date. By default both are completed by the cast, and counted.
+GUARDED_HEADER = replace(
+    SALES_ORDER_HEADER,
+    partial_dates={"OrderDate": "OrderDatePrecision", "ShipDate": "ShipDatePrecision"},
+)
+
 FOREIGN_KEYS = (
     ForeignKey("sales_order_detail", "SalesOrderID", "sales_order_header", "SalesOrderID"),
     ForeignKey("sales_order_detail", "ProductID", "products", "ProductID"),
@@ -95,7 +105,7 @@ RULES = (
 # Counted while the fact table is written: a price that does not fit its type is NULL.
 FACT_RULES = (
     RowRule(
-        "publish_orders",
+        "orders",
         "extended_price_lost",
         "TotalLineExtendedPrice IS NULL AND OrderQty IS NOT NULL "
         "AND UnitPrice IS NOT NULL AND UnitPriceDiscount IS NOT NULL",
@@ -137,17 +147,21 @@ def publish_orders(detail: DataFrame, header: DataFrame) -> DataFrame:
     """Order lines with their order, lead time and extended price.
 
     Freight is an amount of the whole order; its new name keeps it from being
-    summed per line.
+    summed per line. A guarded header's months have no lead time.
     """
+    guard = "ShipDatePrecision" if "ShipDatePrecision" in header.columns else None
     return build_fact(
         detail,
         header,
         key="SalesOrderID",
         rename={"Freight": "TotalOrderFreight"},
         derived={
-            "LeadTimeInBusinessDays": lead_time("OrderDate", "ShipDate", "OrderDatePrecision"),
+            "LeadTimeInBusinessDays": lead_time(
+                "OrderDate", "ShipDate", "OrderDatePrecision", guard
+            ),
             "TotalLineExtendedPrice": extended_price("OrderQty", "UnitPrice", "UnitPriceDiscount"),
         },
+        spread_by=("ProductID", "OrderQty", "UnitPrice"),
     )
 
 
@@ -185,3 +199,32 @@ def average_lead_time_by_category(orders: DataFrame, product: DataFrame) -> Data
         average_name="AvgLeadTimeInBusinessDays",
         count_name="OrderLinesWithLeadTime",
     )
+
+
+Tables = Mapping[str, DataFrame]
+
+
+def _orders(store: Tables) -> DataFrame:
+    return publish_orders(store["sales_order_detail"], store["sales_order_header"])
+
+
+def _product(store: Tables) -> DataFrame:
+    return publish_product(store["products"])
+
+
+PLAN = RunPlan(
+    contracts=CONTRACTS,
+    foreign_keys=FOREIGN_KEYS,
+    rules=RULES,
+    duplicate_lists={"duplicate_product_ids": "products"},
+    publish={"product": _product, "orders": _orders},
+    publish_rules=FACT_RULES,
+    questions={
+        "top_color_by_year": lambda t: top_color_by_year(t["orders"], t["product"]),
+        "avg_lead_time_by_category": lambda t: average_lead_time_by_category(
+            t["orders"], t["product"]
+        ),
+    },
+    input_files=INPUT_FILES,
+)
+GUARDED_PLAN = replace(PLAN, contracts=(PRODUCTS, GUARDED_HEADER, SALES_ORDER_DETAIL))

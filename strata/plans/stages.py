@@ -11,8 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.contracts import TableContract
-from strata.operators.conform import cast_failure_measures, conform_with_text, text_columns
+from strata.contracts import RunPlan
+from strata.operators.conform import conform_with_text, text_columns
 from strata.operators.measures import Measure
 from strata.operators.quality import (
     REPORT_SCHEMA,
@@ -20,10 +20,9 @@ from strata.operators.quality import (
     key_report,
     rule_measures,
     rule_rows,
-    table_measures,
+    store_measures,
     union_report,
 )
-from strata.plans import sales
 from strata.sources import LayerTable, export_csv, layer_path, scan_delimited, write_layer
 
 MALFORMED = "MalformedLine"
@@ -32,7 +31,7 @@ T = TypeVar("T")
 
 @dataclass(frozen=True)
 class RunResult:
-    """The tables of a run by layer; ``analysis`` frames read the published tables."""
+    """The tables of a run by layer; ``analysis`` frames read the exported answers."""
 
     raw: Mapping[str, LayerTable]
     store: Mapping[str, LayerTable]
@@ -42,7 +41,7 @@ class RunResult:
     analysis: Mapping[str, DataFrame]
 
 
-def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+def together(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
     """Submit independent jobs at once, so small tables do not wait for large ones.
 
     Each thread gets its own copy of the caller's job group, pool and tags.
@@ -60,43 +59,53 @@ def _scan_measures() -> list[Measure]:
     ]
 
 
-def _store_measures(contract: TableContract) -> list[Measure]:
-    return [*table_measures(contract, sales.RULES), *cast_failure_measures(contract)]
-
-
 def _named(measures: list[Measure]) -> dict[str, Column]:
     return {m.name: m.value for m in measures}
 
 
+def _observed(name: str, layer: str, measures: list[Measure], table: LayerTable) -> list[tuple]:
+    """Report rows of what was counted while a table was written, its rows included."""
+    found = [(name, m.check, m.column, m.metric, table.metrics[m.name]) for m in measures]
+    return [(name, "layer", layer, "rows", table.rows), *found]
+
+
 def load_raw(
-    spark: SparkSession, inputs: Mapping[str, str], output: str, multi_line: bool = False
+    spark: SparkSession,
+    plan: RunPlan,
+    inputs: Mapping[str, str],
+    output: str,
+    multi_line: bool = False,
 ) -> dict[str, LayerTable]:
     """Every extract as delivered, all text, plus the full text of malformed lines."""
 
-    def load(name: str, path: str) -> LayerTable:
-        scanned = scan_delimited(spark, path, corrupt_column=MALFORMED, multi_line=multi_line)
+    def load(name: str) -> LayerTable:
+        scanned = scan_delimited(
+            spark, inputs[name], corrupt_column=MALFORMED, multi_line=multi_line
+        )
         return write_layer(scanned, layer_path(output, "raw", name), _named(_scan_measures()))
 
-    return _together(spark, {n: lambda n=n, p=p: load(n, p) for n, p in inputs.items()})
+    return together(spark, {c.name: lambda n=c.name: load(n) for c in plan.contracts})
 
 
-def build_store(raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
+def build_store(plan: RunPlan, raw: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
     """Typed tables. Null profile, cast audit and rule counts come from the same pass."""
 
-    def build(contract: TableContract) -> LayerTable:
+    def build(name: str) -> LayerTable:
+        contract = plan.contract(name)
         return write_layer(
-            conform_with_text(raw[contract.name], contract),
-            layer_path(output, "store", contract.name),
-            _named(_store_measures(contract)),
+            conform_with_text(raw[name], contract),
+            layer_path(output, "store", name),
+            _named(store_measures(contract, plan.rules)),
             drop=text_columns(contract),
         )
 
     spark = next(iter(raw.values())).sparkSession
-    return _together(spark, {c.name: lambda c=c: build(c) for c in sales.CONTRACTS})
+    return together(spark, {c.name: lambda n=c.name: build(n) for c in plan.contracts})
 
 
 def report_quality(
     spark: SparkSession,
+    plan: RunPlan,
     raw: Mapping[str, LayerTable],
     store: Mapping[str, LayerTable],
     output: str,
@@ -104,81 +113,97 @@ def report_quality(
     """The report, and the keys of the rows that break a rule. Nothing is blocked."""
     frames = {name: table.frame for name, table in store.items()}
     observed = []  # a few numbers per column, known since the tables were written
-    for contract in sales.CONTRACTS:
-        for measures, table in (
-            (_scan_measures(), raw[contract.name]),
-            (_store_measures(contract), store[contract.name]),
-        ):
-            observed += [
-                (contract.name, m.check, m.column, m.metric, table.metrics[m.name])
-                for m in measures
-            ]
+    for contract in plan.contracts:
+        name = contract.name
+        observed += _observed(name, "raw", _scan_measures(), raw[name])
+        observed += _observed(name, "store", store_measures(contract, plan.rules), store[name])
     known = spark.createDataFrame(observed, REPORT_SCHEMA).coalesce(1)
-    report = union_report([known, *key_report(frames, sales.CONTRACTS, sales.FOREIGN_KEYS)])
+    report = union_report([known, *key_report(frames, plan.contracts, plan.foreign_keys)])
     lists = {
-        rule.name: rule_rows(frames[rule.table], rule) for rule in sales.RULES if rule.list_by
+        rule.name: rule_rows(frames[rule.table], rule) for rule in plan.rules if rule.list_by
     }
-    lists["duplicate_product_ids"] = duplicate_keys(
-        frames["products"], sales.PRODUCTS.primary_key
-    )
+    for name, table in plan.duplicate_lists.items():
+        lists[name] = duplicate_keys(frames[table], plan.contract(table).primary_key)
 
     def write(name: str, frame: DataFrame) -> Callable[[], LayerTable]:
         return lambda: write_layer(frame, layer_path(output, "quality", name))
 
-    written = _together(spark, {n: write(n, f) for n, f in {"report": report, **lists}.items()})
+    written = together(spark, {n: write(n, f) for n, f in {"report": report, **lists}.items()})
     return written.pop("report"), written
 
 
-def build_publish(store: Mapping[str, DataFrame], output: str) -> dict[str, LayerTable]:
-    """The product master and the order-line fact table, built side by side."""
+def _publish_measures(plan: RunPlan, name: str) -> list[Measure]:
+    return rule_measures([rule for rule in plan.publish_rules if rule.table == name])
+
+
+def build_publish(
+    plan: RunPlan, store: Mapping[str, DataFrame], output: str
+) -> dict[str, LayerTable]:
+    """The published tables, built side by side."""
 
-    def write(name: str, frame: DataFrame, measures: list[Measure]) -> Callable[[], LayerTable]:
-        return lambda: write_layer(frame, layer_path(output, "publish", name), _named(measures))
+    def build(name: str) -> LayerTable:
+        measures = _named(_publish_measures(plan, name))
+        return write_layer(plan.publish[name](store), layer_path(output, "publish", name), measures)
 
-    orders = sales.publish_orders(store["sales_order_detail"], store["sales_order_header"])
-    product = sales.publish_product(store["products"])
-    return _together(
-        orders.sparkSession,
-        {
-            "product": write("product", product, []),
-            "orders": write("orders", orders, rule_measures(sales.FACT_RULES)),
-        },
-    )
+    spark = next(iter(store.values())).sparkSession
+    return together(spark, {name: lambda n=name: build(n) for name in plan.publish})
+
+
+def report_publish(
+    spark: SparkSession, plan: RunPlan, report: LayerTable, publish: Mapping[str, LayerTable]
+) -> LayerTable:
+    """Add to the report what was counted while the published tables were written."""
+    rows = [
+        row
+        for name, table in publish.items()
+        for row in _observed(name, "publish", _publish_measures(plan, name), table)
+    ]
+    if not rows:
+        return report
+    added = spark.createDataFrame(rows, REPORT_SCHEMA).coalesce(1)
+    added.write.mode("append").parquet(report.path)
+    whole = spark.read.schema(report.frame.schema).parquet(report.path)
+    return LayerTable(report.path, whole, {"rows": report.rows + len(rows)})
 
 
 def analyse(
-    orders: DataFrame, product: DataFrame, output: str | None = None
+    plan: RunPlan, publish: Mapping[str, DataFrame], output: str | None = None
 ) -> dict[str, DataFrame]:
-    """Both questions; exported as CSV where an output folder is given."""
-    answers = {
-        "top_color_by_year": sales.top_color_by_year(orders, product),
-        "avg_lead_time_by_category": sales.average_lead_time_by_category(orders, product),
-    }
-    if output is not None:
-        root = output.rstrip("/")
-        _together(
-            orders.sparkSession,
-            {
-                name: lambda name=name, frame=frame: export_csv(frame, f"{root}/analysis/{name}")
-                for name, frame in answers.items()
-            },
-        )
-    return answers
+    """Every question's answer. With an output folder each is computed once, exported as
+    CSV, and read back from there."""
+    answers = {name: question(publish) for name, question in plan.questions.items()}
+    if output is None or not answers:
+        return answers
+    root = output.rstrip("/")
+
+    def export(name: str) -> DataFrame:
+        path = f"{root}/analysis/{name}"
+        export_csv(answers[name], path)
+        reader = answers[name].sparkSession.read.schema(answers[name].schema)
+        return reader.option("header", True).csv(path)
+
+    spark = next(iter(answers.values())).sparkSession
+    return together(spark, {name: lambda n=name: export(n) for name in answers})
 
 
 def run(
-    spark: SparkSession, inputs: Mapping[str, str], output: str, multi_line: bool = False
+    spark: SparkSession,
+    plan: RunPlan,
+    inputs: Mapping[str, str],
+    output: str,
+    multi_line: bool = False,
 ) -> RunResult:
-    """Run every stage. ``inputs`` maps each of the three tables to its files.
+    """Run every stage of a plan. ``inputs`` maps each of its tables to its files.
 
     Repeating a run replaces all of its tables.
     """
-    missing = [c.name for c in sales.CONTRACTS if c.name not in inputs]
+    missing = [c.name for c in plan.contracts if c.name not in inputs]
     if missing:
         raise ValueError(f"no input given for {missing}")
-    raw = load_raw(spark, inputs, output, multi_line)
-    store = build_store({n: t.frame for n, t in raw.items()}, output)
-    quality, violations = report_quality(spark, raw, store, output)
-    publish = build_publish({n: t.frame for n, t in store.items()}, output)
-    analysis = analyse(publish["orders"].frame, publish["product"].frame, output)
-    return RunResult(raw, store, quality, violations, publish, analysis)
+    raw = load_raw(spark, plan, inputs, output, multi_line)
+    store = build_store(plan, {n: t.frame for n, t in raw.items()}, output)
+    report, violations = report_quality(spark, plan, raw, store, output)
+    publish = build_publish(plan, {n: t.frame for n, t in store.items()}, output)
+    report = report_publish(spark, plan, report, publish)
+    analysis = analyse(plan, {n: t.frame for n, t in publish.items()}, output)
+    return RunResult(raw, store, report, violations, publish, analysis)

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strata import operators as op
-from strata.contracts import ForeignKey, RowRule, TableContract, ValueRule
+from strata.contracts import ForeignKey, RowRule, RunPlan, TableContract, ValueRule
+from strata.functions import extended_price
 from strata.plans import sales
 
 D = Decimal
@@ -194,26 +195,23 @@ def products(spark, *rows):
     return spark.createDataFrame(list(rows), PRODUCT)
 
 
-@pytest.mark.parametrize(
-    ("given", "sub", "expected"),
-    [
-        (None, "Gloves", "Clothing"),
-        (None, "Helmets", "Accessories"),
-        (None, "Mountain Frames", "Components"),
-        (None, "Wheels", "Components"),
-        (None, "Saddles", "Components"),
-        (None, "Caps", None),
-        (None, "Bib-Shorts", None),
-        (None, "frames", None),
-        (None, None, None),
-        ("Bikes", "Gloves", "Bikes"),
-    ],
-)
-def test_category_rules(spark, given, sub, expected):
-    df = products(spark, (1, "d", "n", "Red", given, sub))
-    got = op.map_values(df, "ProductCategoryName", "ProductSubCategoryName", sales.CATEGORY_RULES)
-    assert got.first().ProductCategoryName == expected
-    assert got.columns == df.columns
+def filled(spark, given, source, rules):
+    df = spark.createDataFrame([(given, source)], "given string, source string")
+    out = op.map_values(df, "given", "source", rules)
+    assert out.columns == df.columns
+    return out.first().given
+
+
+def test_every_value_of_the_shipped_rules_maps_to_its_label(spark):
+    for rule in sales.CATEGORY_RULES:
+        for value in rule.equals:
+            assert filled(spark, None, value, sales.CATEGORY_RULES) == rule.label
+            assert filled(spark, None, value.lower(), sales.CATEGORY_RULES) is None
+            assert filled(spark, None, f"Old {value}", sales.CATEGORY_RULES) is None
+            assert filled(spark, "given", value, sales.CATEGORY_RULES) == "given"
+        for part in rule.contains:
+            assert filled(spark, None, f"x{part}y", sales.CATEGORY_RULES) == rule.label
+    assert filled(spark, None, None, sales.CATEGORY_RULES) is None
 
 
 def test_first_matching_rule_wins(spark):
@@ -222,26 +220,27 @@ def test_first_matching_rule_wins(spark):
     assert op.map_values(df, "t", "s", rules).first().t == "first"
 
 
-def test_missing_color_gets_a_label(spark):
-    df = products(spark, (1, "d", "n", None, "Bikes", "s"), (2, "d", "n", "Red", None, "Caps"))
-    out = {r.ProductID: r for r in sales.publish_product(df).collect()}
-    assert (out[1].Color, out[2].Color) == ("N/A", "Red")
-    assert out[2].ProductCategoryName is None
+def test_labels_go_into_text_only(spark):
+    df = spark.createDataFrame([(None, None, 5)], "a string, n int, kept int")
+    assert tuple(op.null_label(df, ["a"], "?").first()) == ("?", None, 5)
+    with pytest.raises(ValueError, match="'n' is not text"):
+        op.null_label(df, ["a", "n"], "?")
+    with pytest.raises(ValueError):
+        op.average_by_group(df, df.select("kept", F.col("n").alias("g")), "kept", "g", "n", "m", "c")
 
 
-def test_the_complete_row_wins(spark):
-    df = products(
-        spark,
-        (713, "d", "n", "Multi", None, "Jerseys"),
-        (713, "d", "n", "Multi", "Clothing", "Shirt"),
-    )
-    row = sales.publish_product(df).collect()
-    assert [(r.ProductCategoryName, r.ProductSubCategoryName) for r in row] == [("Clothing", "Shirt")]
+def test_published_products_have_a_color(spark):
+    df = products(spark, (5, "lamp", "L-5", None, "Light", "desk"), (6, "rug", "R-6", "Teal", None, "floor"))
+    assert {r.ProductID: r.Color for r in sales.publish_product(df).collect()} == {5: sales.COLOR_LABEL, 6: "Teal"}
 
 
-def test_level_rows_are_decided_by_order(spark):
-    df = products(spark, (1, "d", "n", "R", None, "ZSub"), (1, "d", "n", "R", None, "ASub"))
-    assert [r.ProductSubCategoryName for r in sales.publish_product(df).collect()] == ["ASub"]
+def test_of_rows_that_differ_in_one_column_the_fuller_or_first_is_published(spark):
+    """For each column in turn, everything else being equal."""
+    full = (8, "mug", "M-8", "Blue", "Kitchen", "cups")
+    for place, (better, worse) in {4: ("Kitchen", None), 5: ("cups", None), 2: ("M-1", "M-2"), 1: ("a", "b")}.items():
+        rows = [(*full[:place], value, *full[place + 1 :]) for value in (worse, better)]
+        for order in (rows, rows[::-1]):
+            assert sales.publish_product(products(spark, *order)).first()[place] == better
 
 
 @pytest.mark.parametrize(("rank", "kept"), [("additive", "sub"), ("lexicographic", None)])
@@ -277,24 +276,31 @@ HEADER = (
 )
 
 
+# One line for each thing that the fact table must show, under the name that says what.
+WHOLE, GROSS_DISCOUNT, RETURNED, MONTH_ONLY, NO_HEADER, NO_QUANTITY, NO_KEY = range(501, 508)
+
+
 @pytest.fixture(scope="module")
 def fact(spark):
     detail = spark.createDataFrame(
         [
-            (1, 10, 2, 100, D("100"), D("0")),
-            (1, 11, 3, 101, D("50"), D("0.1")),
-            (2, 12, -1, 100, D("20"), D("0")),
-            (3, 13, 1, 102, D("10"), D("0")),
-            (9, 14, 1, 100, D("5"), D("0")),
+            (71, WHOLE, 4, 310, D("12.5"), D("0.25")),
+            (71, GROSS_DISCOUNT, 2, 311, D("3"), D("4.5")),
+            (72, RETURNED, -3, 310, D("8.4"), D("0")),
+            (73, MONTH_ONLY, 1, 312, D("6"), D("0")),
+            (99, NO_HEADER, 5, 310, D("1.1"), D("0")),
+            (71, NO_QUANTITY, None, 311, D("2"), D("0")),
+            (None, NO_KEY, 1, 312, D("9"), D("1")),
         ],
         DETAIL,
     )
     d = dt.date
     header = spark.createDataFrame(
         [
-            (1, d(2026, 6, 1), "day", d(2026, 6, 8), True, "a", 1, None, D("7")),
-            (2, d(2026, 6, 5), "day", d(2026, 6, 8), False, "b", 2, 5, D("8")),
-            (3, d(2026, 6, 1), "month", d(2026, 7, 8), False, "c", 3, 5, D("9")),
+            (71, d(2024, 2, 28), "day", d(2024, 3, 4), True, "x", 41, None, D("2.5")),
+            (72, d(2024, 3, 1), "day", d(2024, 3, 3), False, "y", 42, 6, D("3.5")),
+            (73, d(2024, 3, 1), "month", d(2024, 4, 2), False, "z", 43, 6, D("4.5")),
+            (None, d(2024, 3, 1), "day", d(2024, 4, 2), False, "lost", 44, 6, D("4.5")),
         ],
         HEADER,
     )
@@ -324,16 +330,45 @@ def test_fact_columns(fact):
 
 def test_fact_grain_and_values(fact):
     rows = {r.SalesOrderDetailID: r for r in fact.collect()}
-    assert len(rows) == 5
-    assert {k: r.LeadTimeInBusinessDays for k, r in rows.items()} == {10: 5, 11: 5, 12: 1, 13: None, 14: None}
-    assert {k: r.TotalLineExtendedPrice for k, r in rows.items()} == {
-        10: D("200.0000"),
-        11: D("149.7000"),
-        12: D("-20.0000"),
-        13: D("10.0000"),
-        14: D("5.0000"),
+    assert set(rows) == set(range(WHOLE, NO_KEY + 1)) and fact.count() == len(rows)
+    lead = {k: r.LeadTimeInBusinessDays for k, r in rows.items()}
+    assert lead == {WHOLE: 3, GROSS_DISCOUNT: 3, RETURNED: 0, MONTH_ONLY: None, NO_HEADER: None, NO_QUANTITY: 3, NO_KEY: None}
+    price = {k: r.TotalLineExtendedPrice for k, r in rows.items()}
+    assert price == {
+        WHOLE: D("49.0000"),
+        GROSS_DISCOUNT: D("-3.0000"),
+        RETURNED: D("-25.2000"),
+        MONTH_ONLY: D("6.0000"),
+        NO_HEADER: D("5.5000"),
+        NO_QUANTITY: None,
+        NO_KEY: D("8.0000"),
     }
-    assert rows[14].CustomerID is None and rows[14].SalesOrderID == 9
+    assert rows[NO_HEADER].CustomerID is None and rows[NO_HEADER].SalesOrderID == 99
+    assert rows[NO_KEY].AccountNumber is None and rows[NO_KEY].SalesOrderID is None
+
+
+def test_a_guarded_ship_date_has_no_lead_time(spark):
+    detail = spark.createDataFrame([(k, k, 1, 1, D("1"), D("0")) for k in (1, 2, 3)], DETAIL)
+    raw = spark.createDataFrame(
+        [("1", "2024-03-01", "2024-03"), ("2", "2024-03-01", "2025"), ("3", "2024-03-01", "2024-03-04")],
+        "SalesOrderID string, OrderDate string, ShipDate string",
+    )
+    for column in sales.SALES_ORDER_HEADER.columns:
+        if column not in raw.columns:
+            raw = raw.withColumn(column, F.lit(None).cast("string"))
+    lead = {}
+    for contract in (sales.SALES_ORDER_HEADER, sales.GUARDED_HEADER):
+        rows = sales.publish_orders(detail, op.conform(raw, contract)).collect()
+        lead[contract is sales.GUARDED_HEADER] = {r.SalesOrderID: (str(r.ShipDate), r.LeadTimeInBusinessDays) for r in rows}
+    assert lead[False] == {1: ("2024-03-01", 0), 2: ("2025-01-01", 218), 3: ("2024-03-04", 1)}
+    assert lead[True] == {1: ("2024-03-01", None), 2: ("None", None), 3: ("2024-03-04", 1)}
+
+
+def test_prices_beyond_any_decimal_are_null(spark):
+    big = D("9" * 34 + ".9999")
+    df = spark.createDataFrame([(2, big, D(f"-{big}")), (1, D("5"), D("1"))], "q int, p decimal(38,4), d decimal(38,4)")
+    got = df.select(extended_price("q", "p", "d", "decimal(38,4)").alias("x")).collect()
+    assert [r.x for r in got] == [None, D("4.0000")]
 
 
 def test_fact_refuses_columns_of_both_sides(spark):
@@ -394,12 +429,12 @@ def test_top_wants_exact_values(spark):
 
 
 def test_revenue_keeps_a_missing_year_and_drops_unknown_products(spark, fact):
-    product = spark.createDataFrame([(100, "Red", "Bikes"), (101, "Blue", None)], "ProductID int, Color string, ProductCategoryName string")
+    product = spark.createDataFrame([(310, "Teal", "Lamps"), (311, "Plum", None)], "ProductID int, Color string, ProductCategoryName string")
     got = {(r.OrderYear, r.Color): r.Revenue for r in sales.revenue_by_year_and_color(fact, product).collect()}
     assert got == {
-        (2026, "Red"): D("180.0000"),
-        (2026, "Blue"): D("149.7000"),
-        (None, "Red"): D("5.0000"),
+        (2024, "Teal"): D("23.8000"),
+        (2024, "Plum"): D("-3.0000"),
+        (None, "Teal"): D("5.5000"),
     }
 
 
@@ -426,3 +461,67 @@ def test_lag_and_span(spark):
         ("a", dt.date(2020, 1, 1), dt.date(2021, 1, 1)),
         ("b", dt.date(2021, 1, 8), dt.date(2021, 1, 8)),
     ]
+
+
+# --- keys and plans -------------------------------------------------------------
+
+
+def test_key_report_scans_each_table_once_and_groups_once(spark, tmp_path):
+    """Values, and the plan: one scan per table and one grouping by key for all keys."""
+    frames = {
+        "lines": spark.createDataFrame([(1, 10, 7), (1, 11, 8), (5, 12, None), (None, 12, 7)], "o int, l int, p int"),
+        "orders": spark.createDataFrame([(1,), (2,), (2,), (None,)], "o int"),
+        "parts": spark.createDataFrame([(7,), (8,)], "p int"),
+    }
+    store = {}
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        store[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    contracts = [
+        TableContract("orders", {"o": "INT"}, ("o",)),
+        TableContract("parts", {"p": "INT"}, ("p",)),
+        TableContract("lines", {"o": "INT", "l": "INT", "p": "INT"}, ("l",)),
+    ]
+    keys = [ForeignKey("lines", "o", "orders", "o"), ForeignKey("lines", "p", "parts", "p")]
+    (report,) = op.key_report(store, contracts, keys)
+    got = {tuple(r)[:4]: r.value for r in report.collect()}
+    expected = {}
+    for contract in contracts:
+        row = op.check_primary_key(store[contract.name], contract.primary_key).first()
+        for metric in ("rows", "distinct_keys", "duplicate_rows", "null_keys", "valid"):
+            expected[contract.name, "primary_key", contract.primary_key[0], metric] = int(row[metric])
+    for key in keys:
+        row = op.check_foreign_key(store["lines"], key.child_column, store[key.parent_table], key.parent_column).first()
+        for metric in ("orphans", "valid"):
+            expected["lines", "foreign_key", key.relation, metric] = int(row[metric])
+    assert got == expected
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("keys=[__space") == 2 * 2  # by key and by space, each before and after its shuffle
+
+
+def test_key_report_of_empty_tables_mixed_types_and_wide_keys(spark):
+    store = {
+        "a": spark.createDataFrame([], "k int, j int"),
+        "b": spark.createDataFrame([(1,), (3,)], "k bigint"),
+    }
+    contracts = [TableContract("a", {"k": "INT", "j": "INT"}, ("k", "j")), TableContract("b", {"k": "BIGINT"}, ("k",))]
+    parts = op.key_report(store, contracts, [ForeignKey("b", "k", "a", "k")])
+    got = {tuple(r)[:4]: r.value for part in parts for r in part.collect()}
+    assert got["a", "primary_key", "k, j", "rows"] == 0 and got["a", "primary_key", "k, j", "valid"] == 1
+    assert got["b", "foreign_key", "b.k -> a.k", "orphans"] == 2
+    assert got["b", "primary_key", "k", "distinct_keys"] == 2
+
+
+def test_plans_refuse_tables_they_do_not_have():
+    contract = TableContract("a", {"k": "INT"}, ("k",))
+    with pytest.raises(ValueError, match="b"):
+        RunPlan((contract,), rules=(RowRule("b", "r", "true"),))
+    with pytest.raises(ValueError, match="c"):
+        RunPlan((contract,), publish_rules=(RowRule("c", "r", "true"),))
+
+
+def test_ranks_beyond_sparks_early_cut_are_refused(spark):
+    df = spark.createDataFrame([(1, 1)], "y int, v int")
+    with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
+        op.top_by_group(df, "y", "v", ranks=1_001)

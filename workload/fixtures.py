@@ -47,6 +47,8 @@ RAW_HEADER = {
     ),
     "ShipDate": (
         "case when o_orderkey % 113 = 0 then 'NULL' "
+        "when o_orderkey % 127 = 0 then substr(cast(cast(o_orderdate as date) as string), 1, 7) "
+        "when o_orderkey % 131 = 0 then substr(cast(cast(o_orderdate as date) as string), 1, 4) "
         "else cast(cast(o_orderdate as date) + cast(o_custkey % 15 - 1 as int) as string) end"
     ),
     "OnlineOrderFlag": "case when o_orderstatus = 'F' then 'True' else 'False' end",
@@ -63,13 +65,19 @@ RAW_HEADER = {
 }
 
 RAW_DETAIL = {
-    "SalesOrderID": "cast(l_orderkey as string)",
-    "SalesOrderDetailID": "cast(l_linenumber as string)",
+    "SalesOrderID": (
+        "case when l_partkey % 90 = 0 then 'null' when l_orderkey % 60 = 0 "
+        "then cast(-l_orderkey as string) else cast(l_orderkey as string) end"
+    ),
+    "SalesOrderDetailID": "cast(l_orderkey * 8 + l_linenumber as string)",
     "OrderQty": (
         "case when l_partkey % 50 = 0 then cast(-cast(l_quantity as int) as string) "
         "else cast(cast(l_quantity as int) as string) end"
     ),
-    "ProductID": "cast(l_partkey as string)",
+    "ProductID": (
+        "case when l_partkey % 77 = 0 then cast(l_partkey + 1000000000 as string) "
+        "else cast(l_partkey as string) end"
+    ),
     "UnitPrice": (
         f"case when l_partkey % 64 = 0 then '.0000' else {_money_text('l_extendedprice')} end"
     ),
@@ -103,6 +111,18 @@ RAW_PRODUCTS = {
     "ProductSubCategoryName": _SUB_CATEGORY,
 }
 
+# Order headers that arrive with a field too many.
+SURPLUS = "o_orderkey % 150 = 0"
+
+# Comments that stand for a missing value in more than the usual ways.
+REMARKS = {
+    "order_id": "cast(o_orderkey as string)",
+    "remark": (
+        "case o_orderkey % 7 when 0 then ' N/A' when 1 then 'n/a ' when 2 then '-' "
+        "when 3 then 'None' when 4 then '' when 5 then 'null' else o_orderpriority end"
+    ),
+}
+
 # A second, conflicting row for some products; a few of these have lost their key.
 RAW_PRODUCT_COPIES = {
     **RAW_PRODUCTS,
@@ -132,6 +152,29 @@ BROKEN_LINES = {
 }
 
 
+# Customers, their nations and orders as text, with lost keys.
+CUSTOMER_TABLES = {
+    "nation": {"n_nationkey": "cast(n_nationkey as string)", "n_name": "case when n_nationkey = 7 then ' ' else n_name end"},
+    "customer": {
+        "c_custkey": "cast(c_custkey as string)",
+        "c_nationkey": "case when c_custkey % 40 = 0 then '99' else cast(c_nationkey as string) end",
+        "c_acctbal": "case when c_custkey % 70 = 0 then 'none' else cast(cast(c_acctbal as decimal(19,4)) as string) end",
+    },
+    "orders": {
+        "o_orderkey": "cast(o_orderkey as string)",
+        "o_custkey": (
+            "case when o_orderkey % 30 = 0 then 'NULL' when o_orderkey % 80 = 0 then '-5' "
+            "else cast(o_custkey as string) end"
+        ),
+        "o_orderdate": (
+            "case when o_orderkey % 90 = 1 then substr(cast(cast(o_orderdate as date) as string), 1, 7) "
+            "else cast(cast(o_orderdate as date) as string) end"
+        ),
+        "o_totalprice": "cast(cast(o_totalprice as decimal(19,4)) as string)",
+    },
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -14,11 +14,9 @@ DAY = r"'^[0-9]{4}-[0-9]{2}-[0-9]{2}\z'"
 MONTH = r"'^[0-9]{4}-[0-9]{2}\z'"
 
 
-def _clean(column: str) -> str:
-    return (
-        f"CASE WHEN trim({column}) = '' OR upper(trim({column})) = 'NULL' "
-        f"THEN NULL ELSE trim({column}) END"
-    )
+def _clean(column: str, tokens: tuple[str, ...] = ("", "NULL")) -> str:
+    listed = ", ".join(f"'{token.upper()}'" for token in tokens)
+    return f"CASE WHEN upper(trim({column})) IN ({listed}) THEN NULL ELSE trim({column}) END"
 
 
 def _cleaned(table: str, contract: TableContract) -> str:
@@ -43,9 +41,20 @@ def _precision(c: str) -> str:
 def _typed_value(c: str, sql_type: str, contract: TableContract) -> str:
     if c in contract.partial_dates:
         return _date(c)
+    if sql_type == "DATE":
+        return _completed_date(c)
     return c if sql_type == "STRING" else f"try_cast({c} AS {sql_type})"
 
 
+def _completed_date(c: str) -> str:
+    """A date whose missing day, or month and day, are taken for the first."""
+    return (
+        f"CASE WHEN regexp_matches({c}, '^[0-9]{{4}}\\z') THEN try_cast({c} || '-01-01' AS DATE) "
+        f"WHEN regexp_matches({c}, {MONTH}) THEN try_cast({c} || '-01' AS DATE) "
+        f"ELSE try_cast({c} AS DATE) END"
+    )
+
+
 def _typed(table: str, contract: TableContract) -> str:
     listed = []
     for c, t in contract.columns.items():
@@ -182,7 +191,7 @@ def _shown(contract: TableContract, alias: str = "") -> str:
     for c in contract.output_columns:
         sql_type = contract.columns.get(c, "STRING")
         if sql_type.startswith("DECIMAL"):
-            listed.append(f"CAST({alias}{c} AS DOUBLE) AS {c}")
+            listed.append(f"CAST({alias}{c} AS VARCHAR) AS {c}")
         elif sql_type == "DATE":
             listed.append(f"CAST({alias}{c} AS VARCHAR) AS {c}")
         else:
@@ -252,6 +261,12 @@ def _report_rows() -> list[tuple[str, str, str | None, str, str]]:
             )
         for c, count in _failures(clean, contract):
             rows.append((name, "cast_failures", c, "failures", f"SELECT {count}"))
+        for c in contract.loose_dates:
+            short = f"regexp_matches({c}, '^[0-9]{{4}}(-[0-9]{{1,2}})?$')"
+            value = f"({_typed_value(c, 'DATE', contract)}) IS NOT NULL"
+            rows.append(
+                (name, "imputed_dates", c, "imputed", f"SELECT count(*) FROM {clean} WHERE {short} AND {value}")
+            )
         key = contract.primary_key[0]
         total = f"(SELECT count(*) FROM {typed})"
         distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM {typed}))"
@@ -291,26 +306,127 @@ def _quality_report() -> str:
     return _with(_union(selects), "header", "detail", "products")
 
 
-def _end_to_end() -> str:
-    selects = [
+def _layer_rows(names: list[str], published: list[tuple[str, str]]) -> list[tuple]:
+    """Rows of each layer's tables: raw and store keep every row of the extract."""
+    rows = [(n, "layer", layer, "rows", f"SELECT count(*) FROM raw_{n}") for n in names for layer in ("raw", "store")]
+    return rows + [(name, "layer", "publish", "rows", f"SELECT count(*) FROM {cte}") for name, cte in published]
+
+
+def _items(rows: list[tuple]) -> list[str]:
+    return [
         f"SELECT {_text(f'{table}:{check}')} AS item, {_text(column)} AS detail, "
-        f"{_text(metric)} AS metric, CAST(({value}) AS DOUBLE) AS value"
-        for table, check, column, metric, value in [
-            *[(t, "scan", None, "malformed_lines", "SELECT 0") for t, *_ in _TABLES],
+        f"{_text(metric)} AS metric, CAST(CAST(({value}) AS BIGINT) AS VARCHAR) AS value"
+        for table, check, column, metric, value in rows
+    ]
+
+
+def _end_to_end() -> str:
+    surplus = f"SELECT count(*) FROM orders WHERE {fx.SURPLUS}"
+    selects = _items(
+        [
+            *[
+                (t, "scan", None, "malformed_lines", surplus if t == "sales_order_header" else "SELECT 0")
+                for t, *_ in _TABLES
+            ],
+            *[
+                (name, check, column, metric, value.replace("raw_sales_order_", "raw_"))
+                for name, check, column, metric, value in _layer_rows(
+                    [t for t, *_ in _TABLES], [("product", "product"), ("orders", "fact")]
+                )
+            ],
+            (
+                "orders",
+                "rule",
+                None,
+                "extended_price_lost",
+                "SELECT count(*) FROM fact WHERE TotalLineExtendedPrice IS NULL AND OrderQty IS NOT NULL "
+                "AND UnitPrice IS NOT NULL AND UnitPriceDiscount IS NOT NULL",
+            ),
             *_report_rows(),
         ]
-    ]
+    )
     selects += [
         "SELECT 'top_color:' || CAST(OrderYear AS VARCHAR), Color, 'revenue', "
-        "CAST(Revenue AS DOUBLE) FROM top_color",
-        "SELECT 'lead_time', ProductCategoryName, 'average', AvgLeadTimeInBusinessDays "
-        "FROM category_lead",
+        "CAST(Revenue AS VARCHAR) FROM top_color",
+        "SELECT 'lead_time', ProductCategoryName, 'average', "
+        "CAST(CAST(AvgLeadTimeInBusinessDays AS DECIMAL(19,2)) AS VARCHAR) FROM category_lead",
         "SELECT 'lead_time', ProductCategoryName, 'lines', "
-        "CAST(OrderLinesWithLeadTime AS DOUBLE) FROM category_lead",
+        "CAST(OrderLinesWithLeadTime AS VARCHAR) FROM category_lead",
     ]
     return _with(_union(selects), "top_color", "category_lead", "products")
 
 
+def _run_customers() -> str:
+    """Report and answer of the second plan, each count a query of its own."""
+    ctes = []
+    for table, columns in fx.CUSTOMER_TABLES.items():
+        ctes.append(f"raw_{table} AS ({fx.view_sql(table, columns)})")
+        listed = ", ".join(f"{_clean(c)} AS {c}" for c in columns)
+        ctes.append(f"clean_{table} AS (SELECT {listed} FROM raw_{table})")
+    kinds = {
+        "nation": {"n_nationkey": "INT", "n_name": "STRING"},
+        "customer": {"c_custkey": "INT", "c_nationkey": "INT", "c_acctbal": "DECIMAL(19,4)"},
+        "orders": {"o_orderkey": "BIGINT", "o_custkey": "INT", "o_orderdate": "DATE", "o_totalprice": "DECIMAL(19,4)"},
+    }
+    keys = {"nation": ["n_nationkey"], "customer": ["c_custkey"], "orders": ["o_orderkey", "o_custkey"]}
+    rows: list[tuple] = []
+    for table, columns in kinds.items():
+        typed = {
+            c: c if t == "STRING" else _completed_date(c) if t == "DATE" else f"try_cast({c} AS {t})"
+            for c, t in columns.items()
+        }
+        listed = ", ".join(f"{value} AS {c}" for c, value in typed.items())
+        ctes.append(f"t_{table} AS (SELECT {listed} FROM clean_{table})")
+        rows.append((table, "scan", None, "malformed_lines", "SELECT 0"))
+        for c, value in typed.items():
+            rows.append((table, "null_profile", c, "nulls", f"SELECT count(*) FROM t_{table} WHERE {c} IS NULL"))
+            if columns[c] != "STRING":
+                lost = f"SELECT count(*) FROM clean_{table} WHERE {c} IS NOT NULL AND ({value}) IS NULL"
+                rows.append((table, "cast_failures", c, "failures", lost))
+            if columns[c] == "DATE":
+                short = f"SELECT count(*) FROM clean_{table} WHERE length({c}) < 10 AND ({value}) IS NOT NULL"
+                rows.append((table, "imputed_dates", c, "imputed", short))
+        key = ", ".join(keys[table])
+        total = f"(SELECT count(*) FROM t_{table})"
+        distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM t_{table}))"
+        null = " OR ".join(f"{k} IS NULL" for k in keys[table])
+        nulls = f"(SELECT count(*) FROM t_{table} WHERE {null})"
+        rows += [
+            (table, "primary_key", key, "rows", f"SELECT {total}"),
+            (table, "primary_key", key, "distinct_keys", f"SELECT {distinct}"),
+            (table, "primary_key", key, "duplicate_rows", f"SELECT {total} - {distinct}"),
+            (table, "primary_key", key, "null_keys", f"SELECT {nulls}"),
+            (table, "primary_key", key, "valid", f"SELECT ({total} = {distinct} AND {nulls} = 0)::INT"),
+        ]
+    for child, child_key, parent, parent_key in (
+        ("customer", "c_nationkey", "nation", "n_nationkey"),
+        ("orders", "o_custkey", "customer", "c_custkey"),
+    ):
+        orphans = (
+            f"SELECT count(*) FROM t_{child} WHERE {child_key} IS NOT NULL "
+            f"AND {child_key} NOT IN (SELECT {parent_key} FROM t_{parent})"
+        )
+        relation = f"{child}.{child_key} -> {parent}.{parent_key}"
+        rows.append((child, "foreign_key", relation, "orphans", orphans))
+        rows.append((child, "foreign_key", relation, "valid", f"SELECT (({orphans}) = 0)::INT"))
+    rows.append(("customer", "rule", None, "in_debt", "SELECT count(*) FROM t_customer WHERE c_acctbal < 0"))
+    ctes.append(
+        "placed AS (SELECT o.*, c.c_nationkey AS n_nationkey FROM t_orders o "
+        "LEFT JOIN t_customer c ON o.o_custkey = c.c_custkey)"
+    )
+    ctes.append("named AS (SELECT n_nationkey, coalesce(n_name, '(unknown)') AS n_name FROM t_nation)")
+    lost = "SELECT count(*) FROM placed WHERE n_nationkey IS NULL"
+    rows.append(("placed", "rule", None, "without_customer", lost))
+    rows += _layer_rows(list(kinds), [("placed", "placed"), ("nations", "named")])
+    top = (
+        "SELECT 'top_nation:' || CAST(y AS VARCHAR), n_name, 'revenue', CAST(revenue AS VARCHAR) FROM ("
+        "SELECT *, rank() OVER (PARTITION BY y ORDER BY revenue DESC NULLS LAST) AS r FROM ("
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, n_name, sum(o_totalprice) AS revenue "
+        "FROM placed JOIN named USING (n_nationkey) GROUP BY 1, 2)) WHERE r = 1"
+    )
+    return "WITH " + ", ".join(ctes) + " " + _union([*_items(rows), top])
+
+
 def _audit(table: str, contract: TableContract) -> str:
     selects = [
         f"SELECT '{c}' AS \"column\", CAST({count} AS BIGINT) AS failures"
@@ -329,7 +445,7 @@ def _best(preference: str) -> str:
 
 
 _TOP = (
-    "SELECT order_year, p_type, CAST(revenue AS DOUBLE) AS revenue{rank} FROM (SELECT *, rank() OVER "
+    "SELECT order_year, p_type, CAST(revenue AS VARCHAR) AS revenue{rank} FROM (SELECT *, rank() OVER "
     "(PARTITION BY order_year ORDER BY revenue DESC NULLS LAST) AS r FROM revenue) WHERE r <= {k}"
 )
 _DETAIL_IN_FACT = _shown(sales.SALES_ORDER_DETAIL)
@@ -341,6 +457,21 @@ _HEADER_IN_FACT = ", ".join(
 
 ORACLES: dict[str, str] = {
     "normalize_nulls": _with("SELECT * FROM clean_header", "clean_header"),
+    "normalize_tokens": (
+        f"SELECT CAST(order_id AS INTEGER) AS order_id, {_clean('remark', ('N/A', '-', 'NONE'))} AS remark "
+        f"FROM ({fx.view_sql('orders', fx.REMARKS)})"
+    ),
+    "ship_date_modes": _with(
+        "SELECT 'completed' AS mode, SalesOrderID, CAST(ShipDate AS VARCHAR) AS ShipDate, "
+        "CAST(NULL AS VARCHAR) AS precision, CASE WHEN OrderDatePrecision = 'month' THEN NULL ELSE "
+        f"{_days('OrderDate', 'ShipDate')} END AS lead_days FROM header UNION ALL "
+        "SELECT 'guarded', SalesOrderID, CAST(s AS VARCHAR), p, CASE WHEN OrderDatePrecision = 'month' "
+        f"OR p = 'month' THEN NULL ELSE {_days('OrderDate', 's')} END FROM (SELECT "
+        f"try_cast(SalesOrderID AS INT) AS SalesOrderID, {_date('OrderDate')} AS OrderDate, "
+        f"{_precision('OrderDate')} AS OrderDatePrecision, {_date('ShipDate')} AS s, "
+        f"{_precision('ShipDate')} AS p FROM clean_header)",
+        "header",
+    ),
     "partial_date": _with(
         f"SELECT trim(SalesOrderID) AS SalesOrderID, CAST({_date('OrderDate')} AS VARCHAR) "
         f"AS order_date, {_precision('OrderDate')} AS date_precision FROM clean_header",
@@ -365,7 +496,7 @@ ORACLES: dict[str, str] = {
     ),
     "extended_price": _with(
         "SELECT l_orderkey, l_linenumber, CAST(CAST(quantity * (price - discount) "
-        "AS DECIMAL(19,4)) AS DOUBLE) AS extended_price FROM lines",
+        "AS DECIMAL(19,4)) AS VARCHAR) AS extended_price FROM lines",
         "lines",
     ),
     "raw_scan": _with(
@@ -381,8 +512,8 @@ ORACLES: dict[str, str] = {
         f"AS malformed_line FROM (SELECT *, {fx.BROKEN_LINES['line']} AS line FROM orders)"
     ),
     "layer_roundtrip": _with(
-        "SELECT l_orderkey, l_linenumber, l_partkey, quantity, CAST(price AS DOUBLE) AS price, "
-        "CAST(discount AS DOUBLE) AS discount, CAST(ship_date AS VARCHAR) AS ship_date FROM lines",
+        "SELECT l_orderkey, l_linenumber, l_partkey, quantity, CAST(price AS VARCHAR) AS price, "
+        "CAST(discount AS VARCHAR) AS discount, CAST(ship_date AS VARCHAR) AS ship_date FROM lines",
         "lines",
     ),
     "layer_counts": (
@@ -473,19 +604,19 @@ ORACLES: dict[str, str] = {
     "publish_product": _with(f"SELECT {_shown(sales.PRODUCTS)} FROM product", "product"),
     "publish_orders": _with(
         f"SELECT {_DETAIL_IN_FACT}, {_HEADER_IN_FACT}, "
-        "CAST(TotalOrderFreight AS DOUBLE) AS TotalOrderFreight, LeadTimeInBusinessDays, "
-        "CAST(TotalLineExtendedPrice AS DOUBLE) AS TotalLineExtendedPrice FROM fact",
+        "CAST(TotalOrderFreight AS VARCHAR) AS TotalOrderFreight, LeadTimeInBusinessDays, "
+        "CAST(TotalLineExtendedPrice AS VARCHAR) AS TotalLineExtendedPrice FROM fact",
         "fact",
     ),
     "revenue_by_year_group": _with(
-        "SELECT order_year, p_type, CAST(revenue AS DOUBLE) AS revenue FROM revenue", "revenue"
+        "SELECT order_year, p_type, CAST(revenue AS VARCHAR) AS revenue FROM revenue", "revenue"
     ),
     "top_by_year": _with(_TOP.format(rank="", k=1), "revenue"),
     "top2_by_year": _with(
         _TOP.format(rank=", CAST(r AS INTEGER) AS revenue_rank", k=2), "revenue"
     ),
     "top_color_by_year": _with(
-        "SELECT OrderYear, Color, CAST(Revenue AS DOUBLE) AS Revenue FROM top_color", "top_color"
+        "SELECT OrderYear, Color, CAST(Revenue AS VARCHAR) AS Revenue FROM top_color", "top_color"
     ),
     "avg_by_category": _with(
         "SELECT coalesce(p_type, '(Uncategorized)') AS p_type, avg_lead_days, lines_with_lead_time "
@@ -499,7 +630,7 @@ ORACLES: dict[str, str] = {
     "avg_lead_time_by_category": _with("SELECT * FROM category_lead", "category_lead"),
     "revenue_by_precision": _with(
         "SELECT CAST(year(OrderDate) AS INTEGER) AS OrderYear, Color, OrderDatePrecision, "
-        "CAST(sum(TotalLineExtendedPrice) AS DOUBLE) AS Revenue "
+        "CAST(sum(TotalLineExtendedPrice) AS VARCHAR) AS Revenue "
         "FROM fact f JOIN product p ON f.ProductID = p.ProductID GROUP BY 1, 2, 3",
         "fact",
         "product",
@@ -516,4 +647,5 @@ ORACLES: dict[str, str] = {
         "header",
     ),
     "end_to_end": _end_to_end(),
+    "run_customers": _run_customers(),
 }

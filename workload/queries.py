@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from strata import functions as fn
 from strata import operators as op
-from strata.contracts import RowRule, TableContract
+from strata.contracts import ForeignKey, RowRule, RunPlan, TableContract
 from strata.plans import run as run_plan
 from strata.plans import sales
+from strata.plans.stages import together
 from strata.sources import (
     export_csv,
     layer_path,
@@ -29,8 +30,8 @@ _QUERIES: dict[str, Query] = {}
 def _query(build: Query) -> Query:
     """Register under the function's name.
 
-    Decimals leave as doubles and dates as ISO text, because clients of the two
-    engines hand those types over differently. All arithmetic is done before.
+    Decimals leave as text with all their digits and dates as ISO text, because
+    clients of the two engines hand those types over differently.
     """
 
     def presented(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def _query(build: Query) -> Query:
 
 
 def presentable(df: DataFrame) -> DataFrame:
-    shown = {T.DecimalType: "double", T.DateType: "string"}
+    shown = {T.DecimalType: "string", T.DateType: "string"}
     return df.select(
         *[
             F.col(f.name).cast(shown[type(f.dataType)]).alias(f.name)
@@ -80,6 +81,7 @@ def _priced_lines(spark: SparkSession, d: str) -> DataFrame:
             "extended_price": fn.extended_price("quantity", "price", "discount"),
             "lead_days": fn.business_days("order_date", "ship_date"),
         },
+        spread_by=("l_partkey",),
     )
 
 
@@ -116,6 +118,20 @@ def normalize_nulls(spark, d):
     return op.normalise(fx.view(spark, d, "orders", fx.RAW_HEADER), sales.SALES_ORDER_HEADER)
 
 
+REMARKS = TableContract(
+    name="remarks",
+    columns={"order_id": "INT", "remark": "STRING"},
+    primary_key=("order_id",),
+    null_tokens=("n/a", "-", "none"),
+)
+
+
+@_query
+def normalize_tokens(spark, d):
+    """A contract with null tokens of its own; the usual ones are ordinary text to it."""
+    return op.conform(fx.view(spark, d, "orders", fx.REMARKS), REMARKS)
+
+
 @_query
 def partial_date(spark, d):
     text = fn.normalize_text("OrderDate")
@@ -151,6 +167,24 @@ def lead_time(spark, d):
     )
 
 
+@_query
+def ship_date_modes(spark, d):
+    """Incomplete ship dates completed by the cast, and held to a guarded contract."""
+    raw = fx.view(spark, d, "orders", fx.RAW_HEADER)
+    plain = op.conform(raw, sales.SALES_ORDER_HEADER)
+    guarded = op.conform(raw, sales.GUARDED_HEADER)
+    lead = fn.lead_time("OrderDate", "ShipDate", "OrderDatePrecision")
+    both = fn.lead_time("OrderDate", "ShipDate", "OrderDatePrecision", "ShipDatePrecision")
+    shown = ["SalesOrderID", "ShipDate"]
+    one = plain.select(
+        F.lit("completed").alias("mode"), *shown, F.lit(None).cast("string").alias("precision"), lead.alias("lead_days")
+    )
+    two = guarded.select(
+        F.lit("guarded").alias("mode"), *shown, F.col("ShipDatePrecision").alias("precision"), both.alias("lead_days")
+    )
+    return one.unionByName(two)
+
+
 @_query
 def extended_price(spark, d):
     price = fn.extended_price("quantity", "price", "discount")
@@ -163,7 +197,7 @@ def extended_price(spark, d):
 @_query
 def raw_scan(spark, d):
     """CSV written from the order header, read back as text."""
-    path = scratch_dir(spark)
+    path = f"{scratch_dir(spark)}/table"
     written = fx.view(spark, d, "orders", fx.RAW_HEADER)
     written.write.options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -174,7 +208,7 @@ def raw_scan(spark, d):
 @_query
 def raw_scan_malformed(spark, d):
     """Lines with a field too many or too few keep their full text."""
-    path = scratch_dir(spark)
+    path = f"{scratch_dir(spark)}/table"
     fx.view(spark, d, "orders", fx.BROKEN_LINES).write.text(path)
     columns = ["order_id", "status", "priority"]
     return scan_delimited(
@@ -189,24 +223,28 @@ def layer_roundtrip(spark, d):
 
 @_query
 def layer_counts(spark, d):
-    """Row counts observed while three tables are written."""
+    """Row counts observed while three tables are written, side by side."""
     root = scratch_dir(spark)
     frames = {
         "lines": _lines(spark, d),
         "orders": _orders(spark, d),
         "parts": _parts(spark, d),
     }
-    rows = [
-        (name, write_layer(frame, layer_path(root, "store", name)).rows)
-        for name, frame in frames.items()
-    ]
+    written = together(
+        spark,
+        {
+            name: lambda n=name, f=frame: write_layer(f, layer_path(root, "store", n))
+            for name, frame in frames.items()
+        },
+    )
+    rows = [(name, table.rows) for name, table in written.items()]
     return spark.createDataFrame(rows, "layer_table string, rows bigint")
 
 
 @_query
 def result_export(spark, d):
     """An answer exported as CSV, read back as text."""
-    path = scratch_dir(spark)
+    path = f"{scratch_dir(spark)}/table"
     export_csv(op.top_by_group(_revenue(spark, d), "order_year", "revenue"), path)
     return scan_delimited(spark, path)
 
@@ -434,47 +472,115 @@ def date_span(spark, d):
 # --- everything -------------------------------------------------------------------
 
 
-@_query
-def end_to_end(spark, d):
-    """Three CSV extracts through every stage; report and both answers as long rows."""
-    root = scratch_dir(spark)
+def _extracts(spark: SparkSession, root: str, frames: dict[str, DataFrame]) -> dict[str, str]:
+    """CSV extracts of the frames, header line included."""
     inputs = {}
-    for name, frame in fx.raw_tables(spark, d).items():
+    for name, frame in frames.items():
         inputs[name] = f"{root}/input/{name}"
         frame.write.options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(inputs[name])
-    result = run_plan(spark, inputs, f"{root}/output")
-    top = result.analysis["top_color_by_year"]
-    average = result.analysis["avg_lead_time_by_category"]
-    category = F.col("ProductCategoryName").alias("detail")
-    parts = [
-        result.quality.frame.select(
-            F.concat_ws(":", "table", "check").alias("item"),
-            F.col("column").alias("detail"),
-            "metric",
-            F.col("value").cast("double").alias("value"),
-        ),
-        top.select(
-            F.concat(F.lit("top_color:"), F.col("OrderYear")).alias("item"),
-            F.col("Color").alias("detail"),
-            F.lit("revenue").alias("metric"),
-            F.col("Revenue").cast("double").alias("value"),
+    return inputs
+
+
+def _with_surplus(spark: SparkSession, d: str, path: str) -> None:
+    """The order headers as CSV lines, some of which have a field too many."""
+    listed = ", ".join(f"coalesce({expression}, '')" for expression in fx.RAW_HEADER.values())
+    line = f"concat_ws(',', {listed}, case when {fx.SURPLUS} then 'surplus' end)"
+    lines = fx.table(spark, d, "orders").selectExpr(f"{line} AS `{','.join(fx.RAW_HEADER)}`")
+    lines.write.options(
+        header=True, sep="\x01", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+
+
+def _report_items(report: DataFrame) -> DataFrame:
+    return report.select(
+        F.concat_ws(":", "table", "check").alias("item"),
+        F.col("column").alias("detail"),
+        "metric",
+        F.col("value").cast("string").alias("value"),
+    )
+
+
+@_query
+def end_to_end(spark, d):
+    """Three CSV extracts through every stage; report and both answers as long rows."""
+    root = scratch_dir(spark)
+    raw = fx.raw_tables(spark, d)
+    inputs = {"sales_order_header": f"{root}/input/sales_order_header"}
+    _with_surplus(spark, d, inputs["sales_order_header"])
+    inputs |= _extracts(spark, root, {n: f for n, f in raw.items() if n not in inputs})
+    result = run_plan(spark, sales.PLAN, inputs, f"{root}/output")
+    top = result.analysis["top_color_by_year"].select(
+        F.concat(F.lit("top_color:"), F.col("OrderYear")).alias("item"),
+        F.col("Color").alias("detail"),
+        F.lit("revenue").alias("metric"),
+        F.col("Revenue").cast("string").alias("value"),
+    )
+    category = result.analysis["avg_lead_time_by_category"].select(
+        F.lit("lead_time").alias("item"),
+        F.col("ProductCategoryName").alias("detail"),
+        F.expr(
+            "inline(array("
+            "struct('average' as metric, cast(cast(AvgLeadTimeInBusinessDays as decimal(19,2)) as string) as value), "
+            "struct('lines' as metric, string(OrderLinesWithLeadTime) as value)))"
         ),
-        average.select(
-            F.lit("lead_time").alias("item"),
-            category,
-            F.lit("average").alias("metric"),
-            F.col("AvgLeadTimeInBusinessDays").alias("value"),
+    )
+    return _report_items(result.quality.frame).unionByName(top).unionByName(category)
+
+
+# A second set of tables for the same stages.
+CUSTOMERS = RunPlan(
+    contracts=(
+        TableContract("nation", {"n_nationkey": "INT", "n_name": "STRING"}, ("n_nationkey",)),
+        TableContract(
+            "customer",
+            {"c_custkey": "INT", "c_nationkey": "INT", "c_acctbal": "DECIMAL(19,4)"},
+            ("c_custkey",),
         ),
-        average.select(
-            F.lit("lead_time").alias("item"),
-            category,
-            F.lit("lines").alias("metric"),
-            F.col("OrderLinesWithLeadTime").cast("double").alias("value"),
+        TableContract(
+            "orders",
+            {"o_orderkey": "BIGINT", "o_custkey": "INT", "o_orderdate": "DATE", "o_totalprice": "DECIMAL(19,4)"},
+            ("o_orderkey", "o_custkey"),
         ),
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    ),
+    foreign_keys=(
+        ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"),
+        ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+    ),
+    rules=(RowRule("customer", "in_debt", "c_acctbal < 0"),),
+    publish={
+        "placed": lambda t: op.build_fact(
+            t["orders"], t["customer"].withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"
+        ).withColumnRenamed("c_nationkey", "n_nationkey"),
+        "nations": lambda t: op.null_label(t["nation"], ["n_name"], "(unknown)"),
+    },
+    publish_rules=(RowRule("placed", "without_customer", "n_nationkey IS NULL"),),
+    questions={
+        "top_nation_by_year": lambda t: op.top_by_group(
+            op.revenue_by_year(
+                t["placed"], t["nations"], "n_nationkey", "o_orderdate", "o_totalprice", ["n_name"], "order_year", "revenue"
+            ),
+            "order_year",
+            "revenue",
+        )
+    },
+)
+
+
+@_query
+def run_customers(spark, d):
+    """The same stages on customers, nations and orders; report and answer as long rows."""
+    root = scratch_dir(spark)
+    frames = {
+        contract.name: fx.view(spark, d, contract.name, fx.CUSTOMER_TABLES[contract.name])
+        for contract in CUSTOMERS.contracts
+    }
+    result = run_plan(spark, CUSTOMERS, _extracts(spark, root, frames), f"{root}/output")
+    top = result.analysis["top_nation_by_year"].select(
+        F.concat(F.lit("top_nation:"), F.col("order_year")).alias("item"),
+        F.col("n_name").alias("detail"),
+        F.lit("revenue").alias("metric"),
+        F.col("revenue").cast("string").alias("value"),
+    )
+    return _report_items(result.quality.frame).unionByName(top)
