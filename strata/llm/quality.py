@@ -56,7 +56,8 @@ def judge_quality(
     as empty and fails for want of words; its clean_text stays null. Documents
     without a host form a host of their own. Copies of a text count once in their
     host, so a document that is often copied is not taken for boilerplate, and
-    repeated rows get equal results. Lines are compared after lower-casing A-Z,
+    repeated rows get equal results. The list of a host's boilerplate has fewer
+    lines than its texts have on average, divided by ``max_share``. Lines are compared after lower-casing A-Z,
     turning digits into 0 and joining words by one space; lines without a word are
     never removed.
     """

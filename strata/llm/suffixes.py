@@ -241,8 +241,11 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
     cut_rows = texts.select("text", "wanted").mapInArrow(
         cut, "gram long, stretch long, low binary, high binary, right binary, left binary"
     )
-    order = ["gram", "right", "left"]
-    return cut_rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Suffixes of one gram begin alike; the next words deal them out, and the stretch where
+    # even these are equal. Whole contexts would be long keys for the driver's sample.
+    after = F.substring("right", 4 * rule.gram + 1, 16)
+    dealt = cut_rows.repartitionByRange(F.col("gram"), after, F.col("stretch"))
+    return dealt.sortWithinPartitions("gram", "right", "left")
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
