@@ -88,4 +88,59 @@ from judged
 """
 
 
-ORACLES = {"op4_url_filters": _url_filters(), "op6_quality_rules": _quality_rules()}
+_WORDS = (
+    "list_filter(regexp_split_to_array("
+    + LOWER.format("coalesce(text, '')")
+    + r", '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+)
+
+
+def _near_duplicates(numerator: int) -> str:
+    """All pairs with a shingle in common, and what links lead to."""
+    five = " || ' ' || ".join(f"words[i + {k}]" for k in range(5))
+    return f"""
+with recursive docs as (select doc_id, {_WORDS} as words from documents),
+shingles as (
+  select distinct doc_id, shingle from (
+    select doc_id, unnest(case when len(words) < 5 then [array_to_string(words, ' ')]
+      else list_transform(range(1, len(words) - 3), lambda i: {five}) end) as shingle
+    from docs where len(words) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * common >= {numerator} * (x.n + y.n - common)),
+reached(doc_id, other) as (
+  select doc_id, doc_id from docs
+  union select r.doc_id, l.b from reached r join links l on l.a = r.other),
+first as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, component_id = doc_id as kept
+from first left join sizes using (doc_id)
+"""
+
+
+def _repeated_passages(least: int) -> str:
+    """Words of windows that another text holds, or of texts held twice, as stretches."""
+    return f"""
+with docs as (select doc_id, coalesce(text, '') as text, {_WORDS} as words from documents),
+windows as (
+  select doc_id, text, start, array_to_string(words[start + 1:start + {least}], ' ') as content
+  from (select *, unnest(range(0, len(words) - {least} + 1)) as start from docs)),
+held as (select content from windows group by content having count(distinct text) > 1),
+copied as (select text from docs group by text having count(*) > 1),
+marked as (
+  select distinct doc_id, unnest(range(start, start + {least})) as word from windows
+  where content in (select content from held) or text in (select text from copied)),
+stretches as (select doc_id, word, word - row_number() over (partition by doc_id order by word) as part from marked)
+select doc_id, min(word)::int as start_word, count(*)::int as n_words from stretches group by doc_id, part
+"""
+
+
+ORACLES = {
+    "op3_minhash_dedup": _near_duplicates(85),
+    "op4_url_filters": _url_filters(),
+    "op6_quality_rules": _quality_rules(),
+    "op7_suffix_dedup": _repeated_passages(50),
+}
