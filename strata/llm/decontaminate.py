@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import mix, utf8, windows, word_hashes
+from strata.sources import layer_path, scratch_dir, write_layer
 
 
 @dataclass(frozen=True)
@@ -85,14 +86,18 @@ def shingle_weights(items: DataFrame, rule: LeakRule, text: str = "text") -> Dat
     named = items.select(F.col("item_id").cast("long"), F.col(text).cast("string"))
     cut_items = named.mapInArrow(cut, "item_id long, n_words int, shingles array<long>")
     cut_items = cut_items.withColumn("_item", F.monotonically_increasing_id())
-    total = cut_items.agg(F.count("*").alias("_total"))
-    single = cut_items.select("_item", "item_id", "n_words", F.explode("shingles").alias("shingle"))
+    path = layer_path(scratch_dir(items.sparkSession), "decontaminate", "items")
+    stored = write_layer(cut_items, path)
+    single = stored.frame.select("_item", "item_id", "n_words", F.explode("shingles").alias("shingle"))
     held = single.groupBy("shingle").agg(F.count("*").alias("_held"))
-    weighed = single.join(held, "shingle").join(F.broadcast(total))  # one row
-    return weighed.groupBy("_item", "item_id", "n_words").agg(
-        F.collect_list("shingle").alias("shingles"),
-        F.collect_list(F.log2(1 + F.col("_total") / F.col("_held"))).alias("weights"),
-        F.max("_total").alias("total"),
+    return (
+        single.join(held, "shingle")
+        .groupBy("_item", "item_id", "n_words")
+        .agg(
+            F.collect_list("shingle").alias("shingles"),
+            F.collect_list(F.log2(1 + stored.rows / F.col("_held"))).alias("weights"),
+        )
+        .withColumn("total", F.lit(stored.rows))
     )
 
 

@@ -50,7 +50,8 @@ class TextEncoder:
         self._plain: Tokenizer | None = None  # loaded for the first text that needs it
         self._keep = keep
         self._known: dict[bytes, bytes] = {}
-        spec = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
         self._encode: Callable[[bytes], bytes] = self._by_library
         if _is_byte_level(spec):
             self._core = tiktoken.Encoding(
