@@ -494,7 +494,7 @@ class JoiningLinks(BlockComparison):
     def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
         rule = self.rule
         node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
-        texts = table.column("text").combine_chunks()
+        texts = table.column("text")
         links = []
         for found in self.candidates(table, bounds):
             sets: dict[int, np.ndarray] = {}
