@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -442,8 +441,8 @@ class BlockComparison:
     def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
         raise NotImplementedError
 
-    def candidates(self, table: pa.Table, bounds: list[int]) -> Iterator[list[tuple[int, int, int]]]:
-        """For each run, (unequal lanes, row, row) of pairs of different components."""
+    def candidates(self, table: pa.Table, bounds: list[int]) -> Iterator[np.ndarray]:
+        """For each run, (unequal lanes, row, row) of pairs of different components, least first."""
         n = len(table)
         label = np.array(table.column("label").to_pylist(), dtype="S16")
         label = np.unique(label, return_inverse=True)[1]
@@ -458,7 +457,7 @@ class BlockComparison:
         for start, end in zip(bounds, bounds[1:]):
             rows = start + np.flatnonzero(block[start:end] == left[start])
             cols = start + np.flatnonzero(block[start:end] == right[start])
-            found = []
+            found = [np.zeros((0, 3), dtype=np.int32)]
             for i in rows:
                 against = cols[cols > i] if left[start] == right[start] else cols
                 against = against[label[against] != label[i]]
@@ -468,8 +467,11 @@ class BlockComparison:
                     against = against[bands[i][first] == band[start]]
                     unequal = unequal_lanes(sign[against] ^ sign[i], self.rule.bits).sum(axis=1)
                     alike = unequal <= most
-                    found += zip(unequal[alike].tolist(), repeat(int(i)), against[alike].tolist())
-            yield found
+                    pairs = np.empty((int(alike.sum()), 3), dtype=np.int32)
+                    pairs[:, 0], pairs[:, 1], pairs[:, 2] = unequal[alike], i, against[alike]
+                    found.append(pairs)
+            pairs = np.concatenate(found)
+            yield pairs[np.argsort(pairs[:, 0], kind="stable")]
 
     def _in_reach(self, gap: float, others: np.ndarray) -> np.ndarray:
         """Whether distances to the pivot allow a link; those over 1 are not known."""
@@ -483,8 +485,7 @@ class OpenRows(BlockComparison):
     def compare(self, table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
         needed = np.zeros(len(table), dtype=bool)
         for found in self.candidates(table, bounds):
-            for _, i, j in found:
-                needed[i] = needed[j] = True
+            needed[found[:, 1:]] = True
         yield from table.filter(pa.array(needed)).to_batches()
 
 
@@ -505,7 +506,8 @@ class JoiningLinks(BlockComparison):
                     at = over[at]
                 return at
 
-            for _, i, j in sorted(found):
+            for pair in found:
+                i, j = int(pair[1]), int(pair[2])
                 a, b = root(label[i]), root(label[j])
                 if a == b:
                     continue
