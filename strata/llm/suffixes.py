@@ -2,10 +2,11 @@
 
 Of each run of windows the position with the least hash is kept (a minimiser), so
 equal passages keep equal positions, and a passage of the wanted length holds at
-least one. Suffixes that begin alike are sorted, each is compared with its
-neighbours in that order, and matches are extended to the right and to the left.
-A kept position stands for the windows that selected it, so only the words of
-these windows are compared; longer matches come out as chains of positions.
+least one. A kept position stands for the windows that selected it, so only the
+words of these windows are compared; longer matches come out as chains of positions.
+Where few suffixes begin alike, each is compared with all others, and matches are
+extended to the right and to the left. Where many do, their windows are hashed, and
+equal windows are grouped.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from strata.sources import layer_path, scratch_dir, write_layer
 class RepeatRule:
     """Passages of ``least`` words; positions are chosen by runs of ``gram`` words.
 
-    A suffix is compared with ``neighbours`` suffixes on either side.
+    A suffix is compared with ``neighbours`` others. Where more begin alike, equal
+    windows are grouped instead.
     """
 
     least: int = 50
@@ -79,6 +81,13 @@ def stretch_hashes(words: np.ndarray, positions: Positions) -> np.ndarray:
     return mix(values ^ mix(sizes))
 
 
+def window_hashes(words: np.ndarray, rule: RepeatRule) -> np.ndarray:
+    """Hash of each passage of ``least`` words."""
+    n = len(words)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers(_FACTOR, n), dtype=np.uint64)])
+    return mix((sums[rule.least :] - sums[: -rule.least]) * powers(_INVERSE, n)[: n - rule.least + 1])
+
+
 MEMBERS = "gram long, stretch long, at int, before int, after int"
 
 
@@ -162,8 +171,13 @@ def repeated_spans(
     )
     repeated = stretches.join(grams.drop("_low", "_high"), "gram")
     repeated = write_layer(repeated, layer_path(folder, "suffixes", "stretches")).frame
-    sorted_rows = _with_context(docs, repeated.where("_n > 1 and _open = 1"), rule)
-    marks = sorted_rows.mapInArrow(NeighbourComparison(rule), "gram long, stretch long, left int, right int")
+    context = _with_context(docs, repeated.where("_n > 1 and _open = 1"), rule)
+    context = write_layer(context, layer_path(folder, "suffixes", "context")).frame
+    compared = _sorted(context.where("windows is null"), rule).mapInArrow(
+        NeighbourComparison(rule), "gram long, stretch long, left int, right int"
+    )
+    marks = compared.union(_equal_windows(context.where("windows is not null"), rule, folder))
+    marks = marks.groupBy("gram", "stretch").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     marks = write_layer(marks, layer_path(folder, "suffixes", "marks")).frame
     shared = repeated.where("low != high").select("gram", "stretch").withColumns(
         {"left": F.lit(None).cast("int"), "right": F.lit(None).cast("int")}
@@ -203,10 +217,12 @@ def _merged(spans: Column) -> Column:
 
 
 def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> DataFrame:
-    """Stretches with their words right and left of the position, in suffix order."""
+    """Stretches with their words right and left of the position, or, where a gram has
+    more of them than are compared, with the hashes of their windows instead."""
+    many = (F.col("_n") > rule.neighbours + 1).alias("many")
     wanted = stretches.groupBy(F.col("one.key").alias("key")).agg(
         F.collect_list(
-            F.struct("gram", "stretch", "low", "high", "one.at", "one.before", "one.after")
+            F.struct("gram", "stretch", "low", "high", "one.at", "one.before", "one.after", many)
         ).alias("wanted")
     )
     texts = _keyed(docs).join(wanted, "key").groupBy("key").agg(
@@ -218,8 +234,10 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
             ("stretch", pa.int64()),
             ("low", pa.binary()),
             ("high", pa.binary()),
+            ("before", pa.int32()),
             ("right", pa.binary()),
             ("left", pa.binary()),
+            ("windows", pa.list_(pa.int64())),
         ]
     )
 
@@ -227,27 +245,54 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
         for batch in batches:
             rows = []
             for text, places in zip(utf8(batch.column("text")), batch.column("wanted").to_pylist()):
-                words = (word_hashes(text) >> np.uint64(32)).astype(">u4")
+                hashes = word_hashes(text)
+                words = (hashes >> np.uint64(32)).astype(">u4")
+                held = window_hashes(hashes, rule).view(np.int64) if any(p["many"] for p in places) else None
                 for p in places:
-                    at = p["at"]
-                    right = words[at : at + p["after"]].tobytes()
-                    left = words[at - p["before"] : at][::-1].tobytes()
-                    rows.append((p["gram"], p["stretch"], p["low"], p["high"], right, left))
-                if len(rows) > 20_000:
-                    yield _rows(rows, schema)
-                    rows = []
+                    at, start, stop = p["at"], p["at"] - p["before"], p["at"] + p["after"]
+                    if p["many"]:
+                        sides = (None, None, held[start : stop - rule.least + 1])
+                    else:
+                        sides = (words[at:stop].tobytes(), words[start:at][::-1].tobytes(), None)
+                    rows.append((p["gram"], p["stretch"], p["low"], p["high"], p["before"], *sides))
+                    if len(rows) > 20_000:
+                        yield _rows(rows, schema)
+                        rows = []
             yield _rows(rows, schema)
 
-    cut_rows = texts.select("text", "wanted").mapInArrow(
-        cut, "gram long, stretch long, low binary, high binary, right binary, left binary"
+    return texts.select("text", "wanted").mapInArrow(
+        cut,
+        "gram long, stretch long, low binary, high binary, before int, right binary, left binary, windows array<long>",
     )
+
+
+def _sorted(context: DataFrame, rule: RepeatRule) -> DataFrame:
+    """Stretches in suffix order."""
     # Suffixes of one gram begin alike; the next words deal them out, and the stretch where
     # even these are equal. Whole contexts would be long keys for the driver's sample.
     after = F.substring("right", 4 * rule.gram + 1, 16)
-    dealt = cut_rows.repartitionByRange(F.col("gram"), after, F.col("stretch"))
+    context = context.select("gram", "stretch", "low", "high", "right", "left")
+    dealt = context.repartitionByRange(F.col("gram"), after, F.col("stretch"))
     return dealt.sortWithinPartitions("gram", "right", "left")
 
 
+def _equal_windows(context: DataFrame, rule: RepeatRule, folder: str) -> DataFrame:
+    """(gram, stretch, left, right) of windows that another text holds as well.
+
+    Equal windows keep equal positions, so they have the same gram. Their holders are
+    counted in every task before anything moves, so no window is too frequent.
+    """
+    single = context.select(
+        "gram", "stretch", "low", "high", "before", F.posexplode("windows").alias("nth", "window")
+    )
+    held = single.groupBy("gram", "window").agg(F.min("low").alias("_low"), F.max("high").alias("_high"))
+    held = held.where("_low != _high").select("gram", "window")
+    held = write_layer(held, layer_path(folder, "suffixes", "windows")).frame
+    found = single.where("low = high").join(held, ["gram", "window"])
+    left = F.col("before") - F.col("nth")
+    return found.select("gram", "stretch", left.alias("left"), (rule.least - left).alias("right"))
+
+
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

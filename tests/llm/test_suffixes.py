@@ -100,3 +100,24 @@ def test_stretch_hashes_name_contents_and_place():
 
 def test_empty_table(no_docs):
     assert find_repeats(no_docs).count() == 0
+
+
+def test_own_words_before_a_line_that_all_texts_hold(spark):
+    line = words(9, 25)
+    rows = []
+    for k in range(120):
+        own = words(1000 + k // 2, 30)
+        rows.append((k, " ".join(words(k, 60) + own + line + words(5000 + k, 60))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(rows)
+    assert {d for d, _ in want} == set(range(120))
+    assert found(frame) == want
+
+
+def test_window_hashes_name_contents():
+    rule = RepeatRule(least=20, gram=4)
+    tokens = mix(np.random.default_rng(2).integers(0, 3, 3000).astype(np.uint64))
+    tokens = np.concatenate([tokens, tokens[:500]])
+    hashes = suffixes.window_hashes(tokens, rule)
+    contents = [tuple(tokens[i : i + 20]) for i in range(len(tokens) - 19)]
+    assert len(hashes) == len(contents) and len(set(zip(contents, hashes))) == len(set(contents)) == len(set(hashes))
