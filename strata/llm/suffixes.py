@@ -173,7 +173,7 @@ def repeated_spans(
     repeated = write_layer(repeated, layer_path(folder, "suffixes", "stretches")).frame
     context = _with_context(docs, repeated.where("_n > 1 and _open = 1"), rule)
     context = write_layer(context, layer_path(folder, "suffixes", "context")).frame
-    compared = _sorted(context.where("windows is null"), rule).mapInArrow(
+    compared = _by_gram(context.where("windows is null")).mapInArrow(
         NeighbourComparison(rule), "gram long, stretch long, left int, right int"
     )
     marks = compared.union(_equal_windows(context.where("windows is not null"), rule, folder))
@@ -266,14 +266,10 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
     )
 
 
-def _sorted(context: DataFrame, rule: RepeatRule) -> DataFrame:
-    """Stretches in suffix order."""
-    # Suffixes of one gram begin alike; the next words deal them out, and the stretch where
-    # even these are equal. Whole contexts would be long keys for the driver's sample.
-    after = F.substring("right", 4 * rule.gram + 1, 16)
+def _by_gram(context: DataFrame) -> DataFrame:
+    """Stretches of a gram in one partition, side by side; only for grams of few stretches."""
     context = context.select("gram", "stretch", "low", "high", "right", "left")
-    dealt = context.repartitionByRange(F.col("gram"), after, F.col("stretch"))
-    return dealt.sortWithinPartitions("gram", "right", "left")
+    return context.repartition("gram").sortWithinPartitions("gram")
 
 
 def _equal_windows(context: DataFrame, rule: RepeatRule, folder: str) -> DataFrame:
@@ -299,11 +295,10 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class NeighbourComparison:
-    """Matches of each suffix with its next ones in order, extended to both sides.
+    """Matches of each suffix with all others of its gram, extended to both sides.
 
-    The last suffixes of a batch are carried over to the next. The first of a
-    partition lack those before them; a partition's end costs a suffix a few of
-    its neighbours, of which it has others.
+    The suffixes of a gram stand side by side, and there are not more of them than
+    a suffix and its neighbours. The last ones of a batch are carried over to the next.
     """
 
     def __init__(self, rule: RepeatRule):

@@ -121,3 +121,18 @@ def test_window_hashes_name_contents():
     hashes = suffixes.window_hashes(tokens, rule)
     contents = [tuple(tokens[i : i + 20]) for i in range(len(tokens) - 19)]
     assert len(hashes) == len(contents) and len(set(zip(contents, hashes))) == len(set(contents)) == len(set(hashes))
+
+
+def test_pairs_are_found_over_many_partitions(spark):
+    own = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in own}
+    rows = []
+    for k in range(1200):
+        rows.append((k, " ".join(words(100_000 + k, 55) + words(1000 + k // 2, 51) + words(200_000 + k, 55))))
+    try:
+        for name, value in own.items():
+            spark.conf.set(name, value)
+        assert found(spark.createDataFrame(rows, "doc_id long, text string")) == plain(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
