@@ -2,15 +2,18 @@
 
 Every window of a document that is as long as some benchmark item, and that holds
 enough of such items' shingles to be able to match one, gets a fingerprint of
-weighted shingles. Fingerprints are cut into blocks; two within the radius differ
+weighted shingles, each counted once. Fingerprints are cut into blocks; two within the radius differ
 by at most ``radius // blocks`` bits in some block, so looking up each block with
 that many bits flipped finds every item within the radius. Candidates within the
-radius are verified by exact similarity of their weighted shingle sets.
+radius are verified by exact similarity of their weighted shingle sets. Items whose
+matches may lie outside the radius, because few or heavy shingles decide, are held
+against every window that has enough of their weight.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,9 +32,10 @@ from strata.sources import layer_path, scratch_dir, write_layer
 class LeakRule:
     """Windows within ``radius`` bits are candidates; from ``similarity`` on they are leaks.
 
-    At a similarity of 0.8 a fingerprint differs in 39 of 256 bits on average, with
-    a standard deviation of 6; the radius lies four deviations above. With 16
-    blocks it allows 3 flipped bits in the nearest one.
+    With equal weights and a similarity of 0.8 a fingerprint differs in 39 of 256 bits
+    on average, with a standard deviation of 6; the radius lies four deviations
+    above. With 16 blocks it allows 3 flipped bits in the nearest one. Items of fewer
+    than ``few`` shingles, or with a larger radius by their weights, do without it.
     """
 
     width: int = 5
@@ -39,6 +43,7 @@ class LeakRule:
     bits: int = 256
     blocks: int = 16
     radius: int = 63
+    few: int = 16
 
 
 BLOCK_SHINGLES = 1_000_000  # item shingles that one index holds; more items make more indexes
@@ -57,6 +62,7 @@ class SizeIndex:
     prints: np.ndarray | None = None
     known: np.ndarray | None = None
     known_weights: np.ndarray | None = None
+    wide: list[int] = field(default_factory=list)
     least: float = 0.0
 
 
@@ -129,10 +135,46 @@ def _finished(sizes: dict[int, SizeIndex], rule: LeakRule, other: float) -> dict
         size.least = rule.similarity * min(w.sum() for w in size.weights) - 1e-9
         rows = [signs(s, w, rule).sum(axis=0) > TIE for s, w in zip(size.shingles, size.weights)]
         size.prints = np.packbits(np.array(rows), axis=1)
+        size.wide = [
+            k for k, w in enumerate(size.weights) if len(w) < rule.few or needed_radius(w, other, rule) > rule.radius
+        ]
     sizes[-1] = SizeIndex(-1, least=other)  # weight of shingles that no item has
     return sizes
 
 
+def needed_radius(weights: np.ndarray, heaviest: float, rule: LeakRule) -> float:
+    """Bits within which an item's matches lie, four standard deviations above the mean.
+
+    A match may lack some of the item's weight, at worst its heaviest shingles, and
+    hold other shingles, at worst of the ``heaviest`` weight.
+    """
+    order = np.sort(weights)[::-1]
+    whole, squares = order.sum(), np.square(order).sum()
+    lost = np.linspace(0, (1 - rule.similarity) * whole, 33)
+    lost_squares = np.interp(lost, np.cumsum([0, *order]), np.cumsum([0, *np.square(order)]))
+    added = np.maximum((1 - rule.similarity) * whole - lost, 0) / rule.similarity
+    common = squares - lost_squares
+    cosine = common / np.sqrt(squares * (common + added * heaviest))
+    share = float(np.arccos(np.clip(cosine.min(), -1, 1)) / np.pi)
+    return rule.bits * share + 4 * math.sqrt(rule.bits * share * (1 - share))
+
+
+def window_votes(own: np.ndarray, signed: np.ndarray, span: int) -> np.ndarray:
+    """Sums of ``signed`` over each window of ``span``, with repeated values of ``own`` once."""
+    n = len(own)
+    order = np.argsort(own, kind="stable")
+    again = np.flatnonzero(own[order][1:] == own[order][:-1])
+    later, earlier = order[again + 1], order[again]
+    near = later - earlier < span
+    later, earlier = later[near], earlier[near]
+    steps = np.zeros((n + span, signed.shape[1]))
+    steps[:n] = signed
+    steps[later] = 0  # a repeated value enters when the one before it leaves
+    steps[earlier + span] += signed[later]
+    steps[span:] -= signed
+    return np.cumsum(steps, axis=0)[span - 1 : n]
+
+
 def signs(shingles: np.ndarray, weights: np.ndarray, rule: LeakRule) -> np.ndarray:
     """Each shingle's weight with the sign of each bit of its hash."""
     lanes = [mix(shingles + np.uint64(k + 1)) for k in range(rule.bits // 64)]
@@ -253,12 +295,22 @@ class LeakFinder:
         best: dict[int, tuple] = {}
         for group in np.split(able, np.flatnonzero(np.diff(able) > span) + 1) if len(able) else []:
             low, high = int(group[0]), int(group[-1]) + span
-            votes = np.cumsum(signs(shingles[low:high], weights[low:high], self.rule), axis=0, dtype=np.float64)
-            votes = np.concatenate([np.zeros((1, self.rule.bits)), votes])
-            at = group - low
-            prints = np.packbits(votes[at + span] - votes[at] > TIE, axis=1)
-            for start, own in zip(group.tolist(), prints):
-                for k, distance in self.tables.within(own, number):
+            signed = signs(shingles[low:high], weights[low:high], self.rule)
+            votes = window_votes(shingles[low:high], signed, span)
+            prints = np.packbits(votes[group - low] > TIE, axis=1)
+            near = [self.tables.within(own, number) for own in prints]
+            for k in size.wide:
+                item = size.shingles[k]
+                place = np.minimum(np.searchsorted(item, shingles[low:high]), len(item) - 1)
+                has = np.where(item[place] == shingles[low:high], weights[low:high], 0)
+                has = np.concatenate([[0], np.cumsum(has)])
+                enough = has[group - low + span] - has[group - low] >= self.rule.similarity * size.weights[k].sum() - 1e-9
+                for i in np.flatnonzero(enough).tolist():
+                    distance = int(np.bitwise_count(size.prints[k] ^ prints[i]).sum())
+                    if distance > self.rule.radius:  # others have been found
+                        near[i].append((k, distance))
+            for start, close in zip(group.tolist(), near):
+                for k, distance in close:
                     alike = self._similarity(shingles[start : start + span], weights[start : start + span], size, k)
                     if alike >= self.rule.similarity and alike > best.get(k, (0,))[0]:
                         best[k] = (alike, start, distance)

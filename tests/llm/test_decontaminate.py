@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
+
 from strata.llm import decontaminate as dc
 from strata.llm.decontaminate import LeakRule, find_leaks, without_leaks
 from tests.llm.data import CLASHING, edited, words
@@ -80,6 +82,33 @@ def test_clean_documents_stay_with_their_columns(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter(d for d, _ in docs if d not in bad)
 
 
+def test_repetitive_and_templated_items_equal_trying_all_windows(spark):
+    items = [(k, " ".join(["0"] * (30 + k) + words(k, 40))) for k in range(3)]
+    items += [(50 + k, " ".join(words(90, 6) * (5 + k % 3) + words(50 + k, 30))) for k in range(3)]
+    items += [(100 + k, " ".join(words(91, 40) + words(100 + k, 3) + words(92, 20))) for k in range(12)]
+    items += [(200 + k, " ".join(words(200 + k, 5 + k))) for k in range(4)]
+    docs = [(k, " ".join(words(3000 + k, 40) + t.split() + words(4000 + k, 40))) for k, t in items]
+    docs += [(1000 + k, " ".join(words(5000 + k, 30) + edited(t.split(), k, 1) + words(6000 + k, 30))) for k, t in items]
+    docs += [(2000, " ".join(words(91, 40) + words(7000, 3) + words(92, 20)))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    table = spark.createDataFrame([(*i, "x") for i in items], ITEMS)
+    got = Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in find_leaks(frame, table).collect())
+    want = plain(docs, items)
+    assert set(want) >= {(k, k, 1.0) for k, _ in items}
+    assert got == want
+
+
+def test_window_votes_count_repeated_shingles_once():
+    own = np.random.default_rng(1).integers(0, 6, 80).astype(np.uint64)
+    signed = dc.signs(own, np.ones(80), LeakRule())
+    for span in (1, 2, 9, 80):
+        votes = dc.window_votes(own, signed, span)
+        assert len(votes) == 80 - span + 1
+        for start, row in enumerate(votes):
+            _, first = np.unique(own[start : start + span], return_index=True)
+            assert np.array_equal(row, signed[start + first].sum(axis=0))
+
+
 def test_empty_tables(spark, no_docs, messy, messy_rows):
     docs, items = contaminated()
     table = spark.createDataFrame([(*i, "x") for i in items], ITEMS)
