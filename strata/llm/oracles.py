@@ -138,9 +138,83 @@ select doc_id, min(word)::int as start_word, count(*)::int as n_words from stret
 """
 
 
+def _divergence() -> str:
+    term = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+    share = "1 + (1000000000::hugeint * ({0}.n + 5)) // ({0}.total + 5 * {0}.kept)"
+    return rf"""
+with docs as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    {LOWER.format("coalesce(text, '')")} as text
+  from documents),
+found as (
+  select doc, lang, source, term, count(*) as n
+  from (select doc, lang, source, unnest(regexp_extract_all(text, '{term}')) as term from docs)
+  group by all),
+terms as (
+  select lang, term, sum(n) as n from found group by all having count(*) >= 30),
+spaces as (select lang, count(*) as kept, sum(n) as total from terms group by lang),
+counts as (
+  select lang, source, term, sum(f.n) as n from found f join terms t using (lang, term) group by all),
+sums as (select lang, source, sum(n) as total from counts group by all),
+groups as (
+  select lang, source, coalesce(sums.total, 0) as total, coalesce(kept, 0) as kept
+  from (select distinct lang, source from docs) left join sums using (lang, source) left join spaces using (lang)),
+cells as (
+  select g.lang, g.source, t.term, coalesce(c.n, 0) as n, g.total, g.kept
+  from groups g join terms t using (lang) left join counts c using (lang, source, term)),
+priced as (select lang, source, term, n, {share.format("c")} as p from cells c),
+overall as (
+  select lang, term, {share.format("o")} as q
+  from (select lang, term, n, total, kept from terms join spaces using (lang)) o),
+apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from priced a join priced b using (lang, term) group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+ahead as (
+  select lang, source, 'term' as part, term as item, p - q as value
+  from priced join overall using (lang, term) where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from ahead))
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
+
+def _infill() -> str:
+    group = "('0x' || substr(h, {0}, 8))::bigint"
+    draws = ", ".join(f"{group.format(8 * k + 1)} as h{k + 1}" for k in range(4))
+    return f"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, sha256('1:' || doc_id::varchar) as h from documents),
+drawn as (select doc_id, text, length(text) as n, {draws} from docs),
+cut as (
+  select doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90
+      then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+parts as (
+  select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle, substr(text, b + 1) as suffix
+  from cut)
+select doc_id, n::bigint as n, form,
+  case when form <> 'plain' then a end::bigint as prefix_chars,
+  case when form <> 'plain' then b - a end::bigint as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
+
 ORACLES = {
     "op3_minhash_dedup": _near_duplicates(85),
     "op4_url_filters": _url_filters(),
     "op6_quality_rules": _quality_rules(),
     "op7_suffix_dedup": _repeated_passages(50),
+    "op11_divergence": _divergence(),
+    "op12_infill": _infill(),
 }

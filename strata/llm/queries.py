@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.byte_bpe import decode_ids, encode_text
 from strata.llm.decontaminate import find_leaks
+from strata.llm.divergence import divergence
+from strata.llm.infill import infill, restore
 from strata.llm.minhash import NearDuplicates, near_duplicates
 from strata.llm.packing import pack_documents
 from strata.llm.pii import find_pii, fit_on
@@ -130,6 +133,43 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and terms that a source has too much of."""
+    return divergence(read(spark, sf_dir, "documents"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in fill-in-middle form, and what is rebuilt from that."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    made = docs.select("doc_id", infill(F.col("doc_id"), F.col("text")).alias("made")).select("doc_id", "made.*")
+    back = restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by byte pairs, and decoded from the ids."""
+    import public_tokenizers
+
+    files = (vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = read(spark, sf_dir, "documents")
+    encoded = docs.select("doc_id", encode_text(F.col("text"), *files).alias("ids"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2(decode_ids(F.col("ids"), *files), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -142,6 +182,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_token_files": op9_token_files,
         "op10_decontamination": op10_decontamination,
+        "op11_divergence": op11_divergence,
+        "op12_infill": op12_infill,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 

@@ -14,7 +14,7 @@ from tests.compare import differences, duckdb_views
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry_point.queries()
-    assert [re.match(r"op(\d+)_", n)[1] for n in queries()] == [str(k) for k in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in queries()] == [str(k) for k in range(1, 14)]
     assert set(queries()) | {"pipeline"} <= set(names)
     assert names["pipeline"] is corpus_pipeline.run
     assert set(oracle_sql()) <= set(entry_point.oracle_sql())
@@ -37,6 +37,12 @@ CONTRACT = {
     ),
     "op8_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op9_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op11_divergence": "lang string, source string, part string, item string, value bigint, rank int",
+    "op12_infill": (
+        "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, "
+        "output_sha256 string, restored_sha256 string"
+    ),
+    "op13_byte_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
 
 
