@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-BATCH = 1 << 22  # characters that the library gets at once
-LONG = 1 << 20  # characters from which a text is encoded in parts
+BATCH = 1 << 19  # characters that the library gets at once; it takes 30 to 40 bytes for each
+LONG = 1 << 19  # characters from which a text is encoded in parts
 
 
 def byte_letters() -> list[str]:
@@ -54,6 +55,7 @@ class ByteBpe:
             self._bytes[number] = bytes(map(byte_of.__getitem__, self._written[token]))
 
     def _make_library(self) -> Tokenizer:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
         ranks, written = self._ranks, self._written
         merges = [
             (written[token[:k]], written[token[k:]])
