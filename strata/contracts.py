@@ -99,9 +99,44 @@ class ValueRule:
     contains: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Limit:
+    """How much of something a run may report before it publishes anything.
+
+    Every report row of ``check`` and ``metric`` is judged, or those of one table
+    and column where they are named. More than ``at_most``, or more than ``share``
+    of the table's rows, breaks the limit; one of the two must be given.
+    """
+
+    check: str
+    metric: str
+    table: str | None = None
+    column: str | None = None
+    at_most: int | None = None
+    share: float | None = None
+
+    def __post_init__(self) -> None:
+        if (self.at_most is None) == (self.share is None):
+            raise ValueError(f"{self.check}, {self.metric}: give either at_most or share")
+
+
 Builder = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
+@dataclass(frozen=True)
+class StagedQuestion:
+    """A question whose figures are used more than once.
+
+    ``figures`` is computed and stored once; ``answer`` reads what was stored.
+    """
+
+    figures: Builder
+    answer: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return self.answer(self.figures(tables))
+
+
 @dataclass(frozen=True)
 class RunPlan:
     """What a run does with a set of tables.
@@ -110,7 +145,8 @@ class RunPlan:
     each answer from the published ones. ``rules`` hold for typed tables,
     ``publish_rules`` for published ones. ``duplicate_lists`` names a list of
     repeated primary keys and its table. ``input_files`` are the extracts' usual
-    file names.
+    file names. ``limits`` stop a run after its checks and before it publishes.
+    ``audit_values`` adds to the report which values the casts rounded or shortened.
     """
 
     contracts: tuple[TableContract, ...]
@@ -121,6 +157,8 @@ class RunPlan:
     publish_rules: tuple[RowRule, ...] = ()
     questions: Mapping[str, Builder] = field(default_factory=dict)
     input_files: Mapping[str, str] = field(default_factory=dict)
+    limits: tuple[Limit, ...] = ()
+    audit_values: bool = False
 
     def __post_init__(self) -> None:
         tables = {c.name for c in self.contracts}
@@ -130,6 +168,7 @@ class RunPlan:
             *((rule.table, tables) for rule in self.rules),
             *((table, tables) for table in self.duplicate_lists.values()),
             *((rule.table, set(self.publish)) for rule in self.publish_rules),
+            *((limit.table, tables) for limit in self.limits if limit.table),
         ]
         unknown = sorted({name for name, known in named if name not in known})
         if unknown:

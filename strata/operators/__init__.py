@@ -1,4 +1,4 @@
-from strata.operators.conform import cast_failures, conform, normalise
+from strata.operators.conform import cast_failures, changed_values, conform, normalise
 from strata.operators.dedupe import keep_best
 from strata.operators.enrich import map_values, null_label
 from strata.operators.fact import build_fact
@@ -9,6 +9,7 @@ from strata.operators.grouped import (
     revenue_by_year,
     top_by_group,
 )
+from strata.operators.heavy import heavy_keys
 from strata.operators.quality import (
     check_foreign_key,
     check_primary_key,
@@ -16,16 +17,19 @@ from strata.operators.quality import (
     conditional_null,
     count_rules,
     duplicate_keys,
+    exceeded,
     key_report,
     null_profile,
     quality_report,
     rule_rows,
 )
+from strata.operators.rule_table import map_values_table, rule_table
 
 __all__ = [
     "average_by_group",
     "build_fact",
     "cast_failures",
+    "changed_values",
     "check_foreign_key",
     "check_primary_key",
     "childless_parents",
@@ -34,15 +38,19 @@ __all__ = [
     "count_rules",
     "date_span",
     "duplicate_keys",
+    "exceeded",
+    "heavy_keys",
     "keep_best",
     "key_report",
     "lag_histogram",
     "map_values",
+    "map_values_table",
     "normalise",
     "null_label",
     "null_profile",
     "quality_report",
     "revenue_by_year",
     "rule_rows",
+    "rule_table",
     "top_by_group",
 ]

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.enrich import null_label
+from strata.sources import write_layer
 
 TIED = "__tied"
 POSITION = "__position"
+ADDED, COUNTED = "__added", "__counted"
 GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
@@ -24,13 +26,25 @@ def revenue_by_year(
     by: Sequence[str],
     year_name: str = "OrderYear",
     value_name: str = "Revenue",
+    even: bool = False,
 ) -> DataFrame:
     """Sum of ``amount`` per year of ``date`` and ``by``; a missing year is a group.
 
     ``by`` may name columns of either side. Lines without a dimension row drop
     out. Only ``key`` and the grouping columns of the dimension enter the join.
+
+    ``even`` adds the lines of a key up before the join, in every task before they
+    move, so that a key with a large share of them brings one row per year and group
+    to the join. It pays where a key has many lines; exact amounts give the same sums.
     """
     wanted = [c for c in by if c in dimension.columns]
+    if even:
+        own = [c for c in by if c not in wanted]
+        sums = fact.where(F.col(key).isNotNull()).groupBy(key, F.year(date).alias(year_name), *own)
+        added = sums.agg(F.sum(amount).alias(value_name))
+        joined = added.join(dimension.select(key, *wanted), on=key, how="inner")
+        total = F.sum(value_name).cast(added.schema[value_name].dataType)
+        return joined.groupBy(year_name, *by).agg(total.alias(value_name))
     return (
         fact.join(dimension.select(key, *wanted), on=key, how="inner")
         .groupBy(F.year(date).alias(year_name), *by)
@@ -39,7 +53,12 @@ def revenue_by_year(
 
 
 def top_by_group(
-    df: DataFrame, group: str, value: str, ranks: int = 1, rank_name: str | None = None
+    df: DataFrame,
+    group: str,
+    value: str,
+    ranks: int = 1,
+    rank_name: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` ranks within ``ranks`` in their group, every tie kept.
 
@@ -55,13 +74,16 @@ def top_by_group(
     spark.sql.optimizer.windowGroupLimitThreshold says otherwise), and more
     ``ranks`` than that are refused. The winning values are then joined back.
     ``df`` appears twice in the plan, hence the demand for exact values (sums of
-    floating-point numbers may differ between two evaluations).
+    floating-point numbers may differ between two evaluations). With a ``folder``
+    it is first written there, so what is ranked and joined is evaluated once.
     """
     if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)):
         raise ValueError(f"{value!r} is inexact; rank on a decimal or an integer")
     most = int(df.sparkSession.conf.get(GROUP_LIMIT))
     if ranks > most:
         raise ValueError(f"{ranks} ranks: Spark cuts groups early up to {most}; raise {GROUP_LIMIT}")
+    if folder is not None:
+        df = write_layer(df, folder).frame
     levels = df.groupBy(group, value).agg(F.count(F.lit(1)).alias(TIED))
     within = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
     above = F.coalesce(
@@ -91,19 +113,27 @@ def average_by_group(
     count_name: str,
     label: str = "(Uncategorized)",
     digits: int = 2,
+    even: bool = False,
 ) -> DataFrame:
     """Rounded average and number of non-null values per group.
 
     The label for a missing group is set after grouping, so a real group of that
     name stays apart. Sorted by the rounded average, highest first, then name.
+    ``even`` adds up the lines of a key before the join, as in ``revenue_by_year``;
+    the values must then be integers, whose sums are exact.
     """
+    average, count = F.avg(value), F.count(value)
+    if even:
+        if not isinstance(fact.schema[value].dataType, T.IntegralType):
+            raise ValueError(f"{value!r} is no integer column; its average depends on the order of sums")
+        keyed = fact.where(F.col(key).isNotNull()).groupBy(key)
+        fact = keyed.agg(F.sum(value).alias(ADDED), F.count(value).alias(COUNTED))
+        count = F.sum(COUNTED)
+        average = F.sum(ADDED).cast("double") / F.when(count > 0, count)
     grouped = (
         fact.join(dimension.select(key, group), on=key, how="inner")
         .groupBy(group)
-        .agg(
-            F.round(F.avg(value), digits).alias(average_name),
-            F.count(value).alias(count_name),
-        )
+        .agg(F.round(average, digits).alias(average_name), count.alias(count_name))
     )
     return null_label(grouped, [group], label).orderBy(
         F.col(average_name).desc(), F.col(group).asc()

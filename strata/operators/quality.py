@@ -9,18 +9,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.contracts import ForeignKey, RowRule, TableContract
+from strata.contracts import ForeignKey, Limit, RowRule, TableContract
 from strata.operators.conform import (
     cast_failure_measures,
     conform,
     conform_with_text,
     imputed_date_measures,
+    value_measures,
 )
 from strata.operators.measures import LONG_SCHEMA, Measure, measure
 
@@ -29,6 +30,7 @@ KEY = "__key"
 FOUND = "__found"
 PARENTS = "__parents"
 SPACE = "__space"
+LOST = "__lost"
 REPORT_SCHEMA = f"table string, {LONG_SCHEMA}"
 
 
@@ -111,7 +113,7 @@ def check_foreign_key(
 ) -> DataFrame:
     """One row: child_column, parent_column, orphans, valid. A NULL child is exempt.
 
-    This is the anti join of child and parent, but only the number of orphans is
+    The columns may differ in type; Spark stacks them in the type that holds both. This is the anti join of child and parent, but only the number of orphans is
     wanted. So both key columns are stacked and grouped once: per key, how many
     child rows and whether a parent exists. Keys are counted before the single
     shuffle on either side, and no estimate of the parent's size is needed. As a
@@ -161,22 +163,35 @@ def conditional_null(df: DataFrame, column: str, flag: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class _KeySpace:
-    """Values of one key: those of its table, and those that a child refers to."""
+    """Values of one key in one type: those of its table, and those that a child refers to."""
 
     table: str
     column: str
+    kind: T.DataType
     foreign_key: ForeignKey | None = None
 
 
 def _key_spaces(
-    contracts: Sequence[TableContract], foreign_keys: Sequence[ForeignKey]
+    store: Mapping[str, DataFrame],
+    contracts: Sequence[TableContract],
+    foreign_keys: Sequence[ForeignKey],
 ) -> list[_KeySpace]:
-    """One space per foreign key, and one per other single-column primary key."""
-    spaces = [_KeySpace(fk.parent_table, fk.parent_column, fk) for fk in foreign_keys]
-    covered = {(s.table, s.column) for s in spaces}
+    """One space per foreign key, and one per single-column primary key that no foreign key
+    compares in its own type. A foreign key's type is the one in which Spark compares its
+    two columns; types that it does not compare raise."""
+    spaces = []
+    for fk in foreign_keys:
+        keys = store[fk.parent_table].select(F.col(fk.parent_column).alias(KEY))
+        child = store[fk.child_table].select(F.col(fk.child_column).alias(KEY))
+        kind = keys.unionAll(child).schema[KEY].dataType
+        spaces.append(_KeySpace(fk.parent_table, fk.parent_column, kind, fk))
+    covered = {(s.table, s.column, s.kind) for s in spaces}
     for contract in contracts:
-        if len(contract.primary_key) == 1 and (contract.name, contract.primary_key[0]) not in covered:
-            spaces.append(_KeySpace(contract.name, contract.primary_key[0]))
+        if len(contract.primary_key) == 1:
+            column = contract.primary_key[0]
+            kind = store[contract.name].schema[column].dataType
+            if (contract.name, column, kind) not in covered:
+                spaces.append(_KeySpace(contract.name, column, kind))
     return spaces
 
 
@@ -184,39 +199,52 @@ def _count_keys(store: Mapping[str, DataFrame], spaces: Sequence[_KeySpace]) ->
     """(space, rows, distinct_keys, null_keys, orphans), one row per space.
 
     Each table is scanned once, its keys of all spaces are stacked, and one
-    grouping counts, per value, the rows of the parent and of the child.
+    grouping counts, per value, the rows of the parent and of the child. There is
+    a key column for each type, and a row fills that of its space. A value that
+    the type cannot hold (text beside numbers) equals no key of the other side.
     """
-    entries: dict[str, list[tuple[int, str, int, int]]] = {}
+    types = list(dict.fromkeys(space.kind for space in spaces))
+    entries: dict[str, list[tuple[int, int, str, int, int]]] = {}
     for number, space in enumerate(spaces):
-        entries.setdefault(space.table, []).append((number, space.column, 1, 0))
+        place = types.index(space.kind)
+        entries.setdefault(space.table, []).append((number, place, space.column, 1, 0))
         if space.foreign_key:
-            child = (number, space.foreign_key.child_column, 0, 1)
+            child = (number, place, space.foreign_key.child_column, 0, 1)
             entries.setdefault(space.foreign_key.child_table, []).append(child)
-    kinds = {store[t].schema[c].dataType for t, own in entries.items() for _, c, _, _ in own}
-    shared = kinds.pop() if len(kinds) == 1 else T.StringType()
+    keys = [f"{KEY}{place}" for place in range(len(types))]
     stacked = []
     for table, own in entries.items():
-        cells = [
-            F.struct(
-                F.lit(number).alias(SPACE),
-                F.col(column).cast(shared).alias(KEY),
-                F.lit(parent).cast("bigint").alias(PARENTS),
-                F.lit(child).cast("bigint").alias(ROWS),
+        cells = []
+        for number, place, column, parent, child in own:
+            same = store[table].schema[column].dataType == types[place]
+            value = F.col(column) if same else F.col(column).try_cast(types[place])
+            typed = [
+                (value if k == place else F.lit(None).cast(kind)).alias(keys[k])
+                for k, kind in enumerate(types)
+            ]
+            lost = F.lit(False) if same else F.col(column).isNotNull() & value.isNull()
+            cells.append(
+                F.struct(
+                    F.lit(number).alias(SPACE),
+                    *typed,
+                    lost.alias(LOST),
+                    F.lit(parent).cast("bigint").alias(PARENTS),
+                    F.lit(child).cast("bigint").alias(ROWS),
+                )
             )
-            for number, column, parent, child in own
-        ]
         stacked.append(store[table].select(F.inline(F.array(*cells))))
     per_key = (
         reduce(DataFrame.unionAll, stacked)
-        .groupBy(SPACE, KEY)
+        .groupBy(SPACE, *keys, LOST)
         .agg(F.sum(PARENTS).alias(PARENTS), F.sum(ROWS).alias(ROWS))
     )
-    known = F.col(KEY).isNotNull()
+    known = reduce(or_, [F.col(k).isNotNull() for k in keys])
+    orphan = F.col(LOST) | (known & (F.col(PARENTS) == 0))
     counted = per_key.groupBy(SPACE).agg(
         F.sum(PARENTS).alias("rows"),
         F.count_if(F.col(PARENTS) > 0).alias("distinct_keys"),
-        F.sum(F.when(~known, F.col(PARENTS))).alias("null_keys"),
-        F.sum(F.when(known & (F.col(PARENTS) == 0), F.col(ROWS))).alias("orphans"),
+        F.sum(F.when(~known & ~F.col(LOST), F.col(PARENTS))).alias("null_keys"),
+        F.sum(F.when(orphan, F.col(ROWS))).alias("orphans"),
     )
     spark = next(iter(store.values())).sparkSession
     every = spark.range(len(spaces), numPartitions=1).select(F.col("id").cast("int").alias(SPACE))
@@ -230,23 +258,28 @@ def key_report(
 ) -> list[DataFrame]:
     """Primary- and foreign-key results as (table, check, column, metric, value).
 
-    All keys of one column are counted in a single grouping; a key of several
-    columns has one of its own.
+    All keys of one column are counted in a single grouping, each in its own type,
+    or in the common type of child and parent; a key of several columns has a
+    grouping of its own.
     """
     parts = [
         _composite_report(contract.name, store[contract.name], contract.primary_key)
         for contract in contracts
         if len(contract.primary_key) > 1
     ]
-    spaces = _key_spaces(contracts, foreign_keys)
+    spaces = _key_spaces(store, contracts, foreign_keys)
     if not spaces:
         return parts
-    keys = {(c.name, c.primary_key[0]) for c in contracts if len(c.primary_key) == 1}
+    keys = {
+        (c.name, c.primary_key[0], store[c.name].schema[c.primary_key[0]].dataType)
+        for c in contracts
+        if len(c.primary_key) == 1
+    }
     listed = []
     for space in spaces:
         cells = []
-        if (space.table, space.column) in keys:
-            keys.discard((space.table, space.column))
+        if (space.table, space.column, space.kind) in keys:
+            keys.discard((space.table, space.column, space.kind))
             cells += _primary_key_cells(space.table, space.column)
         if space.foreign_key:
             child, relation = space.foreign_key.child_table, space.foreign_key.relation
@@ -295,10 +328,33 @@ def table_measures(contract: TableContract, rules: Sequence[RowRule]) -> list[Me
     return [*null_measures(contract.output_columns), *rule_measures(own)]
 
 
-def store_measures(contract: TableContract, rules: Sequence[RowRule]) -> list[Measure]:
+def store_measures(
+    contract: TableContract, rules: Sequence[RowRule], audit_values: bool = False
+) -> list[Measure]:
     """All counts of one typed table that need no grouping, over ``conform_with_text``."""
     lost = [*cast_failure_measures(contract), *imputed_date_measures(contract)]
-    return [*table_measures(contract, rules), *lost]
+    changed = value_measures(contract) if audit_values else []
+    return [*table_measures(contract, rules), *lost, *changed]
+
+
+def exceeded(report: DataFrame, limits: Sequence[Limit]) -> DataFrame:
+    """Report rows that break a limit, with the most that it allows as ``at_most``.
+
+    A share is of the rows that the table has in the report's store layer.
+    """
+    sizes = report.where("check = 'layer' and column = 'store' and metric = 'rows'").select(
+        "table", F.col("value").alias("__rows_of_table")
+    )
+    sized = report.join(sizes, "table", "left")
+    parts = []
+    for limit in limits:
+        named = {"check": limit.check, "metric": limit.metric, "table": limit.table, "column": limit.column}
+        own = reduce(and_, [F.col(c) == v for c, v in named.items() if v is not None])
+        of_rows = F.floor(F.col("__rows_of_table") * F.lit(limit.share))
+        most = F.lit(limit.at_most) if limit.share is None else of_rows
+        parts.append(sized.where(own).withColumn("at_most", most.cast("bigint")))
+    broken = reduce(DataFrame.unionAll, parts).where(F.col("value") > F.col("at_most"))
+    return broken.select(*report.columns, "at_most")
 
 
 def union_report(parts: Sequence[DataFrame]) -> DataFrame:
@@ -311,6 +367,7 @@ def quality_report(
     foreign_keys: Sequence[ForeignKey] = (),
     rules: Sequence[RowRule] = (),
     store: Mapping[str, DataFrame] | None = None,
+    audit_values: bool = False,
 ) -> DataFrame:
     """All checks as (table, check, column, metric, value).
 
@@ -325,6 +382,7 @@ def quality_report(
     for contract in contracts:
         rows = raw[contract.name]
         typed.setdefault(contract.name, conform(rows, contract))
-        profile = measure(conform_with_text(rows, contract), store_measures(contract, rules))
+        measures = store_measures(contract, rules, audit_values)
+        profile = measure(conform_with_text(rows, contract), measures)
         parts.append(_of_table(contract.name, profile))
     return union_report([*parts, *key_report(typed, contracts, foreign_keys)])

@@ -10,7 +10,14 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from strata.contracts import ForeignKey, RowRule, RunPlan, TableContract, ValueRule
+from strata.contracts import (
+    ForeignKey,
+    RowRule,
+    RunPlan,
+    StagedQuestion,
+    TableContract,
+    ValueRule,
+)
 from strata.functions import extended_price, lead_time
 from strata.operators import (
     average_by_group,
@@ -143,11 +150,12 @@ def publish_product(products: DataFrame, rank: str = "additive") -> DataFrame:
     return map_values(colored, "ProductCategoryName", "ProductSubCategoryName", CATEGORY_RULES)
 
 
-def publish_orders(detail: DataFrame, header: DataFrame) -> DataFrame:
+def publish_orders(detail: DataFrame, header: DataFrame, even: bool = False) -> DataFrame:
     """Order lines with their order, lead time and extended price.
 
     Freight is an amount of the whole order; its new name keeps it from being
-    summed per line. A guarded header's months have no lead time.
+    summed per line. A guarded header's months have no lead time. ``even`` looks
+    for orders with very many lines first, and deals these lines over tasks.
     """
     guard = "ShipDatePrecision" if "ShipDatePrecision" in header.columns else None
     return build_fact(
@@ -162,14 +170,16 @@ def publish_orders(detail: DataFrame, header: DataFrame) -> DataFrame:
             "TotalLineExtendedPrice": extended_price("OrderQty", "UnitPrice", "UnitPriceDiscount"),
         },
         spread_by=("ProductID", "OrderQty", "UnitPrice"),
+        even=even,
     )
 
 
 def revenue_by_year_and_color(
-    orders: DataFrame, product: DataFrame, split_by: tuple[str, ...] = ()
+    orders: DataFrame, product: DataFrame, split_by: tuple[str, ...] = (), even: bool = False
 ) -> DataFrame:
     """Revenue per year and colour; ``split_by`` adds fact columns, such as the
-    precision of the order date, to reconcile a total."""
+    precision of the order date, to reconcile a total. ``even`` adds up the lines of
+    each product before the join."""
     return revenue_by_year(
         orders,
         product,
@@ -177,18 +187,27 @@ def revenue_by_year_and_color(
         date="OrderDate",
         amount="TotalLineExtendedPrice",
         by=["Color", *split_by],
+        even=even,
     )
 
 
 def top_color_by_year(
-    orders: DataFrame, product: DataFrame, ranks: int = 1, rank_name: str | None = None
+    orders: DataFrame,
+    product: DataFrame,
+    ranks: int = 1,
+    rank_name: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Colours with the highest revenue of each year; ``ranks=2`` adds the runner-up."""
+    """Colours with the highest revenue of each year; ``ranks=2`` adds the runner-up.
+
+    The revenue is stored in ``folder`` where one is given, so that it is added up once."""
     revenue = revenue_by_year_and_color(orders, product)
-    return top_by_group(revenue, "OrderYear", "Revenue", ranks, rank_name)
+    return top_by_group(revenue, "OrderYear", "Revenue", ranks, rank_name, folder)
 
 
-def average_lead_time_by_category(orders: DataFrame, product: DataFrame) -> DataFrame:
+def average_lead_time_by_category(
+    orders: DataFrame, product: DataFrame, even: bool = False
+) -> DataFrame:
     """Average lead time per category over the lines that have one."""
     return average_by_group(
         orders,
@@ -198,6 +217,7 @@ def average_lead_time_by_category(orders: DataFrame, product: DataFrame) -> Data
         value="LeadTimeInBusinessDays",
         average_name="AvgLeadTimeInBusinessDays",
         count_name="OrderLinesWithLeadTime",
+        even=even,
     )
 
 
@@ -205,7 +225,7 @@ Tables = Mapping[str, DataFrame]
 
 
 def _orders(store: Tables) -> DataFrame:
-    return publish_orders(store["sales_order_detail"], store["sales_order_header"])
+    return publish_orders(store["sales_order_detail"], store["sales_order_header"], even=True)
 
 
 def _product(store: Tables) -> DataFrame:
@@ -220,9 +240,12 @@ PLAN = RunPlan(
     publish={"product": _product, "orders": _orders},
     publish_rules=FACT_RULES,
     questions={
-        "top_color_by_year": lambda t: top_color_by_year(t["orders"], t["product"]),
+        "top_color_by_year": StagedQuestion(
+            figures=lambda t: revenue_by_year_and_color(t["orders"], t["product"], even=True),
+            answer=lambda revenue: top_by_group(revenue, "OrderYear", "Revenue"),
+        ),
         "avg_lead_time_by_category": lambda t: average_lead_time_by_category(
-            t["orders"], t["product"]
+            t["orders"], t["product"], even=True
         ),
     },
     input_files=INPUT_FILES,

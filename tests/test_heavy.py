@@ -1,0 +1,82 @@
+"""Keys with a large share of the rows, at Spark's default thresholds."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import operators as op
+from strata.operators.heavy import HEAVY
+from tests.test_scale import NO_BROADCAST, final_plan, settings
+
+PLAIN = {**NO_BROADCAST, "spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def lines(spark, n=90_000):
+    """A third of the lines are order 7's, a twentieth order 8's, some have no order."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 20 == 1, 8).when(F.col("id") % 50 != 2, F.col("id"))
+    return spark.range(n, numPartitions=8).select(key.alias("k"), F.col("id").alias("line"))
+
+
+def headers(spark, n=90_000):
+    return spark.range(n, numPartitions=8).select(F.col("id").alias("k"), (F.col("id") * 2).alias("h"))
+
+
+def test_the_sketch_finds_heavy_keys_only(spark):
+    with settings(spark, {"spark.sql.shuffle.partitions": "32"}):
+        found = {r[HEAVY]: r["__cuts"] for r in op.heavy_keys(lines(spark), "k")}
+        assert set(found) == {7, 8}
+        assert found[7] >= 512 / 3 and 16 <= found[8] <= 40
+        assert op.heavy_keys(headers(spark), "k") == []
+        assert op.heavy_keys(spark.range(0).select(F.col("id").alias("k")), "k") == []
+        assert len(op.heavy_keys(lines(spark), "k", tasks=4)) == 2
+
+
+def test_no_task_gets_twice_the_mean(spark):
+    with settings(spark, PLAIN):
+        fact = op.build_fact(lines(spark), headers(spark), "k", even=True)
+        assert "skew=true" not in final_plan(fact)
+        sizes = [r["count"] for r in fact.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 32 and max(sizes) < 2 * 90_000 / 32
+
+
+@pytest.mark.parametrize("values", [{}, PLAIN])
+def test_the_same_fact_as_without(spark, values):
+    with settings(spark, values):
+        plain = op.build_fact(lines(spark), headers(spark), "k")
+        even = op.build_fact(lines(spark), headers(spark), "k", even=True)
+        assert plain.columns == even.columns
+        assert plain.exceptAll(even).count() == 0 and even.count() == 90_000
+        assert even.where("h <> 2 * k or (k is null) <> (h is null)").count() == 0
+
+
+def test_repeated_headers_and_decimal_keys(spark):
+    key = F.col("k").cast("decimal(19,4)").alias("k")
+    twice = headers(spark).where("k in (7, 9)").unionAll(headers(spark).where("k = 7"))
+    plain = op.build_fact(lines(spark).select(key, "line"), twice.select(key, "h"), "k")
+    even = op.build_fact(lines(spark).select(key, "line"), twice.select(key, "h"), "k", even=True)
+    assert plain.count() == even.count() == 90_000 + lines(spark).where("k = 7").count()
+    assert plain.exceptAll(even).count() == 0
+
+
+def test_a_hot_product_brings_a_row_per_task_to_the_join(spark):
+    fact = lines(spark).select(
+        "k",
+        F.date_add(F.lit("2021-01-01").cast("date"), (F.col("line") % 900).cast("int")).alias("on"),
+        (F.col("line") % 7).alias("shop"),
+        (F.col("line") / 4).cast("decimal(19,4)").alias("amount"),
+        F.when(F.col("line") % 9 != 0, F.col("line") % 5).cast("int").alias("days"),
+    )
+    products = headers(spark).select("k", (F.col("h") % 10).cast("string").alias("color"))
+    with settings(spark, PLAIN):
+        both = [op.revenue_by_year(fact, products, "k", "on", "amount", ["color", "shop"], even=e) for e in (False, True)]
+        assert both[0].schema == both[1].schema
+        assert both[0].exceptAll(both[1]).count() == 0 and both[0].count() == both[1].count()
+        text = final_plan(both[1])
+        assert text.index("SortMergeJoin") < text.index("partial_sum(amount")
+        averages = [op.average_by_group(fact, products, "k", "color", "days", "a", "n", even=e).collect() for e in (False, True)]
+        assert averages[0] == averages[1] and len(averages[0]) == 5
+    with pytest.raises(ValueError, match="no integer"):
+        op.average_by_group(fact, products, "k", "color", "amount", "a", "n", even=True)
+    empty = op.average_by_group(fact.where("days is null"), products, "k", "color", "days", "a", "n", even=True)
+    assert {(r.a, r.n) for r in empty.collect()} == {(None, 0)}

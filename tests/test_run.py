@@ -12,7 +12,7 @@ import pytest
 from strata.operators import conform
 from strata.plans import run, sales
 from strata.plans.stages import build_publish
-from strata.sources import layer_path
+from strata.sources import layer_path, read_layer
 
 PRODUCTS = """\
 ProductID,ProductDesc,ProductNumber,MakeFlag,Color,SafetyStockLevel,ReorderPoint,StandardCost,ListPrice,Size,SizeUnitMeasureCode,Weight,WeightUnitMeasureCode,ProductCategoryName,ProductSubCategoryName
@@ -206,7 +206,7 @@ def test_answers_are_exported(result, spark, folder):
 def test_a_second_run_replaces_the_first(result, spark, inputs, folder):
     again = run(spark, sales.PLAN, inputs, str(folder / "out"))
     assert again.publish["orders"].rows == 10
-    assert spark.read.parquet(layer_path(str(folder / "out"), "publish", "orders")).count() == 10
+    assert read_layer(spark, layer_path(str(folder / "out"), "publish", "orders")).frame.count() == 10
 
 
 def test_every_table_needs_an_input(spark, inputs, tmp_path):

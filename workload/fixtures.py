@@ -175,6 +175,107 @@ CUSTOMER_TABLES = {
 }
 
 
+# Texts that an export easily damages: line breaks, edge blanks, empty text, quotes, backslashes.
+HARD_TEXTS = {
+    "o_orderkey": "o_orderkey",
+    "remark": (
+        "case o_orderkey % 18 when 0 then 'a' || chr(10) || 'b' when 1 then ' x' when 2 then 'x ' "
+        "when 3 then '' when 4 then chr(9) || 'Red' when 5 then 'say \"hi\"' when 6 then '\"\"' "
+        "when 7 then chr(92) when 8 then 'ends in ' || chr(92) when 9 then chr(92) || '\"' "
+        "when 10 then 'a,b' when 11 then null when 12 then chr(13) || chr(10) when 13 then 'NULL' "
+        "when 14 then '#' when 15 then ' ' when 16 then chr(10) else o_orderpriority end"
+    ),
+    "other": "case o_orderkey % 5 when 0 then null when 1 then '' else o_orderstatus end",
+}
+
+# Keys that arrive in one type on one side and in another on the other.
+TYPED_KEYS = {
+    "lines": (
+        "lineitem",
+        {
+            "l_orderkey": (
+                "case when l_partkey % 90 = 0 then 'null' when l_orderkey % 60 = 0 "
+                "then cast(l_orderkey as string) || '.5' else cast(l_orderkey as string) || '.0000' end"
+            ),
+            "l_linenumber": "cast(l_linenumber as string)",
+            "l_partkey": (
+                "case when l_partkey % 77 = 0 then cast(l_partkey + 5000000000 as string) "
+                "else cast(l_partkey as string) end"
+            ),
+        },
+    ),
+    "placed": (
+        "orders",
+        {
+            "o_orderkey": "case when o_orderkey % 70 = 0 then '-1' else cast(o_orderkey as string) end",
+            "o_custkey": "case when o_orderkey % 30 = 0 then '-7' else cast(o_custkey as string) end",
+        },
+    ),
+    "parts": ("part", {"p_partkey": "cast(p_partkey as string)"}),
+    "buyers": (
+        "customer",
+        {"c_custkey": "case when c_custkey % 40 = 0 then cast(c_custkey as string) || '.25' else cast(c_custkey as string) end"},
+    ),
+}
+
+# Amounts with more digits than their type keeps, and dates with more or less than a date.
+CHANGED_VALUES = {
+    "o_orderkey": "cast(o_orderkey as string)",
+    "amount": (
+        f"case o_orderkey % 6 when 0 then {_money_text('o_totalprice')} || '5' "
+        f"when 1 then {_money_text('o_totalprice')} || '000' "
+        f"when 2 then chr(9) || {_money_text('o_totalprice')} || '01' "
+        "when 3 then cast(o_custkey as string) || '1e-4' when 4 then cast(o_custkey as string) || '1E-5' "
+        f"else {_money_text('o_totalprice')} end"
+    ),
+    "rate": "case o_orderkey % 10 when 0 then '0.125' when 1 then '+.1200' when 2 then 'n/a' else '0.1' end",
+    "placed": (
+        "case o_orderkey % 7 when 0 then chr(9) || substr(cast(cast(o_orderdate as date) as string), 1, 7) "
+        "when 1 then substr(cast(cast(o_orderdate as date) as string), 1, 4) || chr(9) "
+        "when 2 then cast(cast(o_orderdate as date) as string) || ' 10:30:00' "
+        "when 3 then cast(cast(o_orderdate as date) as string) || 'T10:30:00' "
+        "else cast(cast(o_orderdate as date) as string) end"
+    ),
+}
+
+# Lines to be labelled, and a rule for every order.
+TAGGED_LINES = {
+    "l_orderkey": "l_orderkey",
+    "l_linenumber": "l_linenumber",
+    "category": "case when l_partkey % 3 = 0 then null else 'Given' end",
+    "tag": (
+        "case when l_partkey % 45 = 0 then null else 'p' || cast(l_partkey as string) || '-' "
+        "|| cast(l_orderkey % 9000 as string) || '-' || cast(l_suppkey as string) end"
+    ),
+}
+TAG_RULES = {
+    "rule": "case when o_orderkey % 500 = 2 then 1000000000 else 0 end + o_orderkey",
+    "label": "case when o_orderkey % 53 = 0 then null else 'G' || cast(o_orderkey % 97 as string) end",
+    "kind": "case when o_orderkey % 3 = 0 then 'equals' else 'contains' end",
+    "pattern": (
+        "case when o_orderkey % 500 = 2 then 'p' || cast(o_orderkey % 7 as string) "
+        "when o_orderkey % 3 = 0 then 'p' || cast(o_custkey as string) || '-' || "
+        "cast(o_orderkey % 9000 as string) || '-' || cast(o_orderkey % 100 as string) "
+        "when o_orderkey % 3 = 1 then '-' || cast(o_orderkey % 9000 as string) || '-' || cast(o_orderkey % 10 as string) "
+        "else cast(o_custkey as string) || '-' || cast(o_orderkey % 1000 as string) || '-' end"
+    ),
+}
+
+# Lines a third of which are one order's.
+HOT_LINES = {
+    "l_orderkey": "case when l_partkey % 3 = 0 then 7 when l_partkey % 31 = 1 then null else l_orderkey end",
+    "l_linenumber": "l_linenumber",
+    "l_partkey": "l_partkey",
+}
+
+# The same orders as three files: as declared, with columns in another order, with one column less.
+DRIFTING = (
+    ("o_orderkey % 3 = 0", ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
+    ("o_orderkey % 3 = 1", ("o_orderpriority", "o_orderkey", "o_orderstatus", "o_custkey")),
+    ("o_orderkey % 3 = 2", ("o_orderkey", "o_orderpriority", "o_orderstatus")),
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -427,6 +427,120 @@ def _run_customers() -> str:
     return "WITH " + ", ".join(ctes) + " " + _union([*_items(rows), top])
 
 
+def _typed_key_report() -> str:
+    """Each key and reference counted by itself, in the types of its own columns."""
+    kinds = {
+        "lines": {"l_orderkey": "DECIMAL(19,4)", "l_linenumber": "INT", "l_partkey": "BIGINT"},
+        "placed": {"o_orderkey": "INT", "o_custkey": "BIGINT"},
+        "parts": {"p_partkey": "INT"},
+        "buyers": {"c_custkey": "DECIMAL(19,4)"},
+    }
+    ctes = []
+    for table, columns in kinds.items():
+        base, expressions = fx.TYPED_KEYS[table]
+        typed = ", ".join(f"try_cast({c} AS {t}) AS {c}" for c, t in columns.items())
+        ctes.append(f"{table} AS (SELECT {typed} FROM ({fx.view_sql(base, expressions)}))")
+    keys = {"lines": "l_orderkey, l_linenumber", "placed": "o_orderkey", "parts": "p_partkey", "buyers": "c_custkey"}
+    selects = []
+
+    def row(table: str, check: str, column: str, metric: str, value: str) -> None:
+        selects.append(
+            f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", '{column}' AS \"column\", "
+            f"'{metric}' AS metric, CAST(({value}) AS BIGINT) AS value"
+        )
+
+    for table, key in keys.items():
+        total = f"(SELECT count(*) FROM {table})"
+        distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM {table}))"
+        null = " OR ".join(f"{k} IS NULL" for k in key.split(", "))
+        nulls = f"(SELECT count(*) FROM {table} WHERE {null})"
+        row(table, "primary_key", key, "rows", f"SELECT {total}")
+        row(table, "primary_key", key, "distinct_keys", f"SELECT {distinct}")
+        row(table, "primary_key", key, "duplicate_rows", f"SELECT {total} - {distinct}")
+        row(table, "primary_key", key, "null_keys", f"SELECT {nulls}")
+        row(table, "primary_key", key, "valid", f"SELECT ({total} = {distinct} AND {nulls} = 0)::INT")
+    for child, own, parent, other in (
+        ("lines", "l_orderkey", "placed", "o_orderkey"),
+        ("lines", "l_partkey", "parts", "p_partkey"),
+        ("placed", "o_custkey", "buyers", "c_custkey"),
+    ):
+        orphans = (
+            f"SELECT count(*) FROM {child} WHERE {own} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} WHERE {parent}.{other} = {child}.{own})"
+        )
+        relation = f"{child}.{own} -> {parent}.{other}"
+        row(child, "foreign_key", relation, "orphans", orphans)
+        row(child, "foreign_key", relation, "valid", f"SELECT (({orphans}) = 0)::INT")
+    return "WITH " + ", ".join(ctes) + " " + _union(selects)
+
+
+def _changed_values() -> str:
+    """Numbers compared with themselves at twelve decimals, dates by the length of their text."""
+    plain = {c: f"trim({c}, ' ' || chr(9))" for c in fx.CHANGED_VALUES}
+
+    def rounded(column: str, kind: str) -> str:
+        return f"try_cast({plain[column]} AS DECIMAL(38,12)) <> try_cast({plain[column]} AS {kind})"
+
+    counts = [
+        ("placed", "imputed", f"length({plain['placed']}) < 10"),
+        ("amount", "rounded", rounded("amount", "DECIMAL(19,4)")),
+        ("rate", "rounded", rounded("rate", "DECIMAL(9,2)")),
+        ("placed", "shortened", f"length({plain['placed']}) > 10"),
+    ]
+    return f"WITH texts AS ({fx.view_sql('orders', fx.CHANGED_VALUES)}) " + _union(
+        [
+            f"SELECT '{c}' AS \"column\", '{m}' AS metric, count(*) AS \"values\" FROM texts WHERE {w}"
+            for c, m, w in counts
+        ]
+    )
+
+
+def _map_category_table() -> str:
+    """Every value against every rule."""
+    return f"""
+WITH lines AS ({fx.view_sql('lineitem', fx.TAGGED_LINES)}),
+rules AS ({fx.view_sql('orders', fx.TAG_RULES)}),
+asked AS (SELECT DISTINCT tag FROM lines WHERE category IS NULL AND tag IS NOT NULL),
+labelled AS (
+  SELECT tag, arg_min(label, rule) AS label FROM asked JOIN rules
+    ON CASE WHEN kind = 'equals' THEN tag = pattern ELSE contains(tag, pattern) END
+  WHERE label IS NOT NULL GROUP BY tag)
+SELECT l_orderkey, l_linenumber, coalesce(category, label) AS category, l.tag
+FROM lines l LEFT JOIN labelled m ON l.category IS NULL AND l.tag = m.tag
+"""
+
+
+def _run_gate() -> str:
+    lost = "c_custkey % 70 = 0"
+    strangers = "o_orderkey % 80 = 0 AND o_orderkey % 30 <> 0"
+    nationless = "c_custkey % 40 = 0"
+    gate = (
+        ("customer:cast_failures", "c_acctbal", f"SELECT count(*) FROM customer WHERE {lost}", "SELECT 0"),
+        (
+            "customer:foreign_key",
+            "customer.c_nationkey -> nation.n_nationkey",
+            f"SELECT count(*) FROM customer WHERE {nationless}",
+            "SELECT count(*) // 100 FROM customer",
+        ),
+        (
+            "orders:foreign_key",
+            "orders.o_custkey -> customer.c_custkey",
+            f"SELECT count(*) FROM orders WHERE {strangers}",
+            "SELECT count(*) // 100 FROM orders",
+        ),
+    )
+    found = _union(
+        [
+            f"SELECT '{item}' AS item, '{detail}' AS detail, ({value})::BIGINT AS value, ({most})::BIGINT AS at_most"
+            for item, detail, value, most in gate
+        ]
+    )
+    return (
+        f"SELECT * FROM ({found}) WHERE value > at_most UNION ALL "
+        "SELECT 'published', 'placed', (SELECT count(*) FROM orders), NULL"
+    )
+
+
 def _audit(table: str, contract: TableContract) -> str:
     selects = [
         f"SELECT '{c}' AS \"column\", CAST({count} AS BIGINT) AS failures"
@@ -646,6 +760,36 @@ ORACLES: dict[str, str] = {
         "SELECT 'ShipDate', CAST(min(ShipDate) AS VARCHAR), CAST(max(ShipDate) AS VARCHAR) FROM header",
         "header",
     ),
+    "answer_export": fx.view_sql("orders", fx.HARD_TEXTS),
+    "layer_versions": _with(
+        "SELECT l_orderkey, o_custkey, CAST(order_date AS VARCHAR) AS order_date, "
+        "CAST(order_total AS VARCHAR) AS order_total, "
+        "CAST((SELECT count(order_date) FROM ords) AS INTEGER) AS dated FROM ords",
+        "ords",
+    ),
+    "drifting_headers": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, "
+        "CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, "
+        "o_orderstatus, o_orderpriority FROM orders"
+    ),
+    "changed_values": _changed_values(),
+    "typed_key_report": _typed_key_report(),
+    "map_category_table": _map_category_table(),
+    "hot_order": _with(
+        "SELECT h.l_orderkey, h.l_linenumber, h.l_partkey, o.o_custkey, "
+        "CAST(o.order_date AS VARCHAR) AS order_date, CAST(o.order_total AS VARCHAR) AS order_total "
+        f"FROM ({fx.view_sql('lineitem', fx.HOT_LINES)}) h LEFT JOIN ords o ON h.l_orderkey = o.l_orderkey",
+        "ords",
+    ),
+    "even_revenue": _with(
+        "SELECT OrderYear, Color, CAST(Revenue AS VARCHAR) AS Revenue FROM color_revenue", "color_revenue"
+    ),
+    "even_lead_time": _with("SELECT * FROM category_lead", "category_lead"),
+    "run_texts": (
+        "SELECT remark, other, count(*) AS orders FROM "
+        f"({fx.view_sql('orders', fx.HARD_TEXTS)}) GROUP BY 1, 2"
+    ),
+    "run_gate": _run_gate(),
     "end_to_end": _end_to_end(),
     "run_customers": _run_customers(),
 }

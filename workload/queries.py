@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +11,19 @@ from pyspark.sql import types as T
 
 from strata import functions as fn
 from strata import operators as op
-from strata.contracts import ForeignKey, RowRule, RunPlan, TableContract
+from strata.contracts import ForeignKey, Limit, RowRule, RunPlan, TableContract
+from strata.plans import LimitExceeded, sales
 from strata.plans import run as run_plan
-from strata.plans import sales
 from strata.plans.stages import together
 from strata.sources import (
     export_csv,
     layer_path,
+    publish_layer,
+    read_export,
+    read_layer,
+    row_hash,
     scan_delimited,
+    scan_drifting,
     scratch_dir,
     write_layer,
 )
@@ -249,6 +255,37 @@ def result_export(spark, d):
     return scan_delimited(spark, path)
 
 
+@_query
+def answer_export(spark, d):
+    """Hard texts as a layer, exported from it as CSV, and read back from that."""
+    root = scratch_dir(spark)
+    texts = fx.view(spark, d, "orders", fx.HARD_TEXTS)
+    layer = publish_layer(texts, layer_path(root, "analysis", "texts"), {"row_hash": row_hash(texts)})
+    export_csv(layer.frame, f"{root}/texts", verify=layer.metrics["row_hash"])
+    return read_export(spark, f"{root}/texts", texts.schema)
+
+
+@_query
+def layer_versions(spark, d):
+    """A table published twice: readers get the second version, with the figures of its write."""
+    path = layer_path(scratch_dir(spark), "store", "orders")
+    orders = _orders(spark, d)
+    publish_layer(orders.withColumn("order_date", F.lit(None).cast("date")), path)
+    publish_layer(orders, path, {"dated": F.count("order_date")}, in_order=True)
+    current = read_layer(spark, path)
+    return current.frame.withColumn("dated", F.lit(current.metrics["dated"]))
+
+
+@_query
+def drifting_headers(spark, d):
+    """Extracts of one table whose files differ in columns and in their order."""
+    root = scratch_dir(spark)
+    orders = fx.table(spark, d, "orders")
+    for number, (where, columns) in enumerate(fx.DRIFTING):
+        orders.where(where).select(*columns).write.option("header", True).csv(f"{root}/orders/{number}")
+    return scan_drifting(spark, f"{root}/orders")
+
+
 # --- conform --------------------------------------------------------------------
 
 
@@ -282,6 +319,19 @@ def cast_audit_products(spark, d):
     return _audit(spark, d, sales.PRODUCTS)
 
 
+CHANGED = TableContract(
+    "changed",
+    {"o_orderkey": "INT", "amount": "DECIMAL(19,4)", "rate": "DECIMAL(9,2)", "placed": "DATE"},
+    ("o_orderkey",),
+)
+
+
+@_query
+def changed_values(spark, d):
+    """Values that casts completed, rounded or shortened without failing."""
+    return op.changed_values(fx.view(spark, d, "orders", fx.CHANGED_VALUES), CHANGED)
+
+
 # --- quality --------------------------------------------------------------------
 
 
@@ -359,6 +409,37 @@ def quality_report(spark, d):
     )
 
 
+# Keys of one type that refer to keys of another.
+TYPED = (
+    TableContract(
+        "lines",
+        {"l_orderkey": "DECIMAL(19,4)", "l_linenumber": "INT", "l_partkey": "BIGINT"},
+        ("l_orderkey", "l_linenumber"),
+    ),
+    TableContract("placed", {"o_orderkey": "INT", "o_custkey": "BIGINT"}, ("o_orderkey",)),
+    TableContract("parts", {"p_partkey": "INT"}, ("p_partkey",)),
+    TableContract("buyers", {"c_custkey": "DECIMAL(19,4)"}, ("c_custkey",)),
+)
+TYPED_REFERENCES = (
+    ForeignKey("lines", "l_orderkey", "placed", "o_orderkey"),
+    ForeignKey("lines", "l_partkey", "parts", "p_partkey"),
+    ForeignKey("placed", "o_custkey", "buyers", "c_custkey"),
+)
+
+
+@_query
+def typed_key_report(spark, d):
+    """Primary and foreign keys of INT, BIGINT and DECIMAL columns in one report."""
+    store = {}
+    for contract in TYPED:
+        base, columns = fx.TYPED_KEYS[contract.name]
+        store[contract.name] = op.conform(fx.view(spark, d, base, columns), contract)
+    first, *rest = op.key_report(store, TYPED, TYPED_REFERENCES)
+    for part in rest:
+        first = first.unionByName(part)
+    return first
+
+
 # --- shape ------------------------------------------------------------------------
 
 
@@ -398,6 +479,14 @@ def map_category(spark, d):
     )
 
 
+@_query
+def map_category_table(spark, d):
+    """Lines labelled by as many rules as there are orders."""
+    lines = fx.view(spark, d, "lineitem", fx.TAGGED_LINES)
+    rules = fx.view(spark, d, "orders", fx.TAG_RULES)
+    return op.map_values_table(lines, "category", "tag", rules, spread_by=("l_orderkey", "l_linenumber"))
+
+
 @_query
 def publish_product(spark, d):
     return sales.publish_product(_store(spark, d)["products"])
@@ -408,6 +497,13 @@ def publish_orders(spark, d):
     return _published(spark, d)[0]
 
 
+@_query
+def hot_order(spark, d):
+    """A third of the lines belong to one order, and some to none."""
+    lines = fx.view(spark, d, "lineitem", fx.HOT_LINES)
+    return op.build_fact(lines, _orders(spark, d), "l_orderkey", even=True)
+
+
 # --- grouped questions ------------------------------------------------------------
 
 
@@ -430,7 +526,7 @@ def top2_by_year(spark, d):
 @_query
 def top_color_by_year(spark, d):
     """The shipped question over the shipped configuration."""
-    return sales.top_color_by_year(*_published(spark, d))
+    return sales.top_color_by_year(*_published(spark, d), folder=f"{scratch_dir(spark)}/revenue")
 
 
 @_query
@@ -459,6 +555,18 @@ def revenue_by_precision(spark, d):
     )
 
 
+@_query
+def even_revenue(spark, d):
+    """Revenue added up per product before the products are joined."""
+    return sales.revenue_by_year_and_color(*_published(spark, d), even=True)
+
+
+@_query
+def even_lead_time(spark, d):
+    """Lead times added up per product before the products are joined."""
+    return sales.average_lead_time_by_category(*_published(spark, d), even=True)
+
+
 @_query
 def lag_histogram(spark, d):
     return op.lag_histogram(_store(spark, d)["sales_order_header"], "OrderDate", "ShipDate")
@@ -584,3 +692,58 @@ def run_customers(spark, d):
         F.col("revenue").cast("string").alias("value"),
     )
     return _report_items(result.quality.frame).unionByName(top)
+
+
+# A run whose answer holds texts that an export easily damages.
+TEXTS = RunPlan(
+    contracts=(
+        TableContract("orders", {"o_orderkey": "BIGINT", "o_orderstatus": "STRING", "o_orderpriority": "STRING"}, ("o_orderkey",)),
+    ),
+    publish={"orders": lambda t: t["orders"]},
+    questions={
+        "remarks": lambda t: t["orders"]
+        .selectExpr(f"{fx.HARD_TEXTS['remark']} AS remark", f"{fx.HARD_TEXTS['other']} AS other")
+        .groupBy("remark", "other")
+        .agg(F.count(F.lit(1)).alias("orders"))
+        .orderBy("remark", "other")
+    },
+)
+
+
+@_query
+def run_texts(spark, d):
+    """The answer that a run hands back, line breaks, blanks and empty texts included."""
+    root = scratch_dir(spark)
+    orders = fx.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    result = run_plan(spark, TEXTS, _extracts(spark, root, {"orders": orders}), f"{root}/output")
+    return result.analysis["remarks"]
+
+
+# More lost balances, or more orders without a customer, than this stop a run.
+GATE = (
+    Limit("cast_failures", "failures", at_most=0),
+    Limit("foreign_key", "orphans", share=0.01),
+    Limit("primary_key", "duplicate_rows", table="nation", at_most=0),
+)
+
+
+@_query
+def run_gate(spark, d):
+    """A run within no limits, then one that breaks them: its breaches, and the rows that the
+    first one published and the second one left."""
+    root = scratch_dir(spark)
+    frames = {
+        contract.name: fx.view(spark, d, contract.name, fx.CUSTOMER_TABLES[contract.name])
+        for contract in CUSTOMERS.contracts
+    }
+    inputs = _extracts(spark, root, frames)
+    run_plan(spark, CUSTOMERS, inputs, f"{root}/output")
+    try:
+        run_plan(spark, replace(CUSTOMERS, limits=GATE), inputs, f"{root}/output")
+        breaches = []
+    except LimitExceeded as stopped:
+        breaches = stopped.breaches
+    kept = read_layer(spark, layer_path(f"{root}/output", "publish", "placed"))
+    rows = [(f"{b.table}:{b.check}", b.column, b.value, b.at_most) for b in breaches]
+    rows.append(("published", "placed", kept.frame.count(), None))
+    return spark.createDataFrame(rows, "item string, detail string, value bigint, at_most bigint")
