@@ -3,7 +3,7 @@
 A rank file lists byte strings with their ids; a lower id merges earlier. The tokenizers
 library gets these strings with every byte written as a letter, and each way to halve
 one into two others as a merge, so it merges whatever neighbours make a listed string,
-lowest id first. Decoding turns letters back to bytes and joins them; characters whose
+lowest id first. Texts of an Arrow batch share the work for the chunks they share. Decoding turns letters back to bytes and joins them; characters whose
 bytes several tokens share are put together again.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+from strata.llm.chunks import LOOSE_SPACE, ODD_SPACE, Units, encode_column, units_of_bytes
+
 BATCH = 1 << 19  # characters that the library gets at once; it takes 30 to 40 bytes for each
 LONG = 1 << 19  # characters from which a text is encoded in parts
 
@@ -53,6 +55,7 @@ class ByteBpe:
         self._bytes: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
         for token, number in ranks.items():
             self._bytes[number] = bytes(map(byte_of.__getitem__, self._written[token]))
+        self._sizes = np.array([len(token or b"") for token in self._bytes], dtype=np.int64)
 
     def _make_library(self) -> Tokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
@@ -73,30 +76,44 @@ class ByteBpe:
         )
         return library
 
-    def encode(self, texts: list[str | None], offsets: bool = False) -> Iterator[tuple]:
-        """(ids, starts, ends) of each text; starts and ends are code points, None unless
-        asked for. Tokens that share a character all have that character's offsets."""
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text of a column; a null has none.
+
+        The library gets every chunk between two spaces once for all texts of a batch that
+        hold it: neither the usual patterns nor merges reach over a space between two words.
+        """
+        spaced = lambda text: bool(LOOSE_SPACE.search(text))
+        odd = lambda text: bool(ODD_SPACE.search(text))
+        yield from encode_column(column, self._units, self._alone, spaced, odd)
+
+    def _units(self, firsts: list[bytes], words: pa.Array) -> Units:
+        apart = lambda units: self._run([unit.decode() for unit in units])
+        return units_of_bytes(firsts, words, self._alone, apart, self._sizes)
+
+    def _alone(self, text: bytes) -> np.ndarray:
+        parts = self._run([part for _, part in text_parts(text.decode())])
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    def _run(self, texts: list[str]) -> list[np.ndarray]:
         self._library = self._library or self._make_library()
+        found = []
         for group in _groups(texts):
-            parts = [(at, text) for text in group for at, text in text_parts(text or "")]
-            run = self._library.encode_batch if offsets else self._library.encode_batch_fast
-            encoded = iter(run([text for _, text in parts], add_special_tokens=False))
-            begins = iter(parts + [(0, "")])
-            next(begins)
-            for text in group:
-                ids, spans = [], []
-                shift = 0
-                while True:
-                    own = next(encoded)
-                    ids.append(np.array(own.ids, dtype=np.int32))
-                    if offsets:
-                        spans.append(np.array(own.offsets, dtype=np.int64).reshape(-1, 2) + shift)
-                    shift, _ = next(begins)
-                    if not shift:
-                        break
-                joined = ids[0] if len(ids) == 1 else np.concatenate(ids)
-                both = np.concatenate(spans) if offsets else None
-                yield (joined, both[:, 0], both[:, 1]) if offsets else (joined, None, None)
+            encoded = self._library.encode_batch_fast(group, add_special_tokens=False)
+            found += [np.array(own.ids, dtype=np.uint32) for own in encoded]
+        return found
+
+    def encode_with_offsets(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, starts, ends) of each text, in code points. Tokens that share a character
+        all have that character's offsets."""
+        self._library = self._library or self._make_library()
+        for text in texts:
+            ids, spans = [], []
+            for at, part in text_parts(text or ""):
+                own = self._library.encode(part, add_special_tokens=False)
+                ids.append(np.array(own.ids, dtype=np.uint32))
+                spans.append(np.array(own.offsets, dtype=np.int64).reshape(-1, 2) + at)
+            both = np.concatenate(spans)
+            yield np.concatenate(ids), both[:, 0], both[:, 1]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of ids; an id that the ranks do not have raises."""
@@ -115,12 +132,12 @@ class ByteBpe:
         return texts
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    group: list[str | None] = []
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    group: list[str] = []
     size = 0
     for text in texts:
         group.append(text)
-        size += len(text or "") + 16
+        size += len(text) + 16
         if size >= BATCH:
             yield group
             group, size = [], 0
@@ -150,14 +167,14 @@ def encode_text(text: Column, ranks: str, pattern: str) -> Column:
     """array<int>: ids of each whole text; a null or empty text has none.
 
     ``ranks`` is a path that every executor can open. Special tokens do not exist: their
-    strings are ordinary text. Long texts are encoded in parts, with the same ids."""
+    strings are ordinary text. Long texts are encoded in parts, with the same ids. The
+    column counts as non-deterministic, lest Spark encodes anew for every use of the ids."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        found = [ids for ids, _, _ in _loaded(ranks, pattern).encode(texts.to_pylist())]
-        return _lists(found, pa.int32())
+        return _lists(list(_loaded(ranks, pattern).encode(texts)))
 
-    return encode(text.cast("string"))
+    return encode.asNondeterministic()(text.cast("string"))
 
 
 def encode_with_offsets(text: Column, ranks: str, pattern: str) -> Column:
@@ -165,11 +182,11 @@ def encode_with_offsets(text: Column, ranks: str, pattern: str) -> Column:
 
     @F.arrow_udf("ids array<int>, starts array<int>, ends array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        found = list(_loaded(ranks, pattern).encode(texts.to_pylist(), offsets=True))
-        lists = [_lists([row[k] for row in found], pa.int32()) for k in range(3)]
+        found = list(_loaded(ranks, pattern).encode_with_offsets(texts.to_pylist()))
+        lists = [_lists([row[k] for row in found]) for k in range(3)]
         return pa.StructArray.from_arrays(lists, names=["ids", "starts", "ends"])
 
-    return encode(text.cast("string"))
+    return encode.asNondeterministic()(text.cast("string"))
 
 
 def decode_ids(ids: Column, ranks: str, pattern: str) -> Column:
@@ -210,7 +227,7 @@ def _values(lists: pa.Array) -> Iterator[list[int] | None]:
         yield from lists.slice(start, 64).to_pylist()
 
 
-def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
     values = np.concatenate(rows) if rows else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32), kind))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))

@@ -58,7 +58,8 @@ def infill(key: Column, text: Column, rules: Infill = Infill()) -> Column:
     and the form, so equal keys and texts give equal results wherever they stand. A null
     text counts as empty, a null key as an empty string. Empty texts and texts that hold
     a marker stay plain, with null lengths. Texts of any length are taken whole; memory
-    is a few times the longest text and does not depend on where it is cut.
+    is a few times the longest text and does not depend on where it is cut. The column
+    counts as non-deterministic, lest Spark rewrites anew for every field that is used.
     """
     seed = F.sha2(F.concat(F.lit(rules.salt), F.coalesce(key.cast("string"), F.lit(""))), 256)
     draws = [F.conv(F.substring(seed, 8 * k + 1, 8), 16, 10).cast("long") for k in range(4)]
@@ -79,7 +80,7 @@ def infill(key: Column, text: Column, rules: Infill = Infill()) -> Column:
             parts.append(pa.StructArray.from_arrays(columns, fields=fields))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(fields))
 
-    return rewrite(text.cast("string"), *draws)
+    return rewrite.asNondeterministic()(text.cast("string"), *draws)
 
 
 def restore(output: Column, form: Column, rules: Infill = Infill()) -> Column:

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from strata.llm.names import unused
 from strata.llm.tokens import TextEncoder, as_bytes
-from strata.llm.words import utf8
 from strata.sources import layer_path, scratch_dir, write_layer
 
 PARTS = 1024  # parts in which the pieces of one length are ranked
@@ -119,12 +118,12 @@ def tokenized_pieces(
     end = as_bytes([end_id])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TextEncoder(vocabulary)
+        encoder = TextEncoder(vocabulary)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+                ids += end
                 total = len(ids) // 4
                 start, stop, piece = 0, (total - 1) % capacity + 1, 0
                 while start < total:

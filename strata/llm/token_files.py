@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from strata.llm.elias_fano import EliasFano
 from strata.llm.tokens import TextEncoder, as_bytes
-from strata.llm.words import utf8
 from strata.sources import layer_path, scratch_dir, write_layer
 
 MAGIC = b"TOKENS01"
@@ -146,7 +145,7 @@ def write_token_files(
         context = TaskContext.get()
         files, base = open_fs(root)
         files.create_dir(base, recursive=True)
-        encode = TextEncoder(vocabulary)
+        encoder = TextEncoder(vocabulary)
         writer, name, part = None, "", 0
 
         def closed() -> pa.RecordBatch:
@@ -155,11 +154,11 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 if writer is None:
                     name = f"part-{context.partitionId():06d}-{part:04d}-{context.taskAttemptId()}.tokens"
                     writer = TokenFileWriter(files.open_output_stream(f"{base}/{name}"), id_bytes)
-                writer.add(doc_id, encode(text) + end)
+                writer.add(doc_id, ids + end)
                 if writer.ids >= FILE_IDS:
                     yield closed()
                     writer, part = None, part + 1

@@ -1,32 +1,43 @@
 """Token ids of whole texts, with one encoder for each task.
 
-The ids are those of the tokenizers library. Two kinds of byte-pair vocabularies
-have a faster way to the same ids: text falls into chunks that cannot influence
-each other, ids of recent chunks are remembered, and new chunks go to tiktoken
-with the vocabulary's own ranks. Any other vocabulary, and any chunk with
-characters on which the libraries' tables might differ, is left to tokenizers.
+The ids are those of the tokenizers library's plain call: strings of special tokens
+get their ids. Two kinds of byte-pair vocabularies have a faster way to the same ids:
+texts fall into chunks that cannot influence each other, and the distinct chunks of a
+batch are encoded once, by tiktoken with the vocabulary's own ranks. Any other
+vocabulary, any text with a special string, and any chunk with characters on which the
+libraries' tables might differ, is left to tokenizers.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-_SPACE = rb"[ \t\n\r\x0b\x0c]"
-#: A space whose neighbours decide whether it is a token of its own.
-_LOOSE_SPACE = re.compile(_SPACE + rb" (?:" + _SPACE + rb"|\Z)")
-#: White space and separators outside of ASCII's usual ones.
-_ODD_SPACE = re.compile(
-    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+from strata.llm.chunks import (
+    LOOSE_SPACE,
+    ODD_SPACE,
+    Inseparable,
+    Units,
+    encode_column,
+    merged_units,
+    units_of_bytes,
 )
+from strata.llm.words import utf8
+
 #: Characters on which lower-casing and classes are the same everywhere: Latin letters and signs.
 _PLAIN = re.compile(r"[\x21-\x7e¡-įı-ɏ]*\Z")
+_PLAIN_LINES = re.compile(r"[\n\x21-\x7e¡-įı-ɏ]*\Z")
+_NONE = np.zeros(0, dtype=np.uint32)
+_TO_SPACE = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 
 # The splitting patterns of the two kinds of vocabularies.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,77 +50,106 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 class TextEncoder:
-    """Ids of UTF-8 texts as little-endian unsigned 32-bit integers.
+    """Ids of texts as little-endian unsigned 32-bit integers.
 
-    Strings of special tokens count as ordinary text. ``keep`` bounds the
-    remembered chunks.
+    Strings of special tokens get these tokens' ids, or with ``special_strings=False``
+    count as ordinary text.
     """
 
-    def __init__(self, path: str, keep: int = 150_000):
+    def __init__(self, path: str, special_strings: bool = True):
         self._path = path
         self._plain: Tokenizer | None = None  # loaded for the first text that needs it
-        self._keep = keep
-        self._known: dict[bytes, bytes] = {}
+        self._special_strings = special_strings
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self._encode: Callable[[bytes], bytes] = self._by_library
+        special = [re.escape(token["content"].encode()) for token in spec.get("added_tokens", [])]
+        self._special = re.compile(b"|".join(special)) if special and special_strings else None
+        self._units = None
         if _is_byte_level(spec):
-            self._core = tiktoken.Encoding(
-                "byte", pat_str=BYTE_PATTERN, mergeable_ranks=_ranks(spec), special_tokens={}
-            )
-            self._encode = self._by_byte_chunks
+            ranks = _ranks(spec)
+            self._core = tiktoken.Encoding("byte", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._units = self._byte_units
         elif _is_word_level(spec):
-            self._core = tiktoken.Encoding(
-                "word", pat_str=r"[^\x00]*\x00", mergeable_ranks=_word_ranks(spec), special_tokens={}
-            )
-            self._pieces = regex.compile(WORD_PATTERN)
-            self._encode = self._by_word_chunks
+            ranks = _word_ranks(spec)
+            self._core = tiktoken.Encoding("word", pat_str=r"[^\x00\n]*\x00", mergeable_ranks=ranks, special_tokens={})
+            self._piece = regex.compile(WORD_PATTERN)
+            self._units = self._word_units
+        if self._units:
+            known = {number: len(token) for token, number in ranks.items() if number < 1 << 30}
+            self._sizes = np.zeros(max(known) + 1, dtype=np.int64)
+            self._sizes[list(known)] = list(known.values())
 
     def __call__(self, text: bytes | None) -> bytes:
-        return self._encode(text) if text else b""
-
-    def _by_library(self, text: bytes) -> bytes:
+        return next(self.encode(pa.array([text], pa.large_binary())))
+
+    def encode(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column; none for a null or empty one."""
+        if self._units is None:
+            ids = (self._by_library(text) if text else _NONE for text in utf8(column))
+        elif self._units == self._word_units:
+            to_space = lambda text: text.translate(_TO_SPACE)
+            ids = encode_column(column, self._units, self._alone, self._is_special, prepare=to_space)
+        else:
+            ids = encode_column(column, self._units, self._alone, self._is_loose, self._is_odd)
+        for own in ids:
+            yield own.astype("<u4", copy=False).tobytes()
+
+    def _is_special(self, text: bytes) -> bool:
+        return bool(self._special and self._special.search(text))
+
+    def _is_loose(self, text: bytes) -> bool:
+        """Texts with a special string, or with white space that splitting would change."""
+        return bool(LOOSE_SPACE.search(text)) or self._is_special(text)
+
+    def _is_odd(self, text: bytes) -> bool:
+        try:
+            text.decode()
+        except UnicodeDecodeError:
+            return True
+        return bool(ODD_SPACE.search(text))
+
+    def _alone(self, text: bytes) -> np.ndarray:
+        if self._units == self._byte_units and not self._is_special(text):
+            return self._at_once(text)
+        return self._by_library(text)
+
+    def _at_once(self, text: bytes) -> np.ndarray:
+        return self._core.encode_to_numpy(text.decode(errors="replace"), disallowed_special=())
+
+    def _by_library(self, text: bytes) -> np.ndarray:
         if self._plain is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
             self._plain = Tokenizer.from_file(self._path)
-            self._plain.encode_special_tokens = True
-        return as_bytes(self._plain.encode(text.decode(errors="replace"), add_special_tokens=False).ids)
-
-    def _by_byte_chunks(self, text: bytes) -> bytes:
-        if _LOOSE_SPACE.search(text) or _ODD_SPACE.search(text):
-            return self._bytes_at_once(text)
-        first, *rest = text.split(b" ")
-        return self._bytes_at_once(first) + self._remembered(rest, self._byte_chunk)
-
-    def _byte_chunk(self, chunk: bytes) -> bytes:
-        return self._bytes_at_once(b" " + chunk)
-
-    def _bytes_at_once(self, text: bytes) -> bytes:
-        return as_bytes(self._core.encode_ordinary(text.decode(errors="replace")))
-
-    def _by_word_chunks(self, text: bytes) -> bytes:
-        return self._remembered(text.split(), self._word_chunk)
-
-    def _word_chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode(errors="replace")
-        if not _PLAIN.match(text):
-            return self._by_library(chunk)
-        pieces = self._pieces.findall(text.lower())
-        return as_bytes(self._core.encode_ordinary("\0".join([*pieces, ""]))) if pieces else b""
-
-    def _remembered(self, chunks: list[bytes], encode: Callable[[bytes], bytes]) -> bytes:
-        known = self._known
-        ids = list(map(known.get, chunks))
-        if None in ids:
-            if len(known) > self._keep:
-                known.clear()
-            for i, found in enumerate(ids):
-                if found is None:
-                    chunk = chunks[i]
-                    found = known.get(chunk)
-                    if found is None:
-                        found = known[chunk] = encode(chunk)
-                    ids[i] = found
-        return b"".join(ids)
+            self._plain.encode_special_tokens = not self._special_strings
+        ids = self._plain.encode(text.decode(errors="replace"), add_special_tokens=False).ids
+        return np.array(ids, dtype=np.uint32)
+
+    def _byte_units(self, firsts: list[bytes], words: pa.Array) -> Units:
+        def joined(text: bytes) -> np.ndarray:
+            try:
+                return self._core.encode_to_numpy(text.decode(), disallowed_special=())
+            except UnicodeDecodeError:  # bytes that are no text change their length when they are read
+                raise Inseparable from None
+
+        def apart(some: list[bytes]) -> list[np.ndarray]:
+            return [self._at_once(unit) if unit else _NONE for unit in some]
+
+        return units_of_bytes(firsts, words, joined, apart, self._sizes)
+
+    def _word_units(self, firsts: list[bytes], words: pa.Array) -> Units:
+        """White space of any kind only parts words; pieces of a word end in a zero byte."""
+        units = firsts + words.to_pylist()
+        text = b"\n".join(units).decode(errors="replace")
+        apart = np.zeros(len(units), dtype=bool)
+        if not _PLAIN_LINES.match(text):
+            apart[:] = [not _PLAIN.match(line) for line in text.split("\n")]
+            text = "\n".join(line for line, odd in zip(text.split("\n"), apart) if not odd)
+        marked = self._piece.sub("\\g<0>\0", text.lower())
+        ids = self._core.encode_to_numpy(marked, disallowed_special=())
+        ends = np.flatnonzero(np.frombuffer(marked.encode() + b"\n", np.uint8) == 10)
+        ends = (ends - np.arange(len(ends)))[: int((~apart).sum())]
+        stops = np.searchsorted(np.cumsum(self._sizes[ids]), ends, side="right")
+        return merged_units(ids, stops, apart, [self._by_library(units[i]) for i in np.flatnonzero(apart)])
 
 
 def _kinds(step: dict | None) -> list[str]:

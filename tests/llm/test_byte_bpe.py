@@ -5,13 +5,14 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe
+from strata.llm import byte_bpe, chunks
 from strata.llm.byte_bpe import ByteBpe, decode_ids, decode_tokens, encode_text, encode_with_offsets, read_ranks, text_parts
 
 FILES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
@@ -29,7 +30,7 @@ SOURCE = (public_tokenizers.path(FILES[0]), public_tokenizers.PATTERN)
 
 
 def ids_of(bpe, texts):
-    return [ids.tolist() for ids, _, _ in bpe.encode(texts)]
+    return [ids.tolist() for ids in bpe.encode(pa.array(texts, pa.string()))]
 
 
 @pytest.mark.parametrize("name", FILES)
@@ -50,7 +51,8 @@ def test_every_character_as_tiktoken():
 @settings(max_examples=200, deadline=None)
 @given(st.text())
 def test_round_trip(text):
-    ((ids, starts, ends),) = OWN.encode([text], offsets=True)
+    ((ids, starts, ends),) = OWN.encode_with_offsets([text])
+    assert ids_of(OWN, [text]) == [ids.tolist()]
     assert OWN.decode(ids.tolist()) == text.encode()
     assert ids.tolist() == PLAIN.encode_ordinary(text)
     assert "".join(OWN.token_texts(ids.tolist())) == text
@@ -61,7 +63,7 @@ def test_round_trip(text):
 
 
 def test_split_characters():
-    ((ids, starts, ends),) = OWN.encode(["x🜁y"], offsets=True)
+    ((ids, starts, ends),) = OWN.encode_with_offsets(["x🜁y"])
     texts = OWN.token_texts(ids.tolist())
     assert "".join(texts) == "x🜁y" and "" in texts  # several tokens, one character
     shared = [(s, e) for s, e, t in zip(starts.tolist(), ends.tolist(), texts) if t in ("", "🜁")]
@@ -79,13 +81,15 @@ def test_unknown_ids_raise():
 
 def test_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(byte_bpe, "LONG", 20)
+    monkeypatch.setattr(chunks, "GROUP", 30)
     draw = random.Random(9)
     for _ in range(300):
         text = "".join(draw.choices(["word", "é", " ", "  ", "\n", " ", "1", "!", "'s"], k=60))
         assert "".join(part for _, part in text_parts(text)) == text
-        ((ids, starts, ends),) = OWN.encode([text], offsets=True)
+        ((ids, starts, ends),) = OWN.encode_with_offsets([text])
         assert ids.tolist() == PLAIN.encode_ordinary(text)
-        assert [text[a:b] for a, b in zip(starts, ends)][-1:] == [text[-1:]] or ends[-1] == len(text)
+        assert ids_of(OWN, [text, text[::-1]]) == PLAIN.encode_ordinary_batch([text, text[::-1]], num_threads=1)
+        assert ends[-1] == len(text)
     mixed = ["a b " * 30, "", None, "c " * 50]
     assert ids_of(OWN, mixed) == [PLAIN.encode_ordinary(t or "") for t in mixed]
 
