@@ -16,13 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from strata.llm.chunks import LOOSE_SPACE, ODD_SPACE, Units, encode_column, units_of_bytes
 
 BATCH = 1 << 19  # characters that the library gets at once; it takes 30 to 40 bytes for each
+CACHE = 0  # chunks that the library remembers: it gets each but once
+GROUP = 1 << 22  # bytes of texts whose chunks are encoded together
+ROWS = 2_000  # texts whose ids a task holds before it hands them on
+DECODED = 1 << 20  # ids that are decoded at once
 LONG = 1 << 19  # characters from which a text is encoded in parts
 
 
@@ -56,6 +61,9 @@ class ByteBpe:
         for token, number in ranks.items():
             self._bytes[number] = bytes(map(byte_of.__getitem__, self._written[token]))
         self._sizes = np.array([len(token or b"") for token in self._bytes], dtype=np.int64)
+        self._places = np.cumsum(self._sizes) - self._sizes
+        self._all_bytes = np.frombuffer(b"".join(token or b"" for token in self._bytes), np.uint8)
+        self._known = np.array([token is not None for token in self._bytes], dtype=bool)
 
     def _make_library(self) -> Tokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
@@ -67,7 +75,7 @@ class ByteBpe:
             if token[:k] in ranks and token[k:] in ranks
         ]
         vocabulary = {written[token]: number for token, number in ranks.items()}
-        library = Tokenizer(models.BPE(vocabulary, merges, ignore_merges=True))
+        library = Tokenizer(models.BPE(vocabulary, merges, ignore_merges=True, cache_capacity=CACHE))
         library.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.Split(Regex(self._pattern), "removed", invert=True),
@@ -84,7 +92,7 @@ class ByteBpe:
         """
         spaced = lambda text: bool(LOOSE_SPACE.search(text))
         odd = lambda text: bool(ODD_SPACE.search(text))
-        yield from encode_column(column, self._units, self._alone, spaced, odd)
+        yield from encode_column(column, self._units, self._alone, spaced, odd, group=GROUP)
 
     def _units(self, firsts: list[bytes], words: pa.Array) -> Units:
         apart = lambda units: self._run([unit.decode() for unit in units])
@@ -115,12 +123,20 @@ class ByteBpe:
             both = np.concatenate(spans)
             yield np.concatenate(ids), both[:, 0], both[:, 1]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
         """The bytes of ids; an id that the ranks do not have raises."""
-        try:
-            return b"".join(map(self._bytes.__getitem__, ids))
-        except (TypeError, IndexError) as unknown:
-            raise ValueError("an id that the ranks do not have") from unknown
+        own = np.asarray(ids, dtype=np.int64)
+        if len(own) and not (own.min() >= 0 and own.max() < len(self._known) and self._known[own].all()):
+            raise ValueError("an id that the ranks do not have")
+        done = []
+        for start in range(0, len(own), DECODED):
+            part = own[start : start + DECODED]
+            sizes = self._sizes[part]
+            ends = np.cumsum(sizes)
+            places = np.repeat(self._places[part] - ends + sizes, sizes)
+            places += np.arange(len(places))
+            done.append(self._all_bytes[places].tobytes())
+        return done[0] if len(done) == 1 else b"".join(done)
 
     def token_texts(self, ids: list[int]) -> list[str]:
         """Each token's share of the text: a character that several tokens make up goes to the
@@ -177,6 +193,36 @@ def encode_text(text: Column, ranks: str, pattern: str) -> Column:
     return encode.asNondeterministic()(text.cast("string"))
 
 
+def encode_documents(
+    docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """``docs`` with the column ``ids`` in place of its texts, as in ``encode_text``.
+
+    With ``decoded``, a column of that name holds the bytes that the ids decode to, made
+    in the same pass. Some thousand texts are held at a time, whatever the batches. Other
+    columns stay; those of these names are replaced. Repeated rows get equal results,
+    and an empty table stays empty.
+    """
+    added = [ids, *([decoded] if decoded else [])]
+    kept = [c for c in docs.columns if c not in (text, *added)]
+    texts = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(text))
+    out = T.StructType([texts.schema[c] for c in kept]).add(ids, T.ArrayType(T.IntegerType()))
+    out = out.add(decoded, T.BinaryType()) if decoded else out
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _loaded(ranks, pattern)
+        for batch in batches:
+            for start in range(0, len(batch), ROWS):
+                part = batch.slice(start, ROWS)
+                found = list(bpe.encode(part.column(text)))
+                columns = [part.column(c) for c in kept] + [_lists(found)]
+                if decoded:
+                    columns.append(pa.array((bpe.decode(own) for own in found), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+
+    return texts.mapInArrow(encode, out)
+
+
 def encode_with_offsets(text: Column, ranks: str, pattern: str) -> Column:
     """struct(ids, starts, ends): as ``encode_text``, with each token's code points in the text."""
 
@@ -229,5 +275,5 @@ def _values(lists: pa.Array) -> Iterator[list[int] | None]:
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
-    values = np.concatenate(rows) if rows else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+    values = np.concatenate(rows).astype(np.int32, copy=False) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))

@@ -45,14 +45,17 @@ def encode_column(
     whole: Callable[[bytes], bool],
     whole_after_all: Callable[[bytes], bool] = lambda text: False,
     prepare: Callable[[bytes], bytes] = lambda text: text,
+    group: int | None = None,
 ) -> Iterator[np.ndarray]:
     """Ids of each text of a string column, in order; none for a null.
 
     ``encode_units(firsts, words)`` encodes chunks by themselves, those of ``words``
     with a space before each; texts are split as ``prepare`` leaves them. Texts for
     which ``whole`` holds are not split but go to ``alone``, and where the units turn
-    out ``Inseparable``, those for which ``whole_after_all`` holds as well.
+    out ``Inseparable``, those for which ``whole_after_all`` holds as well. Chunks of
+    about ``group`` bytes of texts are encoded together.
     """
+    group = group or GROUP
     held: list[tuple[bytes, bool, bool]] = []  # a piece, whether it is split, whether more of its text follows
     size = 0
 
@@ -68,21 +71,21 @@ def encode_column(
         if whole(raw):
             held.append((raw, False, False))
         else:
-            *parts, last = pieces(raw)
+            *parts, last = pieces(raw, group)
             held += [(part, True, True) for part in parts]
             held.append((last, True, False))
         size += len(raw)
-        if size >= GROUP:
+        if size >= group:
             yield from encoded()
             held, size = [], 0
     yield from encoded()
 
 
-def pieces(raw: bytes) -> Iterator[bytes]:
-    """A text in pieces of about ``GROUP`` bytes that begin with a space between two words."""
+def pieces(raw: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes that begin with a space between two words."""
     start = 0
-    while len(raw) - start > GROUP:
-        found = _INNER_SPACE.search(raw, start + GROUP)
+    while len(raw) - start > size:
+        found = _INNER_SPACE.search(raw, start + size)
         if not found or found.start() == len(raw) - 1:
             break
         yield raw[start : found.start()]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.byte_bpe import decode_ids, encode_text
+from strata.llm.byte_bpe import encode_documents
 from strata.llm.decontaminate import find_leaks
 from strata.llm.divergence import divergence
 from strata.llm.infill import infill, restore
@@ -31,8 +31,17 @@ HOST_RULES = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-# Words that mark advertising and adult hosts or paths when no host rule fits.
-UNWANTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx")
+# Words that mark hosts and paths nobody wants to train on, and the patterns in
+# which each of them is looked for.
+UNWANTED_WORDS = (
+    "ads", "adserver", "adult", "affiliate", "banner", "bets", "betting", "bingo", "bonus", "casino",
+    "cialis", "click", "coupon", "dating", "doubleclick", "escort", "forex", "gambling", "hookup", "jackpot",
+    "lottery", "nude", "payday", "pills", "poker", "popup", "porn", "promo", "replica", "roulette",
+    "sexcam", "slots", "spam", "sponsor", "track", "tracker", "viagra", "webcam", "xxx", "warez",
+)
+UNWANTED_PATTERNS = (
+    "||{0}.", "||{0}-", "^{0}^", "^{0}s^", "-{0}-*/", "/{0}_", "/{0}/*.html", "_{0}.", "^free-{0}*^online^",
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -79,9 +88,10 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_rules() -> list[UrlRule]:
-    """The host rules ahead of the unwanted words."""
+    """The host rules ahead of some hundred patterns, which go by themselves."""
     named = [UrlRule(name, f"||{name}", verdict, rank=1) for name, verdict in HOST_RULES]
-    return named + [UrlRule(word, f"^{word}^") for word in UNWANTED_WORDS]
+    patterns = [form.format(word) for word in UNWANTED_WORDS for form in UNWANTED_PATTERNS]
+    return named + [UrlRule(pattern, pattern) for pattern in patterns]
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +169,14 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     files = (vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    docs = read(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", encode_text(F.col("text"), *files).alias("ids"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_documents(docs, *files, decoded="decoded")
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2(decode_ids(F.col("ids"), *files), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

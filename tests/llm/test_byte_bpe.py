@@ -12,8 +12,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, chunks
-from strata.llm.byte_bpe import ByteBpe, decode_ids, decode_tokens, encode_text, encode_with_offsets, read_ranks, text_parts
+from strata.llm import byte_bpe
+from strata.llm.byte_bpe import (
+    ByteBpe,
+    decode_ids,
+    decode_tokens,
+    encode_documents,
+    encode_text,
+    encode_with_offsets,
+    read_ranks,
+    text_parts,
+)
 
 FILES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
 
@@ -81,7 +90,7 @@ def test_unknown_ids_raise():
 
 def test_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(byte_bpe, "LONG", 20)
-    monkeypatch.setattr(chunks, "GROUP", 30)
+    monkeypatch.setattr(byte_bpe, "GROUP", 30)
     draw = random.Random(9)
     for _ in range(300):
         text = "".join(draw.choices(["word", "é", " ", "  ", "\n", " ", "1", "!", "'s"], k=60))
@@ -107,3 +116,13 @@ def test_columns(spark, messy_rows, clashing, no_docs):
     got = lists.select(decode_ids(F.col("ids"), *SOURCE).alias("b"), decode_tokens(F.col("ids"), *SOURCE).alias("t")).collect()
     assert got[1] == (None, None) and bytes(got[2].b) == b"" and got[2].t == []
     assert "".join(got[0].t).encode() == bytes(got[0].b)
+
+
+def test_documents_with_other_columns(spark, messy_rows, clashing, no_docs, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "ROWS", 7)
+    other = clashing.withColumnsRenamed({"kept": "ids", "shard": "decoded"})
+    done = encode_documents(other, *SOURCE, decoded="decoded")
+    assert done.columns == ["doc_id", "lang", "source", "n_chars", "verdict", "sequence_id", "_host", "ids", "decoded"]
+    got = sorted((r.doc_id or 0, r["ids"], bytes(r["decoded"])) for r in done.collect())
+    assert got == sorted((r[0] or 0, PLAIN.encode_ordinary(r[1] or ""), (r[1] or "").encode()) for r in messy_rows)
+    assert encode_documents(no_docs, *SOURCE).collect() == []
