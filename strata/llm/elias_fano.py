@@ -76,12 +76,29 @@ class EliasFano:
         raw = int.from_bytes(self.low[start // 8 : -(-stop // 8)].tobytes(), "little")
         return (raw >> (start % 8)) & ((1 << self.low_bits) - 1)
 
-    def decode(self) -> np.ndarray:
-        """All values."""
-        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
-        values = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+    def between(self, start: int, stop: int) -> np.ndarray:
+        """Values ``start`` to ``stop - 1``, from the words of the bit vector that hold them."""
+        start, stop = max(start, 0), min(stop, self.n)
+        if start >= stop:
+            return np.zeros(0, dtype=np.uint64)
+        sample, after = start // SAMPLE, -(-stop // SAMPLE)
+        place = int(self.samples[sample])
+        first = place // 64
+        last = int(self.samples[after]) // 64 + 1 if after < len(self.samples) else len(self.high)
+        bits = np.unpackbits(self.high[first:last].view(np.uint8), bitorder="little")
+        ones = np.flatnonzero(bits[place - 64 * first :]) + place
+        skipped = sample * SAMPLE
+        ones = ones[start - skipped : stop - skipped]
+        values = (ones - np.arange(start, stop)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            bits = np.unpackbits(self.low, count=self.n * self.low_bits, bitorder="little")
-            bits = bits.reshape(self.n, self.low_bits).astype(np.uint64)
-            values += (bits << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+            head = start * self.low_bits
+            count = (stop - start) * self.low_bits
+            raw = self.low[head // 8 : -(-(head + count) // 8)]
+            low = np.unpackbits(raw, bitorder="little")[head % 8 : head % 8 + count]
+            low = low.reshape(-1, self.low_bits).astype(np.uint64)
+            values += (low << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
         return values
+
+    def decode(self) -> np.ndarray:
+        """All values."""
+        return self.between(0, self.n)

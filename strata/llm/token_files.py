@@ -25,6 +25,7 @@ from strata.sources import layer_path, scratch_dir, write_layer
 
 MAGIC = b"TOKENS01"
 FOOTER = "<BQQQqQQ8s"  # id width, ids, documents, null doc_ids, least doc_id, sizes
+BLOCK_DOCS = 1 << 14  # documents whose ends are decoded at once
 FILE_IDS = 1 << 26  # ids after which a task starts another file
 MANIFEST = "partition int, part int, path string, n_docs long, n_ids long"
 
@@ -42,6 +43,8 @@ class TokenFileWriter:
     def add(self, doc_id: int | None, ids: bytes) -> None:
         """``ids`` are 32 bits wide; null doc_ids come first."""
         values = np.frombuffer(ids, np.uint32)
+        if self.width == 2 and values.max(initial=0) > 0xFFFF:
+            raise ValueError(f"id {values.max()} does not fit 2 bytes; write 4")
         self.stream.write(values.astype(np.uint16).tobytes() if self.width == 2 else ids)
         self.ids += len(values)
         self.ends.append(self.ids)
@@ -94,18 +97,25 @@ class TokenFile:
         return np.frombuffer(self.source.read_at(self.width * (stop - start), at), kind)
 
     def documents(self, block: int = 1 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc_id, start in the file, ids) of every document, read in blocks of ids."""
-        ends = self.ends.decode().astype(np.int64)
-        doc_ids = [None] * self.nulls + [self.least + int(v) for v in self.named.decode()]
-        first = start = 0
-        while first < self.n_docs:
-            last = max(int(np.searchsorted(ends, start + block, side="right")), first + 1)
-            ids = self._between(start, int(ends[last - 1]))
-            base = start
-            for i in range(first, last):
-                yield doc_ids[i], start, ids[start - base : int(ends[i]) - base]
-                start = int(ends[i])
-            first = last
+        """(doc_id, start in the file, ids) of every document, read in blocks of ids.
+
+        Ends and doc_ids are decoded some thousand at a time, from the places that the
+        select samples name; no table of all of them is made."""
+        start = 0
+        for first in range(0, self.n_docs, BLOCK_DOCS):
+            stop = min(first + BLOCK_DOCS, self.n_docs)
+            ends = self.ends.between(first, stop).astype(np.int64)
+            without = max(min(self.nulls, stop) - first, 0)
+            named = self.named.between(first + without - self.nulls, stop - self.nulls) if stop > self.nulls else []
+            doc_ids = [None] * without + [self.least + int(v) for v in named]
+            at = 0
+            while at < len(ends):
+                last = max(int(np.searchsorted(ends, start + block, side="right")), at + 1)
+                base, ids = start, self._between(start, int(ends[last - 1]))
+                for i in range(at, last):
+                    yield doc_ids[i], start, ids[start - base : int(ends[i]) - base]
+                    start = int(ends[i])
+                at = last
 
 
 def open_fs(address: str) -> tuple[fs.FileSystem, str]:

@@ -28,6 +28,8 @@ def test_elias_fano_round_trip_and_select(values):
     coded = EliasFano.from_bytes(EliasFano.encode(np.array(values, dtype=np.uint64)).to_bytes())
     assert coded.decode().tolist() == values
     assert [coded.select(i) for i in range(0, len(values), 7)] == values[::7]
+    for start, stop in ((0, 1), (3, 300), (255, 257), (256, 512), (700, 9_000), (5, 5), (-3, 2)):
+        assert coded.between(start, stop).tolist() == values[max(start, 0) : stop]
     with pytest.raises(IndexError):
         coded.select(len(values))
 
@@ -57,7 +59,9 @@ def test_messy_documents(clashing, messy_rows, monkeypatch, file_ids):
     assert named == sorted(named, key=lambda d: (d is not None, d or 0))
 
 
-def test_random_access_in_a_file(spark, messy):
+@pytest.mark.parametrize("docs", [1, 3, 1 << 14])
+def test_random_access_in_a_file(spark, messy, monkeypatch, docs):
+    monkeypatch.setattr(tf, "BLOCK_DOCS", docs)
     folder = scratch_dir(spark)
     manifest = tf.write_token_files(messy.coalesce(1), WORD, 2, folder).collect()
     files, path = tf.open_fs(manifest[0].path)
@@ -77,5 +81,13 @@ def test_damage_is_noticed(tmp_path):
         tf.TokenFile(source)
 
 
+def test_ids_that_do_not_fit_are_refused(tmp_path):
+    with open(tmp_path / "a", "wb") as stream:
+        writer = tf.TokenFileWriter(stream, 2)
+        writer.add(1, as_bytes([65535]))
+        with pytest.raises(ValueError, match="does not fit"):
+            writer.add(2, as_bytes([1, 65536]))
+
+
 def test_empty_table(no_docs):
     assert tf.token_files(no_docs, WORD, 2).count() == 0
