@@ -17,13 +17,15 @@ import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.token_files import open_fs
 from strata.llm.words import mix, utf8, windows, word_hashes
 from strata.sources import layer_path, scratch_dir, write_layer
 
@@ -46,7 +48,8 @@ class LeakRule:
     few: int = 16
 
 
-BLOCK_SHINGLES = 1_000_000  # item shingles that one index holds; more items make more indexes
+BLOCK_SHINGLES = 1_000_000  # item shingles that one index holds on average; more items make more indexes
+RUN_WINDOWS = 1 << 12  # window starts whose votes are held at once
 TIE = 1e-3  # votes nearer to zero than rounding reaches count as none
 LEAK = "array<struct<item_id: long, start: int, n_words: int, similarity: double, distance: int>>"
 
@@ -107,24 +110,44 @@ def shingle_weights(items: DataFrame, rule: LeakRule, text: str = "text") -> Dat
     )
 
 
-def build_indexes(items: DataFrame, rule: LeakRule) -> Iterator[dict[int, SizeIndex]]:
-    """Indexes of bounded size that together hold every item."""
-    sizes: dict[int, SizeIndex] = {}
-    held, other = 0, 1.0
-    for row in shingle_weights(items, rule).orderBy("n_words", "item_id").toLocalIterator():
-        size = sizes.setdefault(row["n_words"], SizeIndex(row["n_words"]))
-        shingles = np.array(row["shingles"], dtype=np.int64).view(np.uint64)
-        order = np.argsort(shingles)
-        size.items.append(row["item_id"])
-        size.shingles.append(shingles[order])
-        size.weights.append(np.array(row["weights"])[order])
-        held += len(shingles)
-        other = float(np.log2(1 + row["total"]))
-        if held >= BLOCK_SHINGLES:
-            yield _finished(sizes, rule, other)
-            sizes, held = {}, 0
-    if sizes:
-        yield _finished(sizes, rule, other)
+def store_indexes(items: DataFrame, rule: LeakRule) -> list[tuple[str, int]]:
+    """Write indexes of bounded size that together hold every item; (file, block) of each.
+
+    Items are dealt to blocks by a hash, a task builds the index of a block and writes
+    it below the shared folder. The driver only learns where each block is.
+    """
+    weighted = shingle_weights(items, rule)
+    folder = scratch_dir(items.sparkSession)
+    stored = write_layer(
+        weighted, layer_path(folder, "decontaminate", "weighted"), {"shingles": F.sum(F.size("shingles"))}
+    )
+    blocks = -(-stored.metrics["shingles"] // BLOCK_SHINGLES)
+    if not blocks:
+        return []
+    names = ["n_words", "item_id", "shingles", "weights", "total"]
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        sizes: dict[int, SizeIndex] = {}
+        table = table.sort_by([("n_words", "ascending"), ("item_id", "ascending"), ("_item", "ascending")])
+        other = 1.0
+        for row in zip(*(table.column(name).to_pylist() for name in names)):
+            words, item_id, shingles, weights, total = row
+            size = sizes.setdefault(words, SizeIndex(words))
+            shingles = np.array(shingles, dtype=np.int64).view(np.uint64)
+            order = np.argsort(shingles)
+            size.items.append(item_id)
+            size.shingles.append(shingles[order])
+            size.weights.append(np.array(weights)[order])
+            other = float(np.log2(1 + total))
+        index = pickle.dumps({words: vars(size) for words, size in _finished(sizes, rule, other).items()})
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "index": pa.array([index], pa.binary())})
+
+    block = F.pmod(F.xxhash64("_item"), F.lit(blocks)).cast("int").alias("block")
+    dealt = stored.frame.select(block, "_item", *names).groupBy("block")
+    path = layer_path(folder, "decontaminate", "indexes")
+    indexes = write_layer(dealt.applyInArrow(build, "block int, index binary"), path).frame
+    places = indexes.select(F.input_file_name().alias("file"), "block").orderBy("block").collect()
+    return [(row["file"], row["block"]) for row in places]
 
 
 def _finished(sizes: dict[int, SizeIndex], rule: LeakRule, other: float) -> dict[int, SizeIndex]:
@@ -242,7 +265,8 @@ class LeakFinder:
         known = np.concatenate([size.known for size in self.sizes])
         order = np.argsort(known, kind="stable")
         self.known, first = np.unique(known[order], return_index=True)
-        self.owners = np.split(owners[order], first[1:])  # sizes that have a shingle
+        self.owners = owners[order].astype(np.int32)  # sizes that have a shingle, shingle by shingle
+        self.first_owner, self.n_owners = first, np.diff(first, append=len(owners))
         self.weights = np.concatenate([size.known_weights for size in self.sizes])[order][first]
         self.maybe = np.zeros(1 << 22, dtype=bool)
         self.maybe[known >> np.uint64(42)] = True
@@ -263,16 +287,25 @@ class LeakFinder:
                 continue
             weights = np.full(len(shingles), self.other)
             weights[at] = self.weights[place]
-            held: dict[int, list[int]] = {}
-            for position, shingle in zip(at.tolist(), place.tolist()):
-                for k in self.owners[shingle].tolist():
-                    held.setdefault(k, []).append(position)
-            for k, positions in sorted(held.items()):
+            for k, positions in self._by_size(at, place):
                 if min(self.rule.width, self.sizes[k].words) == width:
                     span = min(self.sizes[k].words, len(words)) - min(width, len(words)) + 1
-                    found += self._of_size(shingles, weights, np.array(positions), k, span, len(words))
+                    found += self._of_size(shingles, weights, positions, k, span, len(words))
         return found
 
+    def _by_size(self, at: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, positions ``at`` of shingles ``place`` that some item of the size has)."""
+        counts = self.n_owners[place]
+        positions = np.repeat(at, counts)
+        first = np.repeat(self.first_owner[place] - np.cumsum(counts) + counts, counts)
+        owners = self.owners[first + np.arange(len(positions))]
+        order = np.argsort(owners, kind="stable")
+        owners, positions = owners[order], positions[order]
+        cuts = np.flatnonzero(np.diff(owners)) + 1
+        for own, group in zip(np.split(owners, cuts), np.split(positions, cuts)):
+            if len(own):
+                yield int(own[0]), group
+
     def _of_size(
         self,
         shingles: np.ndarray,
@@ -293,7 +326,7 @@ class LeakFinder:
         total = np.cumsum(total)
         able = np.flatnonzero(total[span:] - total[:-span] >= size.least)
         best: dict[int, tuple] = {}
-        for group in np.split(able, np.flatnonzero(np.diff(able) > span) + 1) if len(able) else []:
+        for group in _runs(able, span):
             low, high = int(group[0]), int(group[-1]) + span
             signed = signs(shingles[low:high], weights[low:high], self.rule)
             votes = window_votes(shingles[low:high], signed, span)
@@ -329,6 +362,16 @@ class LeakFinder:
         return common / (mine + theirs - common)
 
 
+def _runs(able: np.ndarray, span: int) -> Iterator[np.ndarray]:
+    """Window starts that overlap, up to ``RUN_WINDOWS`` at once, which bounds the memory
+    that the votes of a long text need."""
+    for group in np.split(able, np.flatnonzero(np.diff(able) > span) + 1) if len(able) else []:
+        while len(group):
+            stop = int(np.searchsorted(group, group[0] + RUN_WINDOWS))
+            yield group[:stop]
+            group = group[stop:]
+
+
 def leaks_of(text: Column, items: DataFrame, rule: LeakRule = LeakRule()) -> Column:
     """Array of the leaks in a text: (item_id, start, n_words, similarity, distance).
 
@@ -336,18 +379,28 @@ def leaks_of(text: Column, items: DataFrame, rule: LeakRule = LeakRule()) -> Col
     text shorter than an item is compared as a whole. Of several windows that match
     an item the most similar one, then the first, is given. Repeated items are
     found each. No document row moves, so no source, copy or passage can be too
-    frequent; what tasks share is bounded, further items go to further indexes.
+    frequent. Texts of any length are searched whole, a few thousand windows at a time.
+
+    Items are no limit either: they lie in the shared folder in blocks of about
+    ``BLOCK_SHINGLES`` shingles, and a task holds one block's index at a time.
     """
-    context = items.sparkSession.sparkContext
-    shared = [context.broadcast(cloudpickle.dumps(sizes)) for sizes in build_indexes(items, rule)]
-    found = [_leak_function(index, rule)(text) for index in shared]
-    if not found:
+    places = store_indexes(items, rule)
+    if not places:
         return F.array().cast(LEAK)
-    return found[0] if len(found) == 1 else F.concat(*found)
+    return _leak_function(places, rule)(text)
+
+
+def load_index(file: str, block: int) -> dict[int, SizeIndex]:
+    """The index of a block, read from the shared folder."""
+    files, path = open_fs(unquote(file))
+    with files.open_input_file(path) as source:
+        table = parquet.read_table(source, columns=["index"], filters=[("block", "=", block)])
+    sizes = pickle.loads(table.column("index")[0].as_py())
+    return {words: SizeIndex(**fields) for words, fields in sizes.items()}
 
 
-def _leak_function(index, rule: LeakRule):
-    finder: list[LeakFinder] = []
+def _leak_function(places: list[tuple[str, int]], rule: LeakRule):
+    loaded: dict[int, LeakFinder] = {}  # the block that was used last
     fields = [
         ("item_id", pa.int64()),
         ("start", pa.int32()),
@@ -359,10 +412,14 @@ def _leak_function(index, rule: LeakRule):
 
     @F.arrow_udf(LEAK)
     def find(text: pa.Array) -> pa.Array:
-        if not finder:
-            finder.append(LeakFinder(pickle.loads(index.value), rule))
         names = [name for name, _ in fields]
-        found = [[dict(zip(names, leak)) for leak in finder[0](raw)] for raw in utf8(text)]
+        found: list[list[dict]] = [[] for _ in range(len(text))]
+        for file, block in places:
+            if block not in loaded:
+                loaded.clear()
+                loaded[block] = LeakFinder(load_index(file, block), rule)
+            for leaks, raw in zip(found, utf8(text)):
+                leaks += [dict(zip(names, leak)) for leak in loaded[block](raw)]
         return pa.array(found, kind)
 
     return find

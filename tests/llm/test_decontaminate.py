@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from strata.llm import decontaminate as dc
 from strata.llm.decontaminate import LeakRule, find_leaks, without_leaks
@@ -72,6 +73,44 @@ def test_several_indexes_find_the_same(spark, monkeypatch):
     assert got == plain(docs, items)
 
 
+@pytest.mark.parametrize("most", [1, 7])
+def test_runs_of_any_length_find_the_same(spark, monkeypatch, most):
+    monkeypatch.setattr(dc, "RUN_WINDOWS", most)
+    docs, items = contaminated()
+    docs.append((900, " ".join([*words(1, 40)] * 5 + words(2, 25))))  # many windows match
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    table = spark.createDataFrame([(*i, "x") for i in items], ITEMS)
+    got = Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in find_leaks(frame, table).collect())
+    assert got == plain(docs, items)
+
+
+def test_nothing_of_the_items_is_broadcast_or_collected(spark):
+    docs, items = contaminated()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    places = dc.store_indexes(spark.createDataFrame([(*i, "x") for i in items], ITEMS), LeakRule())
+    assert len(places) == 1 and set(dc.load_index(*places[0])) == {-1, 2, 25, 30, 40}
+    plan = find_leaks(frame, spark.createDataFrame([(*i, "x") for i in items], ITEMS))
+    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_long_text_of_matches_needs_bounded_memory():
+    """Votes of 60,000 overlapping windows at once would take 250 MB and more."""
+    import tracemalloc
+
+    rule = LeakRule()
+    item = np.unique(dc.windows(dc.word_hashes(" ".join(words(1, 40)).encode()), 5))
+    sizes = {40: dc.SizeIndex(40, [1], [item], [np.ones(len(item))])}
+    finder = dc.LeakFinder(dc._finished(sizes, rule, 1.0), rule)
+    finder(b"warm up")
+    text = " ".join(words(1, 40) * 1_500).encode()
+    tracemalloc.start()
+    leaks = finder(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(leak[0], leak[1], leak[3]) for leak in leaks] == [(1, 0, 1.0)]
+    assert peak < 120e6
+
+
 def test_clean_documents_stay_with_their_columns(spark):
     docs, items = contaminated()
     frame = spark.createDataFrame([(*d, "en", "s", 1, "k", 1, "s", "q", "h") for d in docs], CLASHING)
