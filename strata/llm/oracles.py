@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm.queries import HOST_RULES, UNWANTED_WORDS
+from strata.llm.queries import HOST_RULES, UNWANTED_PATTERNS, UNWANTED_WORDS
 
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -13,10 +13,19 @@ def _url_filters() -> str:
         f"'{name[name.index('/'):]}' as rule_path, '{verdict}' as verdict"
         for name, verdict in HOST_RULES
     )
-    words = " union all ".join(f"select '{word}' as word" for word in UNWANTED_WORDS)
+    words = ", ".join(f"('{word}')" for word in UNWANTED_WORDS)
+    forms = ", ".join(f"('{form}')" for form in UNWANTED_PATTERNS)
+    body = "regexp_replace(replace(replace(pattern, '.', '[.]'), '*', '.*'), '^[|][|]', '')"
+    regex = (
+        "'(?s)' || case when starts_with(pattern, '||') then '^(?:[^/]*[.])?' else '' end || "
+        f"replace({body}, '^', '(?:[^A-Za-z0-9]|^|$)')"
+    )
     after = "case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end"
     return f"""
-with rules as ({fits}), words as ({words}),
+with rules as ({fits}),
+words(word) as (values {words}), forms(form) as (values {forms}),
+patterns as (select replace(form, '{{0}}', word) as pattern from words, forms),
+unwanted_rules as (select pattern, {regex} as regex from patterns),
 parts as (select page_id, url, coalesce({after}, '') as tail from pages),
 split as (
   select page_id, {LOWER.format("regexp_extract(tail, '^[^/?#]*')")} as host,
@@ -29,13 +38,12 @@ best as (
     on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
   group by all),
 unwanted as (
-  select host, path, arg_min(word, (-length(word), word)) as word
-  from distinct_targets join words
-    on regexp_matches(host || path, '(?:[^A-Za-z0-9]|^)' || word || '(?:[^A-Za-z0-9]|$)')
+  select host, path, arg_min(pattern, (-length(pattern), pattern)) as pattern
+  from distinct_targets join unwanted_rules on regexp_matches(host || path, regex)
   group by all)
 select s.page_id, s.host, s.path, b.rule,
-  coalesce(b.verdict, case when u.word is not null then 'block' else 'allow' end) as verdict,
-  coalesce('||' || b.rule, '^' || u.word || '^') as pattern
+  coalesce(b.verdict, case when u.pattern is not null then 'block' else 'allow' end) as verdict,
+  coalesce('||' || b.rule, u.pattern) as pattern
 from split s left join best b using (host, path) left join unwanted u using (host, path)
 """
 
@@ -62,11 +70,26 @@ lines as (
 solid as (select * from lines where normal <> ''),
 dups as (
   select doc_id, (count(*) - count(distinct line))::bigint as n_dup_lines from solid group by doc_id),
-hosts as (select source, count(distinct text) as texts from docs group by source),
+texts as (select distinct source, text, normal, string_split(normal, ' ') as words from solid),
+edged as (
+  select source, text, normal, len(words) as n, array_to_string(words[1:4], ' ') as head,
+    array_to_string(words[greatest(len(words) - 3, 1):], ' ') as tail
+  from texts),
+heads as (select source, head from edged group by all having count(distinct text) > 1),
+tails as (select source, tail from edged group by all having count(distinct text) > 1),
+own as (
+  select e.source, e.text from edged e
+    left join heads h on h.source is not distinct from e.source and h.head = e.head
+    left join tails t on t.source is not distinct from e.source and t.tail = e.tail
+  group by e.source, e.text
+  having least(sum(case when h.head is null then n else 0 end), sum(case when t.tail is null then n else 0 end))
+    >= greatest(0.2 * sum(n), 1)),
+hosts as (select source, count(*) as n from own group by source),
 frequent as (
-  select s.source, s.normal from solid s join hosts h on s.source is not distinct from h.source
-  group by s.source, s.normal, h.texts
-  having count(distinct s.text) > 20 and count(distinct s.text) > 0.1 * h.texts),
+  select a.source, a.normal
+  from edged a join own o on o.source is not distinct from a.source and o.text = a.text
+    join hosts h on h.source is not distinct from a.source
+  group by a.source, a.normal, h.n having count(*) > 0.04 * h.n + sqrt(h.n)),
 removed as (
   select s.doc_id, sum(len(string_split(s.normal, ' ')))::bigint as n_removed_words
   from solid s join frequent f on s.source is not distinct from f.source and s.normal = f.normal

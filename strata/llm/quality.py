@@ -1,9 +1,16 @@
 """Quality rules by cross-document line frequency.
 
-Lines are normalised and hashed; a line that stands in too large a share of a
-host's distinct texts is boilerplate of that host and is removed, and a document
-that loses too much by it is rejected. A few base counts of the text itself
-reject documents that are too short or repeat themselves.
+Lines are normalised and hashed; a line that stands in too many of a host's distinct
+documents is boilerplate of that host and is removed, and a document that loses too
+much by it is rejected. A few base counts of the text itself reject documents that are
+too short or repeat themselves.
+
+Documents are distinct where at least a fifth of their words is their own. Copies, also
+with words changed here and there, are left to near-duplicate removal, which keeps one
+of them: their common lines say nothing about the host. Words are a document's own in
+lines that begin, or end, with four words as no line of another text of the host does;
+the fewer of the two counts are taken. A changed word spoils one end of a long line at
+most, so near copies of any line length have few words of their own.
 """
 
 from __future__ import annotations
@@ -26,21 +33,25 @@ from strata.sources import layer_path, scratch_dir, write_layer
 class LineRules:
     """Limits of the base rules and of the line frequency.
 
-    A line is removed where more than ``max_share`` of its host's distinct texts,
-    and more than ``min_texts`` of them, hold it. A document is depleted when less
-    than ``min_left`` of its words stay.
+    A document is distinct where at least ``min_own`` of its words is its own. Of n
+    distinct documents of a host, more than ``max_share * n + sqrt(n)`` must hold a
+    line for it to be removed: 6 of 20, 10 of 50, 43 of 500, 2,224 of 50,000. The root
+    is what chance adds to the count of a line that is just as frequent as allowed; it
+    is the same rule at every size. A document is depleted when less than ``min_left``
+    of its words stay.
     """
 
     min_words: int = 50
     max_repeated: float = 0.5
-    max_share: float = 0.1
-    min_texts: int = 20
+    max_share: float = 0.04
+    min_own: float = 0.2
     min_left: float = 0.5
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 VERDICT = (*COUNTS, "n_removed_words", "base_failed", "kept", "clean_text")
 SYMBOLS = b"#*$%&|<>"
+EDGE = 4  # words at an end of a line by which it is known again
 _DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 
 
@@ -54,12 +65,12 @@ def judge_quality(
 
     Input columns of these names are replaced, all others stay. A null text counts
     as empty and fails for want of words; its clean_text stays null. Documents
-    without a host form a host of their own. Copies of a text count once in their
-    host, so a document that is often copied is not taken for boilerplate, and
-    repeated rows get equal results. The list of a host's boilerplate has fewer
-    lines than its texts have on average, divided by ``max_share``. Lines are compared after lower-casing A-Z,
-    turning digits into 0 and joining words by one space; lines without a word are
-    never removed.
+    without a host form a host of their own. Copies and near copies of a text do not
+    make its lines boilerplate, and repeated rows get equal results. The list of a
+    host's boilerplate has fewer lines than its documents have on average, divided by
+    ``max_share``. Lines are compared after lower-casing A-Z, turning digits into 0 and
+    joining words by one space; lines without a word are never removed. Texts of any
+    length are judged whole.
     """
     docs = docs.drop(*VERDICT)
     folder = folder or scratch_dir(docs.sparkSession)
@@ -68,7 +79,8 @@ def judge_quality(
     lists = frequent.frame.groupBy("_host").agg(F.collect_list("line").alias(lines))
     lists = write_layer(lists.withColumnRenamed("_host", own_host), layer_path(folder, "quality", "hosts"))
     judged = docs.join(lists.frame, F.col(host).eqNullSafe(F.col(own_host)), "left")
-    judged = judged.withColumn(found, _count_text(rules)(F.col("text").cast("string"), F.col(lines)))
+    name = F.col(host).cast("string")
+    judged = judged.withColumn(found, _count_text(rules)(F.col("text").cast("string"), name, F.col(lines)))
     clean = F.coalesce(F.col(f"{found}.clean_text"), F.col("text").cast("string"))
     verdict = [f"{found}.{name}" for name in VERDICT if name != "clean_text"]
     return judged.select(*docs.columns, *verdict, clean.alias("clean_text"))
@@ -83,47 +95,71 @@ def line_hash(line: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def line_ends(normal: bytes) -> tuple[bytes, bytes]:
+    """The first and the last four words of a normal line, or all of a shorter one."""
+    line = normal.split(b" ")
+    return b" ".join(line[:EDGE]), b" ".join(line[-EDGE:])
+
+
 def _frequent_lines(docs: DataFrame, rules: LineRules, host: str) -> DataFrame:
     """(_host, line) of lines above the limits; counts are pre-aggregated in every task."""
-    schema = pa.schema([("_host", pa.string()), ("text_hash", pa.int64()), ("line", pa.int64())])
+    whole = pa.int64()
+    kinds = {"text_hash": whole, "line": whole, "head": whole, "tail": whole, "words": pa.int32(), "of": whole}
+    schema = pa.schema([("_host", pa.string()), *kinds.items()])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, texts, lines = [], [], []
+            hosts, rows = [], []
             for name, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                if not text:
-                    continue
-                own = {line_hash(n) for n in map(normal_line, text.split(b"\n")) if n}
-                hosts += [name] * len(own)
-                texts += [line_hash(text)] * len(own)
-                lines += own
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, f.type) for v, f in zip((hosts, texts, lines), schema)], schema=schema
-            )
+                lines = {n for n in map(normal_line, (text or b"").split(b"\n")) if n}
+                text_hash = line_hash(text) if lines else 0
+                sizes = [n.count(b" ") + 1 for n in lines]
+                of = sum(sizes)
+                rows += [
+                    (text_hash, line_hash(n), *map(line_hash, line_ends(n)), size, of)
+                    for n, size in zip(lines, sizes)
+                ]
+                hosts += [name] * len(lines)
+            columns = list(zip(*rows)) if rows else [()] * len(kinds)
+            arrays = [pa.array(hosts, pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds.values()))]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     hosted = docs.select(F.col(host).cast("string").alias("_host"), F.col("text").cast("string"))
-    lines = (
-        hosted.mapInArrow(explode, "_host string, text_hash long, line long")
-        .distinct()
-        .groupBy("_host", "line")
-        .agg(F.count("*").alias("texts"))
-        .where(F.col("texts") > rules.min_texts)
+    held = hosted.mapInArrow(
+        explode, "_host string, text_hash long, line long, head long, tail long, words int, of long"
+    ).distinct()
+    key = F.coalesce("_host", F.lit("")), F.col("_host").isNull()  # a missing host is one of its own
+    held = held.withColumns({"h": key[0], "none": key[1]}).drop("_host")
+    sides = [F.struct(F.lit(side).alias("side"), F.col(side).alias("edge")) for side in ("head", "tail")]
+    edges = held.select("h", "none", "text_hash", "words", "of", F.inline(F.array(*sides)))
+    known = edges.groupBy("h", "none", "side", "edge").agg(
+        F.min("text_hash").alias("text_hash"),
+        F.max("text_hash").alias("last"),
+        F.sum("words").alias("words"),
+        F.max("of").alias("of"),
     )
-    sizes = (
-        hosted.select("_host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-        .distinct()
-        .groupBy("_host")
-        .agg(F.count("*").alias("of"))
+    own = F.least(*[F.sum(F.when(F.col("side") == side, F.col("words"))) for side in ("head", "tail")])
+    own = F.when(F.count_if(F.col("side") == "head") * F.count_if(F.col("side") == "tail") > 0, own)
+    distinct = (
+        known.where("text_hash = last")
+        .groupBy("h", "none", "text_hash")
+        .agg(own.alias("own"), F.max("of").alias("of"))
+        .where(F.col("own") >= F.col("of") * rules.min_own)
+        .select("h", "none", "text_hash")
     )
-    return (
-        lines.join(sizes.withColumnRenamed("_host", "name"), F.col("_host").eqNullSafe(F.col("name")))
-        .where(F.col("texts") > F.col("of") * rules.max_share)
-        .select("_host", "line")
+    sizes = distinct.groupBy("h", "none").agg(F.count("*").alias("n"))
+    lines = (
+        held.join(distinct, ["h", "none", "text_hash"])
+        .groupBy("h", "none", "line")
+        .agg(F.count("*").alias("times"))
     )
+    limit = F.col("n") * rules.max_share + F.sqrt("n")
+    frequent = lines.join(sizes, ["h", "none"]).where(F.col("times") > limit)
+    return frequent.select(F.when(~F.col("none"), F.col("h")).alias("_host"), "line")
 
 
 def _count_text(rules: LineRules):
-    """Arrow function of a text and its host's frequent lines.
+    """Arrow function of a text, its host and the host's frequent lines.
 
     Texts that lose no line come back as null, which saves sending them twice.
     """
@@ -134,11 +170,12 @@ def _count_text(rules: LineRules):
         ", ".join(f"{name} long" for name in (*COUNTS, "n_removed_words"))
         + ", base_failed boolean, kept boolean, clean_text string"
     )
-    def count(text: pa.Array, lines: pa.Array) -> pa.Array:
-        rows, last, frequent = [], None, frozenset()
-        for raw, listed in zip(utf8(text), lines.to_pylist()):
-            if listed != last:
-                last, frequent = listed, frozenset(listed or ())
+    def count(text: pa.Array, host: pa.Array, lines: pa.Array) -> pa.Array:
+        rows, known = [], {}  # a host's list is read once for a batch
+        for at, (raw, name) in enumerate(zip(utf8(text), host.to_pylist())):
+            if name not in known:
+                known[name] = frozenset(lines[at].as_py() or ())
+            frequent = known[name]
             counts = count_text(raw or b"")
             clean, removed = remove_lines(raw, frequent) if raw and frequent else (None, 0)
             n_words, repeated = counts[0], counts[4]
