@@ -1,19 +1,26 @@
 from __future__ import annotations
 
 import random
-import re
 from collections import Counter
 
+import regex
+
 from strata.llm import secrets as sc
 from strata.llm.secrets import SecretRule, find_candidates, scan_secrets
 from tests.llm.data import words
 
 
 def plain(rows):
-    pattern = re.compile(sc.CANDIDATE)
-    return Counter(
-        (row[0], m.start(), m[0]) for row in rows for m in pattern.finditer(row[1] or "")
-    )
+    """Candidates by another engine: whole matches, less a name and its sign at the front."""
+    pattern = regex.compile(sc.CANDIDATE, regex.ASCII)
+    named = regex.compile(rf"\A{sc.NAMED}", regex.ASCII)
+    out = Counter()
+    for row in rows:
+        for m in pattern.finditer(row[1] or ""):
+            name = named.match(m[0])
+            ahead = name.end() if name else 0
+            out[row[0], m.start() + ahead, m[0][ahead:]] += 1
+    return out
 
 
 def found(frame):
@@ -52,20 +59,63 @@ def test_candidates_at_ends_and_side_by_side(spark):
     assert found(frame) == plain(rows)
 
 
+def test_values_behind_names_and_beside_them(spark):
+    """Short values with signs, names left off at the sign, names that are no candidates."""
+    value = "0123456789abcdef0123456789abcdef01234567"
+    texts = {
+        'password = "hunter2!pass"': ["hunter2!pass"],
+        f"API_KEY={value}": [value],
+        f"my_service_account_password_for_it = 'Zx8!kq#1'": ["Zx8!kq#1"],
+        f"export AUTH_TOKEN={value}; x={value}": [value, value],
+        "some_long_setting_name_of_ours = 12": [],
+        '"c2VjcmV0a2V5MTIzNDU2Nzg5MA=="': ["c2VjcmV0a2V5MTIzNDU2Nzg5MA=="],
+        "token: short": [],
+        f"key:\n{value}": [value],
+        "monkey = banana": [],
+        "passwd: pâsswörd-é1": ["pâsswörd-é1"],
+    }
+    rows = [(i, t, None) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert found(frame) == plain(rows)
+    got = {i: [] for i in range(len(rows))}
+    for r in sorted(find_candidates(frame).collect(), key=lambda r: r.start):
+        got[r.doc_id].append(r.candidate)
+        text = rows[r.doc_id][1]
+        assert text[r.start : r.start + len(r.candidate)] == r.candidate
+        assert text[: r.start].endswith(r.before) and text[r.start + len(r.candidate) :].startswith(r.after)
+    assert list(got.values()) == list(texts.values())
+
+
 def test_the_forest_tells_held_out_findings_apart(spark):
-    train = sc.labelled_by_context(find_candidates(spark.createDataFrame(leaky(), SCHEMA)))
-    labels = Counter(r.label for r in train.collect())
-    assert labels[1] > 0 and labels[0] > 0
-    held_out = spark.createDataFrame([(k, t, "lib/" + s) for k, t, s in leaky(120, seed=2)], SCHEMA)
-    got = scan_secrets(held_out, train).collect()
+    """Trained on planted findings of one seed; judged on those of another, and on other texts."""
+    model = sc.train(sc.planted_findings(spark))
+    held_out = sc.judge(sc.planted_findings(spark, 4_000, seed=99), model)
+    counts = Counter((r.label, r.is_secret) for r in held_out.select("label", "is_secret").collect())
+    assert counts[1, True] / (counts[1, True] + counts[0, True]) > 0.97  # precision
+    assert counts[1, True] / (counts[1, True] + counts[1, False]) > 0.9  # recall
+    texts = spark.createDataFrame([(k, t, "lib/" + s) for k, t, s in leaky(120, seed=2)], SCHEMA)
+    got = sc.judge(find_candidates(texts), model).collect()
     right = sum(r.is_secret == (r.doc_id % 4 in (0, 3)) for r in got)
     assert right / len(got) > 0.95
 
 
+def test_planted_labels_are_not_a_rule_of_the_features(spark):
+    """Names, signs and digits stand beside secrets and look-alikes of the same kind."""
+    planted = sc.planted_findings(spark).withColumns(sc.features())
+    by = {
+        (r.label, r.named, r.is_hex): r["count"]
+        for r in planted.groupBy("label", "named", (planted.hex == 1).alias("is_hex")).count().collect()
+    }
+    for named in (0.0, 1.0):
+        assert by[0, named, False] > 20 and by[1, named, False] > 20
+    assert by[0, 0.0, True] > 20 and by[1, 0.0, True] > 20
+
+
 def test_labels_of_one_kind_and_none(spark):
     rows = [r for r in leaky(40) if r[0] % 4 == 0]
     frame = spark.createDataFrame(rows, SCHEMA)
-    assert all(r.is_secret and r.score == 1.0 for r in scan_secrets(frame).collect())
+    ones = find_candidates(frame).selectExpr("*", "1 as label")
+    assert all(r.is_secret and r.score == 1.0 for r in scan_secrets(frame, ones).collect())
     unlabelled = find_candidates(frame).selectExpr("*", "cast(null as int) as label")
     assert sc.train(unlabelled) == 1.0
 
