@@ -1,12 +1,16 @@
-"""Repeated passages by a sparse suffix array over content-selected positions.
+"""Repeated passages by suffixes at content-selected positions.
 
 Of each run of windows the position with the least hash is kept (a minimiser), so
 equal passages keep equal positions, and a passage of the wanted length holds at
 least one. A kept position stands for the windows that selected it, so only the
 words of these windows are compared; longer matches come out as chains of positions.
-Where few suffixes begin alike, each is compared with all others, and matches are
-extended to the right and to the left. Where many do, their windows are hashed, and
-equal windows are grouped.
+Suffixes that begin alike come together. Where they are few, each is compared with all
+others, and matches are extended to the right and to the left. Where they are many, no
+order helps: a passage may lie mostly left of the kept position, and its holders need
+not be neighbours among suffixes sorted by what lies right of it. There every window
+of the passage's length is hashed, and equal windows are grouped, which finds the same
+repeats exactly. So this is a suffix array only in what it keeps; it is never sorted
+as a whole, and no repeat depends on who stands beside whom.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.copies import without_copies
 from strata.llm.words import mix, powers, utf8, windows, word_hashes
 from strata.sources import layer_path, scratch_dir, write_layer
 
@@ -225,7 +230,7 @@ def _with_context(docs: DataFrame, stretches: DataFrame, rule: RepeatRule) -> Da
             F.struct("gram", "stretch", "low", "high", "one.at", "one.before", "one.after", many)
         ).alias("wanted")
     )
-    texts = _keyed(docs).join(wanted, "key").groupBy("key").agg(
+    texts = without_copies(_keyed(docs), "key").join(wanted, "key").groupBy("key").agg(
         F.first("text").alias("text"), F.first("wanted").alias("wanted")
     )
     schema = pa.schema(
