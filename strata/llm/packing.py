@@ -199,5 +199,8 @@ def pack_documents(
     with_ids: bool = False,
     folder: str | None = None,
 ) -> DataFrame:
-    """Pieces of whole documents with their sequence and offset."""
+    """Pieces of whole documents with their sequence and offset.
+
+    A null doc_id stays null in its pieces, which are packed like others; so are pieces
+    of repeated rows, each at a place of its own."""
     return pack_pieces(tokenized_pieces(docs, vocabulary, end_id, capacity, with_ids), capacity, folder)

@@ -321,8 +321,10 @@ def find_pii(text: Column, model: SkipChain) -> Column:
     """Struct of base counts, the base spans' SHA-256, all spans, and the masked text.
 
     Spans are ``kind:start:end`` in code points, joined by commas in order of start;
-    in the masked text each stretch of spans is replaced by its first kind in
-    brackets. A null text counts as empty and stays null when masked.
+    in the masked text each stretch of spans, also of overlapping ones, is replaced by
+    its first kind in brackets. A null text counts as empty and stays null when masked.
+    Repeated rows get equal results. A text is searched whole; the field has a node for
+    each word with a digit or an at-sign, and memory grows with these.
     """
     names = [part.split()[0] for part in PII.split(", ")]
     kinds = [pa.int64()] * 4 + [pa.string()] * 3
