@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PIECES = 16  # parts of a mean task into which a heavy key's rows are cut
-TRACKED = 1 << 20  # keys that a sketch follows at most
+TRACKED = 1_000_000  # keys that a sketch follows at most, by its own limit
 SPREAD, HEAVY, CUTS = "__spread", "__heavy", "__cuts"
 
 
@@ -19,9 +19,9 @@ def heavy_keys(df: DataFrame, key: str, tasks: int | None = None) -> list[Row]:
     by less than 4/m of all rows, and m is chosen for half of the share looked for, so
     every key above one and a half times that share is found. ``cuts`` is into how many
     parts a key's rows are to be dealt. ``tasks`` is the number of shuffle partitions
-    unless given; from 8,192 tasks on the share stays that of 8,192. NULL is no key.
+    unless given; from 7,813 tasks on the share stays the same. NULL is no key.
 
-    The driver gets a row for each key found, ``16 * tasks`` at most and 131,072 in
+    The driver gets a row for each key found, ``16 * tasks`` at most and 125,000 in
     any case. They are fixed here, because two evaluations of a sketch may differ.
     """
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,6 +36,19 @@ def list_files(spark: SparkSession, address: str) -> list[str]:
     return sorted(found)
 
 
+def list_folders(spark: SparkSession, address: str) -> list[tuple[str, float]]:
+    """(name, seconds since its last change) of the folders in a folder; none where there is none."""
+    files, path = file_system(spark, address)
+    if not files.exists(path):
+        return []
+    now = time.time()
+    return [
+        (status.getPath().getName(), now - status.getModificationTime() / 1000)
+        for status in files.listStatus(path)
+        if status.isDirectory()
+    ]
+
+
 def read_head(spark: SparkSession, address: str, encoding: str = "UTF-8") -> str | None:
     """The first line of a text file without its line end; None for an empty file.
 

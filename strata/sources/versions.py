@@ -10,6 +10,7 @@ version's part files in order.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import replace
@@ -18,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.sources.files import delete, list_files, read_small, replace_small
+from strata.sources.files import delete, list_files, list_folders, read_small, replace_small
 from strata.sources.layers import LayerTable, write_layer
 
 POINTER = "_current"
@@ -43,7 +44,7 @@ def publish_layer(
     spark = df.sparkSession
     before = _pointer(spark, path)
     history = [before["version"], *before["earlier"]] if before else []
-    number = int(history[0][1:7]) + 1 if history else 1
+    number = int(history[0][1:].split("-")[0]) + 1 if history else 1
     version = f"v{number:06d}-{uuid.uuid4().hex[:8]}"
     table = write_layer(df, f"{path}/{version}", metrics, drop)
     entry = {
@@ -71,6 +72,24 @@ def read_layer(spark: SparkSession, path: str) -> LayerTable:
     return _opened(spark, path, entry)
 
 
+def drop_abandoned(spark: SparkSession, path: str, hours: float = 24) -> list[str]:
+    """Remove version folders that writes which died have left, and return their names.
+
+    The current version and those it names as earlier stay, and so does any folder that
+    changed within the last ``hours``, since a write may still be going on in it.
+    """
+    entry = _pointer(spark, path)
+    named = {entry["version"], *entry["earlier"]} if entry else set()
+    left = [
+        name
+        for name, age in list_folders(spark, path)
+        if re.fullmatch(r"v[0-9]{6,}-[0-9a-f]{8}", name) and name not in named and age >= 3600 * hours
+    ]
+    for name in left:
+        delete(spark, f"{path}/{name}")
+    return sorted(left)
+
+
 def _opened(spark: SparkSession, path: str, entry: dict) -> LayerTable:
     folder = f"{path}/{entry['version']}"
     reader = spark.read.schema(T.StructType.fromJson(entry["schema"]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.contracts import Limit, RunPlan, StagedQuestion, TableContract
 from strata.plans import LimitExceeded, run
-from strata.sources import layer_path, publish_layer, read_layer, row_hash, unordered
+from strata.sources import drop_abandoned, layer_path, publish_layer, read_layer, row_hash, unordered
 from tests.test_scale import plan, settings
 
 MANY_FILES = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
@@ -47,6 +47,21 @@ def test_a_reader_of_the_former_version_can_finish(spark, tmp_path):
     assert [os.path.basename(f) for f in glob.glob(f"{path}/v*")] == [os.path.basename(only.path)]
 
 
+def test_what_died_writes_left_can_be_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert drop_abandoned(spark, path) == []
+    kept = [publish_layer(spark.range(n), path) for n in (1, 2)]
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            publish_layer(broken(spark), path)
+    (tmp_path / "t" / "notes").mkdir()
+    assert drop_abandoned(spark, path) == []  # they may still be at work
+    assert len(drop_abandoned(spark, path, hours=0)) == 2
+    folders = {name for name in os.listdir(path) if os.path.isdir(f"{path}/{name}")}
+    assert folders == {"notes", *(os.path.basename(t.path) for t in kept)}
+    assert read_layer(spark, path).frame.count() == 2
+
+
 def test_a_table_can_be_written_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     first = publish_layer(spark.range(5), path)
