@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.names import unused
@@ -78,9 +78,8 @@ def judge_quality(
     own_host, lines, found = unused(docs, "_host", "_lines", "_found")
     lists = frequent.frame.groupBy("_host").agg(F.collect_list("line").alias(lines))
     lists = write_layer(lists.withColumnRenamed("_host", own_host), layer_path(folder, "quality", "hosts"))
-    judged = docs.join(lists.frame, F.col(host).eqNullSafe(F.col(own_host)), "left")
-    name = F.col(host).cast("string")
-    judged = judged.withColumn(found, _count_text(rules)(F.col("text").cast("string"), name, F.col(lines)))
+    judged = docs.join(lists.frame, _host_key(F.col(host)) == F.col(own_host), "left")
+    judged = judged.withColumn(found, _count_text(rules)(F.col("text").cast("string"), F.col(own_host), F.col(lines)))
     clean = F.coalesce(F.col(f"{found}.clean_text"), F.col("text").cast("string"))
     verdict = [f"{found}.{name}" for name in VERDICT if name != "clean_text"]
     return judged.select(*docs.columns, *verdict, clean.alias("clean_text"))
@@ -101,61 +100,76 @@ def line_ends(normal: bytes) -> tuple[bytes, bytes]:
     return b" ".join(line[:EDGE]), b" ".join(line[-EDGE:])
 
 
+def _host_key(host: Column) -> Column:
+    """A number for each host; a missing host is one of its own."""
+    name = host.cast("string")
+    return F.xxhash64(F.coalesce(name, F.lit("")), name.isNull())
+
+
 def _frequent_lines(docs: DataFrame, rules: LineRules, host: str) -> DataFrame:
-    """(_host, line) of lines above the limits; counts are pre-aggregated in every task."""
-    whole = pa.int64()
-    kinds = {"text_hash": whole, "line": whole, "head": whole, "tail": whole, "words": pa.int32(), "of": whole}
-    schema = pa.schema([("_host", pa.string()), *kinds.items()])
+    """(_host, line) of lines above the limits; counts are pre-aggregated in every task.
+
+    An edge is the hash of a line's first words, made even, or of its last, made odd."""
+    names = ("h", "text_hash", "line", "head", "tail", "words", "of")
+    kinds = [pa.int32() if name in ("words", "of") else pa.int64() for name in names]
+
+    def rows(columns: list[list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[int]] = [[] for _ in names]
         for batch in batches:
-            hosts, rows = [], []
-            for name, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            for key, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 lines = {n for n in map(normal_line, (text or b"").split(b"\n")) if n}
-                text_hash = line_hash(text) if lines else 0
+                if not lines:
+                    continue
+                text_hash = line_hash(text)
                 sizes = [n.count(b" ") + 1 for n in lines]
-                of = sum(sizes)
-                rows += [
-                    (text_hash, line_hash(n), *map(line_hash, line_ends(n)), size, of)
-                    for n, size in zip(lines, sizes)
-                ]
-                hosts += [name] * len(lines)
-            columns = list(zip(*rows)) if rows else [()] * len(kinds)
-            arrays = [pa.array(hosts, pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds.values()))]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    hosted = docs.select(F.col(host).cast("string").alias("_host"), F.col("text").cast("string"))
+                ends = [line_ends(n) for n in lines]
+                for column, values in zip(
+                    held,
+                    (
+                        [key] * len(lines),
+                        [text_hash] * len(lines),
+                        map(line_hash, lines),
+                        [line_hash(head) & ~1 for head, _ in ends],
+                        [line_hash(tail) | 1 for _, tail in ends],
+                        sizes,
+                        [sum(sizes)] * len(lines),
+                    ),
+                ):
+                    column.extend(values)
+                if len(held[0]) > 20_000:
+                    yield rows(held)
+                    held = [[] for _ in names]
+        yield rows(held)
+
+    hosted = docs.select(_host_key(F.col(host)).alias("h"), F.col("text").cast("string"))
     held = hosted.mapInArrow(
-        explode, "_host string, text_hash long, line long, head long, tail long, words int, of long"
+        explode, "h long, text_hash long, line long, head long, tail long, words int, of int"
     ).distinct()
-    key = F.coalesce("_host", F.lit("")), F.col("_host").isNull()  # a missing host is one of its own
-    held = held.withColumns({"h": key[0], "none": key[1]}).drop("_host")
-    sides = [F.struct(F.lit(side).alias("side"), F.col(side).alias("edge")) for side in ("head", "tail")]
-    edges = held.select("h", "none", "text_hash", "words", "of", F.inline(F.array(*sides)))
-    known = edges.groupBy("h", "none", "side", "edge").agg(
+    edges = held.select("h", "text_hash", "words", "of", F.explode(F.array("head", "tail")).alias("edge"))
+    known = edges.groupBy("h", "edge").agg(
         F.min("text_hash").alias("text_hash"),
         F.max("text_hash").alias("last"),
         F.sum("words").alias("words"),
         F.max("of").alias("of"),
     )
-    own = F.least(*[F.sum(F.when(F.col("side") == side, F.col("words"))) for side in ("head", "tail")])
-    own = F.when(F.count_if(F.col("side") == "head") * F.count_if(F.col("side") == "tail") > 0, own)
+    is_tail = F.col("edge").bitwiseAND(F.lit(1)) == 1
+    sides = [F.sum(F.when(side, F.col("words")).otherwise(0)) for side in (~is_tail, is_tail)]
     distinct = (
         known.where("text_hash = last")
-        .groupBy("h", "none", "text_hash")
-        .agg(own.alias("own"), F.max("of").alias("of"))
-        .where(F.col("own") >= F.col("of") * rules.min_own)
-        .select("h", "none", "text_hash")
-    )
-    sizes = distinct.groupBy("h", "none").agg(F.count("*").alias("n"))
-    lines = (
-        held.join(distinct, ["h", "none", "text_hash"])
-        .groupBy("h", "none", "line")
-        .agg(F.count("*").alias("times"))
+        .groupBy("h", "text_hash")
+        .agg(F.least(*sides).alias("own"), F.max("of").alias("of"))
+        .where((F.col("own") > 0) & (F.col("own") >= F.col("of") * rules.min_own))
+        .select("h", "text_hash")
     )
+    sizes = distinct.groupBy("h").agg(F.count("*").alias("n"))
+    lines = held.select("h", "text_hash", "line").join(distinct, ["h", "text_hash"])
+    lines = lines.groupBy("h", "line").agg(F.count("*").alias("times"))
     limit = F.col("n") * rules.max_share + F.sqrt("n")
-    frequent = lines.join(sizes, ["h", "none"]).where(F.col("times") > limit)
-    return frequent.select(F.when(~F.col("none"), F.col("h")).alias("_host"), "line")
+    frequent = lines.join(sizes, "h").where(F.col("times") > limit)
+    return frequent.select(F.col("h").alias("_host"), "line")
 
 
 def _count_text(rules: LineRules):
