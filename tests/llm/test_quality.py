@@ -174,6 +174,11 @@ def test_sql_on_hosts_with_boilerplate(spark, tmp_path):
     assert sum(r.kept and r.n_removed_words > 0 for r in found) >= 30
 
 
+def test_a_filter_on_the_verdict_judges_each_text_once(messy):
+    kept = judge_quality(messy).where("kept and n_words > 0").select("clean_text", "doc_id")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_empty_table(no_docs):
     judged = judge_quality(no_docs)
     assert judged.count() == 0 and "clean_text" in judged.columns
