@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import sys
 
 from pyspark.sql import functions as F
 
 from strata import operators as op
 from strata.contracts import ValueRule
-from strata.operators.rule_table import RULE_COLUMNS
+from strata.operators.rule_table import CROWD, PIECE, RULE_COLUMNS, SIZE, _filed
 from strata.plans import sales
 from tests.test_scale import NO_BROADCAST, plan, settings
 
@@ -101,3 +102,44 @@ def test_hot_values_and_given_targets_are_spread(spark):
         got = op.map_values_table(df, "t", "s", rules, spread_by=["id"])
         labels = {r.t: r["count"] for r in got.groupBy("t").count().collect()}
     assert labels["given"] == labels["x"] == 20_000
+
+
+def test_a_piece_leads_to_few_patterns_however_many_there_are(spark):
+    patterns = [f"{n * 7919 % 10**7:07d}-{n % 1000:03d}-" for n in range(20_000)]
+    draw = random.Random(5)
+    patterns += ["".join(draw.choices("ab", k=draw.randint(0, 7))) for _ in range(2_000)]
+    rules = spark.createDataFrame([(n, "l", "contains", p) for n, p in enumerate(patterns)], RULE_COLUMNS)
+    filed = _filed(rules).cache()
+    assert filed.count() == filed.select("pattern").distinct().count() == len(set(patterns))
+    assert filed.where(~F.contains("pattern", PIECE) | (F.length(PIECE) != F.col(SIZE))).isEmpty()
+    assert filed.groupBy(PIECE).count().agg(F.max("count")).first()[0] <= CROWD + 1
+    assert {r[0] for r in filed.select(SIZE).distinct().collect()} == {0, 1, 2, 4, 5, 6, 7, 8}
+    assert {r[0] for r in filed.where("pattern like '%-%'").select(SIZE).distinct().collect()} == {8}
+    filed.unpersist()
+
+
+def test_crowded_patterns_with_and_without_a_folder(spark, tmp_path, monkeypatch):
+    draw = random.Random(7)
+
+    def text(least, most):
+        return "".join(draw.choices("ab", k=draw.randint(least, most)))
+
+    rules = [(draw.randint(0, 900), f"L{draw.randint(0, 40)}", draw.choice(["equals", "contains", "contains"]), text(5, 17)) for _ in range(3_000)]
+    rules += [(1_000, "short", "contains", "aba"), (1_001, "empty", "contains", "")]
+    rows = [(i, draw.choice([None, None, "given"]), draw.choice([None, text(0, 6), text(4, 20), text(4, 20)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, target string, source string").repartition(3)
+    table = spark.createDataFrame(rules, RULE_COLUMNS)
+    cases = [(values, folder, few) for values in ({}, NO_BROADCAST) for folder, few in ((None, 0), ("f", 100), ("g", 10**6), ("h", 0))]
+    for n, (values, folder, few) in enumerate(cases):
+        monkeypatch.setattr(sys.modules[op.map_values_table.__module__], "FEW", few)
+        with settings(spark, values):
+            at = folder and f"{tmp_path}/{folder}{n}"
+            got = op.map_values_table(df, "target", "source", table, ["id"], at)
+            assert sorted(map(tuple, got.collect()), key=str) == expected(rows, rules)
+
+
+def test_no_substrings_and_a_folder(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, "a"), (2, "t", None)], "id int, target string, source string")
+    table = spark.createDataFrame([(1, "one", "equals", "a")], RULE_COLUMNS)
+    got = op.map_values_table(df, "target", "source", table, folder=f"{tmp_path}/rules")
+    assert sorted(map(tuple, got.collect())) == [(1, "one", "a"), (2, "t", None)]

@@ -484,7 +484,8 @@ def map_category_table(spark, d):
     """Lines labelled by as many rules as there are orders."""
     lines = fx.view(spark, d, "lineitem", fx.TAGGED_LINES)
     rules = fx.view(spark, d, "orders", fx.TAG_RULES)
-    return op.map_values_table(lines, "category", "tag", rules, spread_by=("l_orderkey", "l_linenumber"))
+    spread_by, folder = ("l_orderkey", "l_linenumber"), f"{scratch_dir(spark)}/rules"
+    return op.map_values_table(lines, "category", "tag", rules, spread_by, folder)
 
 
 @_query
